@@ -14,13 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from legwise.functions import geo as GEO
 from legwise.operators import aggregates as G
+from legwise.operators import clean as CL
+from legwise.operators import spatial as SP
+from legwise.operators import upsert as UP
 from legwise.operators import flags as FL
 from legwise.operators import publish as P
 from legwise.operators import validate as V
-from legwise.schemas import backfill_hotspot_hash, drop_column_if_present
+from legwise.schemas import COORD_COLUMNS, backfill_hotspot_hash, drop_column_if_present
 from legwise.session import ensure_session
+from legwise.sources import files as SF
 from legwise.sources import fixtures as FX
+from legwise.sources import links as LK
 
 ROUND = 6
 
@@ -165,6 +171,98 @@ def q_validate_walk_top10(spark, sf_dir):
     return presentable(V.latest_rows(_publish_walk(spark, sf_dir), 10))
 
 
+# --- clean, incremental, files, links, geo ---------------------------------
+
+FILE_SUBSTRING = "tapped_trip_view_legs"
+FILE_SUFFIX = ".csv"
+BATCH1_LAST_DAY = "2024-01-20"    # first incremental batch: files up to this day
+BATCH2_FIRST_DAY = "2024-01-16"   # second batch re-reads 5 overlapping days
+ONLY_YEARS = (2024,)
+
+
+def _raw(spark, sf_dir) -> DataFrame:
+    ensure_session(spark)
+    return FX.raw(spark, sf_dir)
+
+
+def _with_file_date(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("file_date", SF.file_date_from_name("source_file", FILE_SUBSTRING, FILE_SUFFIX))
+
+
+def q_clean_legs(spark, sf_dir):
+    c = CL.clean_transform(_raw(spark, sf_dir), keep=("event_id",))
+    return presentable(c.drop("row_hash"))
+
+
+def q_row_hash(spark, sf_dir):
+    c = CL.clean_transform(_raw(spark, sf_dir), keep=("event_id",))
+    return presentable(c.select("event_id", "trip_date", "row_hash"))
+
+
+def q_incremental_upsert(spark, sf_dir):
+    """Two overlapping batches (by file date) merged insert-only; equals one
+    run over everything."""
+    raw = _with_file_date(_raw(spark, sf_dir))
+    b1 = raw.filter(F.col("file_date") <= F.lit(BATCH1_LAST_DAY).cast("timestamp_ntz"))
+    b2 = raw.filter(F.col("file_date") >= F.lit(BATCH2_FIRST_DAY).cast("timestamp_ntz"))
+    cols = ("event_id",)
+    stored = UP.new_rows(CL.clean_transform(b1.drop("file_date"), keep=cols), None)
+    added = UP.new_rows(CL.clean_transform(b2.drop("file_date"), keep=cols), stored)
+    return presentable(stored.unionByName(added).select("event_id", "trip_date", "row_hash", "source_file"))
+
+
+def q_incremental_since(spark, sf_dir):
+    """G10 -> T3 -> A6/F4: watermark of the raw rows, minus the 5-day overlap,
+    and the rows an incremental run reads again (per file)."""
+    raw = _with_file_date(_raw(spark, sf_dir))
+    wm = raw.agg(F.max(F.try_to_timestamp(F.col("file_date_raw"))).cast("timestamp_ntz")).scalar()
+    since = wm - F.expr("INTERVAL 5 DAYS")
+    fetched = raw.filter(F.col("file_date") >= since)
+    return fetched.groupBy("source_file").agg(F.max("file_date").alias("file_date"),
+                                              F.count(F.lit(1)).cast("int").alias("n_rows"))
+
+
+def q_new_files(spark, sf_dir):
+    raw = _with_file_date(_raw(spark, sf_dir))
+    listing = raw.select(F.col("source_file").alias("name"))
+    candidates = SF.matching_files(listing, FILE_SUBSTRING, FILE_SUFFIX, ONLY_YEARS)
+    loaded = raw.filter(F.col("file_date") <= F.lit(BATCH1_LAST_DAY).cast("timestamp_ntz")) \
+        .select("source_file").distinct()
+    fresh = SF.new_files(candidates, loaded)
+    return fresh.select("name", SF.file_date_from_name("name", FILE_SUBSTRING, FILE_SUFFIX).alias("file_date"))
+
+
+def q_file_metadata(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return (SF.file_metrics(raw, "source_file")
+            .select("source_file", SF.file_date_from_name("source_file", FILE_SUBSTRING, FILE_SUFFIX)
+                    .alias("file_date"), "n_rows"))
+
+
+def q_page_links(spark, sf_dir):
+    ensure_session(spark)
+    return LK.extract_links(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def q_leg_distances(spark, sf_dir):
+    legs = _legs(spark, sf_dir).dropna(subset=list(COORD_COLUMNS))
+    x0, y0 = GEO.project("start_longitude", "start_latitude")
+    x1, y1 = GEO.project("end_longitude", "end_latitude")
+    return legs.select("event_id",
+                       F.round(x0, 3).alias("start_x"), F.round(y0, 3).alias("start_y"),
+                       F.round(x1, 3).alias("end_x"), F.round(y1, 3).alias("end_y"),
+                       F.round(GEO.manhattan_miles(x0, y0, x1, y1), ROUND).alias("manhattan_distance_mi"),
+                       F.round(GEO.euclidean_miles(x0, y0, x1, y1), ROUND).alias("euclidean_distance_mi"))
+
+
+def q_block_group_join(spark, sf_dir):
+    ensure_session(spark)
+    pts = FX.grid_points(spark, sf_dir)
+    out = SP.assign_origin_destination(pts, FX.grid_polygons(spark), cell=0.01,
+                                       start=("lon", "lat"), end=("end_lon", "end_lat"))
+    return out.select("event_id", "Origin_BG", "Dest_BG")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leg_base": q_leg_base,
     "leg_sequence": q_leg_sequence,
@@ -189,4 +287,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_flows": q_validate_flows,
     "validate_hotspots": q_validate_hotspots,
     "validate_walk_top10": q_validate_walk_top10,
+    "clean_legs": q_clean_legs,
+    "row_hash": q_row_hash,
+    "incremental_upsert": q_incremental_upsert,
+    "incremental_since": q_incremental_since,
+    "new_files": q_new_files,
+    "file_metadata": q_file_metadata,
+    "page_links": q_page_links,
+    "leg_distances": q_leg_distances,
+    "block_group_join": q_block_group_join,
 }

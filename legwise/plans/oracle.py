@@ -323,3 +323,137 @@ def refresh_oracles() -> dict[str, str]:
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(refresh_oracles())
+
+
+# --- clean, incremental, files, links, geo ------------------------------------
+
+FILE_SUBSTRING = "tapped_trip_view_legs"
+HASH_TEXT = ("CAST(user_trip_id AS VARCHAR)", "start_time", "end_time",
+             "CAST(TRY_CAST(start_longitude AS DOUBLE) AS VARCHAR)",
+             "CAST(TRY_CAST(start_latitude AS DOUBLE) AS VARCHAR)",
+             "CAST(TRY_CAST(end_longitude AS DOUBLE) AS VARCHAR)",
+             "CAST(TRY_CAST(end_latitude AS DOUBLE) AS VARCHAR)",
+             "service_name", "route_short_name", "mode", "start_stop_name", "end_stop_name",
+             "source_file", "file_date_raw", "Origin_BG", "Dest_BG")
+
+
+def _fin(x: str) -> str:
+    return f"CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END"
+
+
+def clean_select(src: str) -> str:
+    parts = ", ".join(f"coalesce({p}, '')" for p in HASH_TEXT)
+    return f"""SELECT event_id, sha256(concat_ws('|', {parts})) AS row_hash,
+    CAST(user_trip_id AS VARCHAR) AS user_trip_id,
+    CAST(TRY_CAST(file_date_raw AS TIMESTAMP) AS DATE) AS trip_date,
+    date_trunc('millisecond', TRY_CAST(start_time AS TIMESTAMP)) AS start_time_utc,
+    date_trunc('millisecond', TRY_CAST(end_time AS TIMESTAMP)) AS end_time_utc,
+    {_fin('start_longitude')} AS start_longitude, {_fin('start_latitude')} AS start_latitude,
+    {_fin('end_longitude')} AS end_longitude, {_fin('end_latitude')} AS end_latitude,
+    service_name, route_short_name, mode, start_stop_name, end_stop_name, source_file, file_date_raw,
+    {_fin('manhattan_distance_mi')} AS manhattan_distance_mi,
+    {_fin('euclidean_distance_mi')} AS euclidean_distance_mi,
+    Origin_BG, Dest_BG
+  FROM {src}
+  WHERE TRY_CAST(file_date_raw AS TIMESTAMP) IS NOT NULL"""
+
+
+def _file_date(name: str) -> str:
+    return f"TRY_CAST(replace(replace({name}, '{FILE_SUBSTRING}_', ''), '.csv', '') AS TIMESTAMP)"
+
+
+def with_raw(select: str, extra_ctes: tuple[str, ...] = ()) -> str:
+    ctes = [legs_cte(), f"raw AS (\n{FX.raw_sql()}\n)",
+            f"rawf AS (SELECT *, {_file_date('source_file')} AS file_date FROM raw)", *extra_ctes]
+    return "WITH " + ",\n".join(ctes) + "\n" + select
+
+
+def _lambert_sql(lon: str, lat: str) -> tuple[str, str]:
+    from legwise.functions.geo import projection
+    p = projection(32140)
+    n, af, rf = p.constants()
+
+    def d(v: float) -> str:
+        return f"CAST('{v!r}' AS DOUBLE)"
+    phi = f"radians({lat})"
+    es = f"({d(p.e)} * sin({phi}))"
+    t = f"(tan({d(3.141592653589793 / 4)} - {phi} / 2) / pow((1.0 - {es}) / (1.0 + {es}), {d(p.e / 2)}))"
+    r = f"({d(af)} * pow({t}, {d(n)}))"
+    theta = f"({d(n)} * radians({lon} - {d(p.lon0)}))"
+    return (f"({d(p.false_easting)} + {r} * sin({theta}))",
+            f"({d(p.false_northing + rf)} - {r} * cos({theta}))")
+
+
+def clean_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["clean_legs"] = with_raw(
+        "SELECT event_id, user_trip_id, trip_date, start_time_utc, end_time_utc, "
+        + _r6s(("start_longitude", "start_latitude", "end_longitude", "end_latitude")) +
+        ", service_name, route_short_name, mode, start_stop_name, end_stop_name, source_file, file_date_raw, "
+        + _r6s(("manhattan_distance_mi", "euclidean_distance_mi")) + ", Origin_BG, Dest_BG FROM clean",
+        extra_ctes=(f"clean AS (\n{clean_select('raw')}\n)",))
+    q["row_hash"] = with_raw("SELECT event_id, trip_date, row_hash FROM clean",
+                             extra_ctes=(f"clean AS (\n{clean_select('raw')}\n)",))
+    dedupe = "QUALIFY row_number() OVER (PARTITION BY trip_date, row_hash ORDER BY event_id) = 1"
+    q["incremental_upsert"] = with_raw(
+        """SELECT event_id, trip_date, row_hash, source_file FROM c1
+        UNION ALL
+        SELECT event_id, trip_date, row_hash, source_file FROM c2
+        WHERE NOT EXISTS (SELECT 1 FROM c1 WHERE c1.trip_date = c2.trip_date AND c1.row_hash = c2.row_hash)""",
+        extra_ctes=(f"b1 AS (SELECT * FROM rawf WHERE file_date <= TIMESTAMP '2024-01-20')",
+                    f"b2 AS (SELECT * FROM rawf WHERE file_date >= TIMESTAMP '2024-01-16')",
+                    f"c1 AS (\n{clean_select('b1')}\n{dedupe}\n)",
+                    f"c2 AS (\n{clean_select('b2')}\n{dedupe}\n)"))
+    q["incremental_since"] = with_raw(
+        """SELECT source_file, max(file_date) AS file_date, CAST(count(*) AS INTEGER) AS n_rows
+        FROM rawf, (SELECT max(TRY_CAST(file_date_raw AS TIMESTAMP)) AS wm FROM raw) w
+        WHERE file_date >= w.wm - INTERVAL 5 DAY GROUP BY source_file""")
+    year = r"regexp_extract(source_file, '(\d{4})-\d{2}-\d{2}', 1)"
+    q["new_files"] = with_raw(
+        f"""SELECT name, {_file_date('name')} AS file_date FROM (
+          SELECT DISTINCT source_file AS name FROM raw
+          WHERE ends_with(source_file, '.csv') AND contains(source_file, '{FILE_SUBSTRING}')
+            AND ({year} = '' OR TRY_CAST({year} AS INTEGER) IN (2024))) cand
+        WHERE NOT EXISTS (SELECT 1 FROM rawf WHERE rawf.file_date <= TIMESTAMP '2024-01-20'
+                          AND rawf.source_file = cand.name)""")
+    q["file_metadata"] = with_raw(
+        f"SELECT source_file, {_file_date('source_file')} AS file_date, CAST(count(*) AS INTEGER) AS n_rows "
+        "FROM raw GROUP BY source_file")
+    sh = r"'^([a-zA-Z][a-zA-Z0-9+.-]*):(//[^/?#]*)?'"
+    no_frag = r"regexp_replace(base, '#.*$', '')"
+    no_query = rf"regexp_replace({no_frag}, '\?.*$', '')"
+    q["page_links"] = rf"""WITH h AS (
+          SELECT url AS base, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages),
+        r AS (SELECT CASE
+            WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+            WHEN starts_with(href, '//') THEN regexp_extract(base, {sh}, 1) || ':' || href
+            WHEN starts_with(href, '/') THEN regexp_extract(base, {sh}, 1) || ':' || regexp_extract(base, {sh}, 2) || href
+            WHEN starts_with(href, '?') THEN {no_query} || href
+            WHEN starts_with(href, '#') THEN {no_frag} || href
+            WHEN href = '' THEN base
+            ELSE regexp_replace({no_query}, '[^/]*$', '') || regexp_replace(href, '^\./', '') END AS url FROM h)
+        SELECT DISTINCT url FROM r ORDER BY url"""
+    x0, y0 = _lambert_sql("start_longitude", "start_latitude")
+    x1, y1 = _lambert_sql("end_longitude", "end_latitude")
+    q["leg_distances"] = ("WITH " + legs_cte() + f""",
+        p AS (SELECT event_id, {x0} AS x0, {y0} AS y0, {x1} AS x1, {y1} AS y1 FROM legs
+              WHERE start_longitude IS NOT NULL AND start_latitude IS NOT NULL
+                AND end_longitude IS NOT NULL AND end_latitude IS NOT NULL)
+        SELECT event_id, round(x0, 3) AS start_x, round(y0, 3) AS start_y, round(x1, 3) AS end_x,
+          round(y1, 3) AS end_y,
+          round((abs(x1 - x0) + abs(y1 - y0)) / 1609.344, 6) AS manhattan_distance_mi,
+          round(sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) / 1609.344, 6) AS euclidean_distance_mi
+        FROM p""")
+    step = FX.GRID_STEP
+    q["block_group_join"] = f"""WITH pts AS ({FX.grid_points_sql()}),
+        cells AS ({FX.grid_cells_sql()})
+        SELECT event_id,
+          (SELECT min(bg_id) FROM cells c WHERE pts.lon > c.x0 AND pts.lon < c.x0 + {step}
+             AND pts.lat > c.y0 AND pts.lat < c.y0 + {step}) AS Origin_BG,
+          (SELECT min(bg_id) FROM cells c WHERE pts.end_lon > c.x0 AND pts.end_lon < c.x0 + {step}
+             AND pts.end_lat > c.y0 AND pts.end_lat < c.y0 + {step}) AS Dest_BG
+        FROM pts"""
+    return q
+
+
+ORACLE_SQL.update(clean_oracles())
