@@ -34,8 +34,9 @@ def py_number_text(x) -> Column:
     # elsewhere both are scientific: mantissa without ".0", exponent signed with 2+ digits
     mant = F.when(n == 1, digits).otherwise(F.concat(_substr(digits, one, one), F.lit("."),
                                                       _substr(digits, F.lit(2), n)))
+    ae = F.abs(e).cast("string")
     exp = F.concat(F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.lpad(F.abs(e).cast("string"), 2, "0"))
+                   F.when(F.length(ae) < 2, F.concat(F.lit("0"), ae)).otherwise(ae))
     converted = (F.when(e == -4, small_fixed)
                  .when((e >= 7) & (e <= 15), big_fixed)
                  .otherwise(F.concat(sign, mant, exp)))

@@ -88,7 +88,13 @@ def _chunked(df: DataFrame, keys, order, lags, leads, seq_col, n_chunks: int) ->
         F.lag("_last").over(sw).alias("_prev_last"),
         F.lead("_first").over(sw).alias("_next_first"))
     # The summary has at most (#hot keys + #chunks) rows: a proven bound.
-    joined = local.join(F.broadcast(summary), [*keys, ck], "inner")
+    # Null-safe on the keys: a null key can be the hot one.
+    summary = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
+                             *[c for c in summary.columns if c not in keys])
+    cond = local[ck] == summary[ck]
+    for k in keys:
+        cond = cond & local[k].eqNullSafe(summary[f"_s_{k}"])
+    joined = local.join(F.broadcast(summary), cond, "inner").drop(summary[ck])
     out = [(F.col("_rn") + F.col("_offset")).cast("int").alias(seq_col)]
     out += [F.when(F.col("_rn") == 1, F.col(f"_prev_last.{o}")).otherwise(F.col(f"_lag_{o}")).alias(o)
             for o in lags]

@@ -92,7 +92,7 @@ def containing_id(px: Column, py: Column, cands: Column) -> Column:
     """Id of the first candidate (smallest id) that strictly contains the point."""
     hits = F.filter(cands, lambda c: (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
                     & point_in_rings(px, py, c["rings"]))
-    return F.element_at(hits, 1)["bg_id"]
+    return F.try_element_at(hits, F.lit(1))["bg_id"]
 
 
 def cell_table_vertices(cells: DataFrame) -> int:

@@ -32,7 +32,7 @@ RAW_INPUT_COLUMNS = ("user_trip_id", "start_time", "end_time", "start_longitude"
 COORD_COLUMNS = ("start_longitude", "start_latitude", "end_longitude", "end_latitude")
 
 # raw: CSV text columns (all strings) + enrichment
-RAW = _schema(*[(c, S, True) for c in RAW_INPUT_COLUMNS],
+RAW = _schema(*[(c, D if c in COORD_COLUMNS else S, True) for c in RAW_INPUT_COLUMNS],
               ("source_file", S, True), ("file_date", TS, True),
               ("manhattan_distance_mi", D, True), ("euclidean_distance_mi", D, True),
               ("Origin_BG", S, True), ("Dest_BG", S, True))
