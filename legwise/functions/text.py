@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCI = r"^-?(\d)\.(\d+)E(-?\d+)$"
-
 
 def _substr(s: Column, pos: Column, length: Column) -> Column:
     return F.call_function("substring", s, pos, length)
@@ -20,28 +18,25 @@ def py_number_text(x) -> Column:
     """Text of a double as Python ``repr`` prints it; null stays null."""
     x = (F.col(x) if isinstance(x, str) else x).cast("double")
     s = x.cast("string")
-    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.concat(F.regexp_extract(s, _SCI, 1), F.regexp_extract(s, _SCI, 2)), "0+$", "")
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    e = F.regexp_extract(s, _SCI, 3).cast("int")
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    # Java scientific text "-d.dddE-n": mantissa digits without sign/point/trailing zeros
+    digits = F.regexp_replace(F.translate(F.substring_index(s, "E", 1), "-.", ""), "0+$", "")
+    e = F.substring_index(s, "E", -1).try_cast("int")
     n = F.length(digits)
     one = F.lit(1)
     # 1e-4 <= |x| < 1e-3: Java prints scientific, Python fixed
     small_fixed = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
     # 1e7 <= |x| < 1e16: Java prints scientific, Python fixed with a fraction
-    big_fixed = (F.when(n <= e + 1, F.concat(sign, digits, F.repeat(F.lit("0"), e + 1 - n), F.lit(".0")))
-                 .otherwise(F.concat(sign, _substr(digits, one, e + 1), F.lit("."), _substr(digits, e + 2, n))))
+    big_fixed = F.concat(sign, F.rpad(_substr(digits, one, e + 1), e + 1, "0"), F.lit("."),
+                         F.coalesce(F.nullif(_substr(digits, e + 2, n), F.lit("")), F.lit("0")))
     # elsewhere both are scientific: mantissa without ".0", exponent signed with 2+ digits
-    mant = F.when(n == 1, digits).otherwise(F.concat(_substr(digits, one, one), F.lit("."),
-                                                      _substr(digits, F.lit(2), n)))
+    mant = F.concat(_substr(digits, one, one), F.when(n > 1, F.concat(F.lit("."), _substr(digits, F.lit(2), n)))
+                    .otherwise(F.lit("")))
     ae = F.abs(e).cast("string")
-    exp = F.concat(F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.when(F.length(ae) < 2, F.concat(F.lit("0"), ae)).otherwise(ae))
-    converted = (F.when(e == -4, small_fixed)
-                 .when((e >= 7) & (e <= 15), big_fixed)
-                 .otherwise(F.concat(sign, mant, exp)))
-    return (F.when(x.isNull(), F.lit(None).cast("string"))
-            .when(F.isnan(x), F.lit("nan"))
+    sci = F.concat(sign, mant, F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), ae)
+    converted = F.when(e == -4, small_fixed).when((e >= 7) & (e <= 15), big_fixed).otherwise(sci)
+    return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))
             .when(x == float("-inf"), F.lit("-inf"))
             .when(s.contains("E"), converted)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from legwise.operators import aggregates as G
 from legwise.operators import publish as P
 from legwise.operators.flags import flags as build_flags
+from legwise.schemas import TABLES
 from legwise.session import ensure_session, scratch_path
 
 AGGREGATE_TABLES = ("Flow_BG_BG_Daily", "Transfer_Hotspots_Daily", "BG_Summary_Daily",
@@ -106,7 +107,7 @@ def run_refresh(spark: SparkSession, clean: DataFrame, base_path: str, as_of=Non
             _write(result.tables[name], paths[name], True, fmt)
     finally:
         result.release()
-    stored = {name: spark.read.format(fmt).load(p) for name, p in paths.items()}
+    stored = {name: spark.read.schema(TABLES[name]).format(fmt).load(p) for name, p in paths.items()}
     for name, df in publish_tables(stored, as_of, days_back).items():
         paths[name] = f"{base_path.rstrip('/')}/{name}"
         _write(df, paths[name], False, fmt)

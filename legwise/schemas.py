@@ -183,3 +183,13 @@ def split_not_null(df: DataFrame, columns: tuple[str, ...]) -> tuple[DataFrame,
     good = df.filter(~bad)
     rejects = df.filter(bad).withColumn("reject_reason", reason)
     return good, rejects
+
+
+def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Read a stored table with its declared schema: an empty or new folder
+    gives an empty DataFrame instead of a schema-inference error."""
+    from legwise.session import path_exists
+    schema = TABLES[table]
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

@@ -38,7 +38,7 @@ def leg_file_stream(spark: SparkSession, cfg: IngestConfig, max_files_per_trigge
 def start_ingest_stream(spark: SparkSession, cfg: IngestConfig, checkpoint: str,
                         polygons: DataFrame | None = None, transform_cfg: TransformConfig | None = None,
                         available_now: bool = True, processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None, today=None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
     ensure_session(spark)
 
@@ -49,7 +49,7 @@ def start_ingest_stream(spark: SparkSession, cfg: IngestConfig, checkpoint: str,
             rows = rows.join(loaded, "source_file", "left_anti")
         rows.write.mode("append").partitionBy("file_date").parquet(cfg.raw_path)
         if transform_cfg is not None:
-            transform(spark, transform_cfg)
+            transform(spark, transform_cfg, today=today)
 
     w = (leg_file_stream(spark, cfg, max_files_per_trigger).writeStream
          .foreachBatch(handle).option("checkpointLocation", checkpoint))
