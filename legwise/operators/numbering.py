@@ -7,8 +7,9 @@ A window with no ``PARTITION BY`` moves every row to one task. Here:
    key, so partitions are balanced even when one day or key dominates);
 2. each row is tagged with its partition id and its index inside the
    partition (``monotonically_increasing_id`` keeps the index in the low 33
-   bits), and the tagged rows are checkpointed to the shared checkpoint folder
-   so a recomputation cannot reshuffle them;
+   bits), and the tagged rows are written once as a Parquet table in the
+   shared checkpoint folder (``spark.checkpoint.dir``) so a recomputation
+   cannot reshuffle them, and so the sort runs exactly once;
 3. the row count of each partition (one row per partition) gives a running
    offset, broadcast back: ``oid = offset(partition) + index + 1``.
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from legwise.session import checkpoint_dir
+from legwise.session import scratch_path
 
 _INDEX_MASK = (1 << 33) - 1
 
@@ -34,12 +35,14 @@ def global_row_number(df: DataFrame, order: list, out_col: str = "oid",
     """``df`` plus ``out_col`` = 1..n in ``order`` (ascending, nulls first for
     plain names). The order must be total for the numbering to repeat; add a
     tie-break column when it is not."""
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     tagged = (df.orderBy(*_sort_cols(order))
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     if materialize:
-        tagged = tagged.checkpoint(eager=True)
+        path = scratch_path(spark, "numbered")
+        tagged.write.mode("overwrite").parquet(path)
+        tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
