@@ -29,9 +29,24 @@ def dedupe_batch(batch: DataFrame, keys=KEYS) -> DataFrame:
             .select(*batch.columns))
 
 
-def new_rows(batch: DataFrame, existing: DataFrame | None, keys=KEYS) -> DataFrame:
-    """Rows of the deduplicated batch whose key is not stored yet."""
+def new_rows(batch: DataFrame, existing: DataFrame | None, keys=KEYS, min_date=None) -> DataFrame:
+    """Rows of the deduplicated batch whose key is not stored yet.
+
+    The stored side is cut to the batch's days first: a left-anti join gets
+    no dynamic partition pruning, so without this every run would shuffle the
+    keys of the whole stored table. ``min_date`` (known from the extract
+    watermark) gives a static partition filter; otherwise the batch's
+    min/max ``trip_date`` are scalar subqueries, which Spark evaluates before
+    listing the stored table's partitions.
+    """
     fresh = dedupe_batch(batch, keys)
     if existing is None:
         return fresh
-    return fresh.join(existing.select(*keys), list(keys), "left_anti")
+    stored = existing.select(*keys)
+    if min_date is not None:
+        stored = stored.filter(F.col("trip_date") >= F.lit(str(min_date)).cast("date"))
+    else:
+        bounds = batch.agg(F.struct(F.min("trip_date").alias("lo"), F.max("trip_date").alias("hi"))).scalar()
+        stored = stored.filter((F.col("trip_date") >= bounds.getField("lo"))
+                               & (F.col("trip_date") <= bounds.getField("hi")))
+    return fresh.join(stored, list(keys), "left_anti")

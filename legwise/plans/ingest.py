@@ -17,8 +17,8 @@ from legwise.config import IngestConfig
 from legwise.functions import geo as GEO
 from legwise.operators.clean import to_number
 from legwise.operators.spatial import assign_origin_destination
-from legwise.schemas import COORD_COLUMNS, RAW
-from legwise.session import ensure_session
+from legwise.schemas import COORD_COLUMNS, RAW, read_table
+from legwise.session import ensure_session, path_exists
 from legwise.sources import files as SF
 from legwise.sources.polygons import read_polygons
 
@@ -49,11 +49,25 @@ def enrich(df: DataFrame, cfg: IngestConfig, polygons: DataFrame | None) -> Data
 
 def discover_new_files(spark: SparkSession, cfg: IngestConfig) -> list[str]:
     """A1-A4 + J3: paths of matching files that are not in raw yet, sorted.
-    Only file names reach the driver."""
+
+    Only file names reach the driver (their number is the number of landing
+    files, not rows). The loaded-name check reads only the raw partitions of
+    the candidates' file dates (plus the null-date partition), not the whole
+    raw table.
+    """
     listing = SF.list_files(spark, cfg.landing_path)
     candidates = SF.matching_files(listing, cfg.filename_substring, cfg.file_suffix, cfg.only_years)
-    fresh = SF.new_files(candidates, SF.loaded_files(spark, cfg.raw_path))
-    return [r["path"] for r in fresh.select("path", "name").orderBy("name").collect()]
+    cands = candidates.select("path", "name").collect()
+    if not cands or not path_exists(spark, cfg.raw_path):
+        return sorted((r["path"] for r in cands), key=lambda p: p.rsplit("/", 1)[-1])
+    names = spark.createDataFrame([(r["path"], r["name"]) for r in cands], "path string, name string")
+    dated = names.withColumn("file_date", SF.file_date_from_name("name", cfg.filename_substring, cfg.file_suffix))
+    days = [r["file_date"] for r in dated.select("file_date").distinct().collect() if r["file_date"] is not None]
+    raw = read_table(spark, cfg.raw_path, "raw_leg_trips")
+    loaded = (raw.filter(F.col("file_date").isin(*days) | F.col("file_date").isNull())
+              .select("source_file").distinct())
+    fresh = SF.new_files(names, loaded)
+    return [r["path"] for r in fresh.orderBy("name").collect()]
 
 
 def ingest(spark: SparkSession, cfg: IngestConfig, polygons: DataFrame | None = None) -> int:
