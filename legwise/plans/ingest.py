@@ -17,7 +17,7 @@ from legwise.config import IngestConfig
 from legwise.functions import geo as GEO
 from legwise.operators.clean import to_number
 from legwise.operators.spatial import assign_origin_destination
-from legwise.schemas import COORD_COLUMNS, RAW, read_table
+from legwise.schemas import COORD_COLUMNS, RAW, RAW_INPUT_COLUMNS, read_table
 from legwise.session import ensure_session, path_exists
 from legwise.sources import files as SF
 from legwise.sources.polygons import read_polygons
@@ -79,8 +79,14 @@ def ingest(spark: SparkSession, cfg: IngestConfig, polygons: DataFrame | None =
         return 0
     if polygons is None and cfg.polygons_path:
         polygons = read_polygons(spark, cfg.polygons_path)
-    header = spark.read.option("header", "true").csv(paths[:1]).columns
-    csv = SF.read_leg_csv(spark, paths, extra_columns=tuple(header))
+    header = tuple(spark.read.option("header", "true").csv(paths[:1]).columns)
+    missing = [c for c in COORD_COLUMNS if c not in header]
+    if missing:  # C3: stop the run
+        raise KeyError(f"expected column(s) {missing} not found in {paths[0]}")
+    csv = SF.read_leg_csv(spark, paths, header)
+    for c in RAW_INPUT_COLUMNS:  # optional text columns absent from the export
+        if c not in csv.columns:
+            csv = csv.withColumn(c, F.lit(None).cast("string"))
     rows = enrich(csv, cfg, polygons)
     obs = Observation("ingest")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))

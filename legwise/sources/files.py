@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legwise.schemas import COORD_COLUMNS, RAW_INPUT_COLUMNS
+from legwise.schemas import COORD_COLUMNS
 
 DATE_IN_NAME = r"(\d{4})-\d{2}-\d{2}"
 
@@ -65,12 +65,10 @@ def matching_files(listing: DataFrame, substring: str, suffix: str, only_years=N
 def loaded_files(spark: SparkSession, raw_path: str | None) -> DataFrame:
     """A4: distinct non-null ``source_file`` of the raw table; empty when absent."""
     schema = T.StructType([T.StructField("source_file", T.StringType())])
-    if raw_path is None:
-        return spark.createDataFrame([], schema)
-    try:
-        raw = spark.read.parquet(raw_path)
-    except Exception:  # noqa: BLE001 - the table does not exist yet
+    from legwise.session import path_exists
+    if raw_path is None or not path_exists(spark, raw_path):
         return spark.createDataFrame([], schema)
+    raw = spark.read.schema("source_file string").parquet(raw_path)
     return raw.select("source_file").filter(F.col("source_file").isNotNull()).distinct()
 
 
@@ -79,14 +77,20 @@ def new_files(candidates: DataFrame, loaded: DataFrame, name_col: str = "name")
     return candidates.join(loaded.select(F.col("source_file").alias(name_col)), name_col, "left_anti")
 
 
-def read_leg_csv(spark: SparkSession, paths: list[str], extra_columns: tuple[str, ...] = ()) -> DataFrame:
+def read_leg_csv(spark: SparkSession, paths: list[str], header: tuple[str, ...] | None = None) -> DataFrame:
     """A5 + C1: CSV with header, every column as text (nothing is inferred), and
-    the file name as ``source_file``. Columns beyond the known ones pass
-    through as text when listed in ``extra_columns``."""
-    names = list(RAW_INPUT_COLUMNS) + [c for c in extra_columns if c not in RAW_INPUT_COLUMNS]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    the file name as ``source_file``.
+
+    ``header`` is the column order of the files (default: the first file's
+    header). Every file's header is checked against it (``enforceSchema`` off),
+    so a file with other columns or another order stops the read instead of
+    shifting values between columns. Malformed rows become nulls (PERMISSIVE).
+    """
+    if header is None:
+        header = tuple(spark.read.option("header", "true").csv(paths[:1]).columns)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     df = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-          .option("enforceSchema", "false")  # map by header name, not by position
+          .option("enforceSchema", "false")
           .schema(schema).csv(paths))
     return df.select("*", F.col("_metadata.file_name").alias("source_file"))
 

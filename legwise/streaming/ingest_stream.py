@@ -24,21 +24,28 @@ from legwise.sources import files as SF
 
 
 def leg_file_stream(spark: SparkSession, cfg: IngestConfig, max_files_per_trigger: int | None = None,
-                    extra_columns: tuple[str, ...] = ()) -> DataFrame:
-    names = list(RAW_INPUT_COLUMNS) + [c for c in extra_columns if c not in RAW_INPUT_COLUMNS]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+                    header: tuple[str, ...] = RAW_INPUT_COLUMNS) -> DataFrame:
+    """The landing folder as a stream of CSV rows. A stream's schema is fixed
+    up front: ``header`` is the files' column order, and each file's header is
+    checked against it (a file with another layout fails the micro-batch)."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     r = (spark.readStream.format("csv").schema(schema).option("header", "true")
+         .option("enforceSchema", "false")
          .option("pathGlobFilter", f"*{cfg.filename_substring}*{cfg.file_suffix}"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.load(cfg.landing_path).select("*", F.col("_metadata.file_name").alias("source_file"))
+    for c in RAW_INPUT_COLUMNS:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
     return df.filter(SF.year_allowed("source_file", cfg.only_years))
 
 
 def start_ingest_stream(spark: SparkSession, cfg: IngestConfig, checkpoint: str,
                         polygons: DataFrame | None = None, transform_cfg: TransformConfig | None = None,
                         available_now: bool = True, processing_time: str | None = None,
-                        max_files_per_trigger: int | None = None, today=None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None, today=None,
+                        header: tuple[str, ...] = RAW_INPUT_COLUMNS) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
     ensure_session(spark)
 
@@ -51,7 +58,7 @@ def start_ingest_stream(spark: SparkSession, cfg: IngestConfig, checkpoint: str,
         if transform_cfg is not None:
             transform(spark, transform_cfg, today=today)
 
-    w = (leg_file_stream(spark, cfg, max_files_per_trigger).writeStream
+    w = (leg_file_stream(spark, cfg, max_files_per_trigger, header).writeStream
          .foreachBatch(handle).option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
