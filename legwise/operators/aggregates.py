@@ -1,10 +1,13 @@
 """The seven daily aggregates of the refresh.
 
-Every aggregate is a ``groupBy().agg()`` over the flags, planned by Spark as a
-partial (map-side) aggregate, one Exchange on the group keys, and a final
-aggregate. Distinct counts add an ``Expand`` whose first shuffle is keyed by
-group keys *and* ``user_trip_id``, so a hot group is spread before it meets
-one task.
+Every table counts distinct trips. Instead of ``countDistinct`` (which Spark
+plans as an ``Expand`` that copies each row once per distinct set before the
+first shuffle), each table is aggregated in two levels: per (group, trip)
+— leg count, "has a transfer", and sum + count of every averaged column,
+all combined map-side — then per group. Same two shuffles, a third of the
+rows, no ``Expand``; the first shuffle is keyed by group *and* trip, so a hot
+group is spread over many tasks and arrives pre-aggregated. Averages are
+``sum / count`` over non-null values, as ``AVG`` is.
 
 G6 groups by the G5 keys minus ``route_short_name``, which is the same
 expression as ``to_route_short_name``; it is therefore a projection of G5
@@ -25,29 +28,48 @@ def _avg(c: str) -> Column:
     return F.avg(F.col(c).cast("double"))
 
 
-def _transfer_trip() -> Column:
-    return F.when(F.col("is_transfer_leg") == 1, F.col("user_trip_id"))
-
-
-def _flow_measures() -> list[Column]:
-    return [F.count(F.lit(1)).cast("int").alias("leg_count"),
-            F.countDistinct("user_trip_id").cast("int").alias("trip_count"),
-            F.countDistinct(_transfer_trip()).cast("int").alias("transfer_trip_count"),
-            _avg("manhattan_distance_mi").alias("avg_manhattan_mi"),
-            _avg("euclidean_distance_mi").alias("avg_euclidean_mi"),
-            _avg("start_longitude").alias("mean_start_lon"),
-            _avg("start_latitude").alias("mean_start_lat"),
-            _avg("end_longitude").alias("mean_end_lon"),
-            _avg("end_latitude").alias("mean_end_lat"),
-            _avg("leg_minutes").alias("avg_leg_minutes")]
-
-
-def _hotspot_measures() -> list[Column]:
-    return [F.count(F.lit(1)).cast("int").alias("transfer_events"),
-            F.countDistinct("user_trip_id").cast("int").alias("transfer_trips"),
-            _avg("start_longitude").alias("mean_lon"),
-            _avg("start_latitude").alias("mean_lat"),
-            _avg("leg_minutes").alias("avg_leg_minutes")]
+def by_trip(df: DataFrame, keys: list[str], avgs: dict[str, str], count_name: str, trips_name: str,
+            transfer_trips_name: str | None = None, transfer_legs_name: str | None = None) -> DataFrame:
+    """Two-level aggregate: ``count(*)``, ``count(DISTINCT user_trip_id)``,
+    optionally ``count(DISTINCT CASE WHEN is_transfer_leg = 1 THEN user_trip_id END)``
+    and ``sum(is_transfer_leg = 1)``, and ``avg`` of each ``avgs`` column."""
+    lvl1 = [F.count(F.lit(1)).alias("_n")]
+    if transfer_trips_name or transfer_legs_name:
+        tr = (F.col("is_transfer_leg") == 1).cast("int")
+        lvl1 += [F.max(tr).alias("_tr"), F.sum(tr).alias("_trl")]
+    for out, src in avgs.items():
+        v = F.col(src).cast("double")
+        lvl1 += [F.sum(v).alias(f"_s_{out}"), F.count(v).alias(f"_c_{out}")]
+    per_trip = df.groupBy(*keys, "user_trip_id").agg(*lvl1)
+    lvl2 = [F.sum("_n").cast("int").alias(count_name)]
+    if transfer_legs_name:
+        lvl2.append(F.sum("_trl").cast("int").alias(transfer_legs_name))
+    lvl2.append(F.count("user_trip_id").cast("int").alias(trips_name))
+    if transfer_trips_name:
+        lvl2.append(F.count(F.when(F.col("_tr") == 1, F.col("user_trip_id"))).cast("int")
+                    .alias(transfer_trips_name))
+    for out in avgs:
+        c = F.sum(f"_c_{out}")
+        lvl2.append(F.when(c > 0, F.sum(f"_s_{out}") / c).alias(out))
+    return per_trip.groupBy(*keys).agg(*lvl2)
+
+
+FLOW_AVGS = {"avg_manhattan_mi": "manhattan_distance_mi", "avg_euclidean_mi": "euclidean_distance_mi",
+             "mean_start_lon": "start_longitude", "mean_start_lat": "start_latitude",
+             "mean_end_lon": "end_longitude", "mean_end_lat": "end_latitude",
+             "avg_leg_minutes": "leg_minutes"}
+HOTSPOT_AVGS = {"mean_lon": "start_longitude", "mean_lat": "start_latitude", "avg_leg_minutes": "leg_minutes"}
+WALK_AVGS = {"avg_walk_minutes": "leg_minutes", "avg_walk_euclidean_mi": "euclidean_distance_mi",
+             "avg_walk_manhattan_mi": "manhattan_distance_mi", "mean_start_lon": "start_longitude",
+             "mean_start_lat": "start_latitude", "mean_end_lon": "end_longitude", "mean_end_lat": "end_latitude"}
+
+
+def _flows(df: DataFrame, keys: list[str]) -> DataFrame:
+    return by_trip(df, keys, FLOW_AVGS, "leg_count", "trip_count", transfer_trips_name="transfer_trip_count")
+
+
+def _hotspots(df: DataFrame, keys: list[str]) -> DataFrame:
+    return by_trip(df, keys, HOTSPOT_AVGS, "transfer_events", "transfer_trips")
 
 
 FLOW_DAILY_COLUMNS = ("trip_date", "Origin_BG", "Dest_BG", "service_group", "provider_name",
@@ -59,16 +81,16 @@ FLOW_DAILY_COLUMNS = ("trip_date", "Origin_BG", "Dest_BG", "service_group", "pro
 
 def flow_daily(flags: DataFrame) -> DataFrame:
     """G1: flows per day, origin, destination, service group and provider."""
-    return (flags.groupBy("trip_date", "Origin_BG", "Dest_BG", "service_group", "provider_name")
-            .agg(*_flow_measures()).select(*FLOW_DAILY_COLUMNS))
+    return _flows(flags, ["trip_date", "Origin_BG", "Dest_BG", "service_group", "provider_name"]) \
+        .select(*FLOW_DAILY_COLUMNS)
 
 
 def flow_daily_route(flags: DataFrame) -> DataFrame:
     """G1 split by the "to route" label."""
     return (flags.drop("route_short_name")
             .withColumnRenamed("to_route_short_name_label", "route_short_name")
-            .groupBy("trip_date", "route_short_name", "Origin_BG", "Dest_BG", "service_group", "provider_name")
-            .agg(*_flow_measures())
+            .transform(lambda d: _flows(d, ["trip_date", "route_short_name", "Origin_BG", "Dest_BG",
+                                            "service_group", "provider_name"]))
             .select("trip_date", "route_short_name", *FLOW_DAILY_COLUMNS[1:]))
 
 
@@ -80,9 +102,9 @@ def transfer_legs(flags: DataFrame) -> DataFrame:
 
 def transfer_hotspots(flags: DataFrame) -> DataFrame:
     """Transfer hotspots per day, key, provider and raw stop name."""
-    return (transfer_legs(flags)
-            .groupBy("trip_date", "hotspot_key", "provider_name", "start_stop_name")
-            .agg(*_hotspot_measures()))
+    return _hotspots(transfer_legs(flags), ["trip_date", "hotspot_key", "provider_name", "start_stop_name"]) \
+        .select("trip_date", "hotspot_key", "provider_name", "start_stop_name",
+                "transfer_events", "transfer_trips", "mean_lon", "mean_lat", "avg_leg_minutes")
 
 
 ROUTE_HOTSPOT_COLUMNS = ("trip_date", "route_short_name", "transfer_type", "hotspot_key", "hotspot_hash",
@@ -100,9 +122,8 @@ def transfer_hotspots_route(flags: DataFrame) -> DataFrame:
         F.coalesce(F.col("transfer_type"), F.lit("OTHER")).alias("transfer_type"),
         F.coalesce(F.col("from_route_short_name_label"), F.lit(L.NA_LABEL)).alias("from_route_short_name"),
         F.coalesce(F.col("to_route_short_name_label"), F.lit(L.NA_LABEL)).alias("to_route_short_name"))
-    agg = (legs.groupBy("trip_date", "transfer_type", "hotspot_key", "provider_name", "start_stop_name",
-                        "from_route_short_name", "to_route_short_name")
-           .agg(*_hotspot_measures()))
+    agg = _hotspots(legs, ["trip_date", "transfer_type", "hotspot_key", "provider_name", "start_stop_name",
+                           "from_route_short_name", "to_route_short_name"])
     return agg.select("trip_date", F.col("to_route_short_name").alias("route_short_name"), "transfer_type",
                       "hotspot_key", H.utf16_sha256("hotspot_key").alias("hotspot_hash"),
                       *ROUTE_HOTSPOT_COLUMNS[5:])
@@ -115,16 +136,13 @@ def transfer_hotspots_routepair(route_hotspots: DataFrame) -> DataFrame:
 
 def bg_summary(flags: DataFrame) -> DataFrame:
     """Per day and origin block group."""
-    trips = F.countDistinct("user_trip_id")
-    with_transfer = F.countDistinct(_transfer_trip())
-    return (flags.groupBy("trip_date", "Origin_BG")
-            .agg(F.count(F.lit(1)).cast("int").alias("legs"),
-                 F.sum(F.when(F.col("is_transfer_leg") == 1, 1).otherwise(0)).cast("int").alias("transfer_legs"),
-                 trips.cast("int").alias("trips"),
-                 with_transfer.cast("int").alias("trips_with_transfer"),
-                 F.when(trips == 0, F.lit(0.0))
-                  .otherwise(with_transfer.cast("double") / trips).alias("pct_trips_with_transfer"),
-                 _avg("leg_minutes").alias("avg_leg_minutes")))
+    t = by_trip(flags, ["trip_date", "Origin_BG"], {"avg_leg_minutes": "leg_minutes"}, "legs", "trips",
+                transfer_trips_name="trips_with_transfer", transfer_legs_name="transfer_legs")
+    return t.select("trip_date", "Origin_BG", "legs", "transfer_legs", "trips", "trips_with_transfer",
+                    F.when(F.col("trips") == 0, F.lit(0.0))
+                     .otherwise(F.col("trips_with_transfer").cast("double") / F.col("trips"))
+                     .alias("pct_trips_with_transfer"),
+                    "avg_leg_minutes")
 
 
 WALK_COLUMNS = ("trip_date", "walk_type", "related_service", "related_route", "stop_key", "stop_name",
@@ -159,17 +177,9 @@ def walk_roles(flags: DataFrame, types: tuple[str, ...] = ("ACCESS", "EGRESS"))
 
 def walk_access_egress(flags: DataFrame, types: tuple[str, ...] = ("ACCESS", "EGRESS")) -> DataFrame:
     """G7a + G7b (U1) in one group-by."""
-    return (walk_roles(flags, types)
-            .groupBy("trip_date", "walk_type", "related_service", "related_route", "stop_key", "stop_name")
-            .agg(F.count(F.lit(1)).cast("int").alias("walk_leg_count"),
-                 F.countDistinct("user_trip_id").cast("int").alias("trip_count"),
-                 _avg("leg_minutes").alias("avg_walk_minutes"),
-                 _avg("euclidean_distance_mi").alias("avg_walk_euclidean_mi"),
-                 _avg("manhattan_distance_mi").alias("avg_walk_manhattan_mi"),
-                 _avg("start_longitude").alias("mean_start_lon"),
-                 _avg("start_latitude").alias("mean_start_lat"),
-                 _avg("end_longitude").alias("mean_end_lon"),
-                 _avg("end_latitude").alias("mean_end_lat"))
+    return (by_trip(walk_roles(flags, types),
+                    ["trip_date", "walk_type", "related_service", "related_route", "stop_key", "stop_name"],
+                    WALK_AVGS, "walk_leg_count", "trip_count")
             .withColumn("provider_name", F.lit(L.UNKNOWN_PROVIDER))
             .select(*WALK_COLUMNS))
 
