@@ -51,3 +51,12 @@ def in_window(date_col, as_of, days_back: int) -> Column:
     start, end = window_bounds(as_of, days_back)
     d = _c(date_col)
     return (d >= start) & (d < end)
+
+
+def interval_seconds(delta) -> Column:
+    """A day-time interval as (fractional) seconds."""
+    d = F.col(delta) if isinstance(delta, str) else delta
+    return (F.extract(F.lit("DAY"), d).cast("double") * 86400.0
+            + F.extract(F.lit("HOUR"), d).cast("double") * 3600.0
+            + F.extract(F.lit("MINUTE"), d).cast("double") * 60.0
+            + F.extract(F.lit("SECOND"), d).cast("double"))

@@ -100,7 +100,8 @@ def test_utf16_hash(spark):
 
 @pytest.mark.parametrize("v", [0.0005, 0.00015, 1e-05, 1e7, 12345678.5, 1e16, 1.5e20, -98.69999999999999,
                                29.2, 0.0, -0.0, 123456789.125, 0.001, 2.5e-300, float("inf"),
-                               float("-inf"), float("nan"), -1234.5])
+                               float("-inf"), float("nan"), -1234.5, 1e22, 9007199254740993.0,
+                               1.7976931348623157e308, 0.1, 123456.789e3])
 def test_py_number_text(spark, v):
     df = spark.createDataFrame([(v,)], "x double")
     assert df.select(py_number_text("x")).first()[0] == repr(v)
