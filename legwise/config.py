@@ -66,6 +66,7 @@ class TransformConfig:
     region_prefix: str | None = None
     as_of: str | None = None                # default: today
     materialize: str = "parquet"
+    tune_shuffle: bool = False              # size shuffle partitions from the window's input
 
     @staticmethod
     def from_env(env: dict | None = None) -> "TransformConfig":
@@ -78,7 +79,7 @@ class TransformConfig:
             overlap_days=int(_opt(env, "OVERLAP_DAYS", "5")),
             days_back=int(_opt(env, "PROC_DAYS_BACK", "31")),
             region_prefix=_opt(env, "PROC_REGION_PREFIX"),
-            as_of=_opt(env, "AS_OF"))
+            as_of=_opt(env, "AS_OF"), tune_shuffle=_flag(env, "TUNE_SHUFFLE", "0"))
 
 
 @dataclass(frozen=True)

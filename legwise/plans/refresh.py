@@ -22,7 +22,7 @@ from legwise.operators import aggregates as G
 from legwise.operators import publish as P
 from legwise.operators.flags import flags as build_flags
 from legwise.schemas import TABLES
-from legwise.session import ensure_session, scratch_path
+from legwise.session import ensure_session, scratch_path, tune_shuffle_partitions
 
 AGGREGATE_TABLES = ("Flow_BG_BG_Daily", "Transfer_Hotspots_Daily", "BG_Summary_Daily",
                     "Flow_BG_BG_Daily_Route", "Transfer_Hotspots_Daily_Route",
@@ -94,10 +94,15 @@ def _write(df: DataFrame, path: str, partitioned: bool, fmt: str) -> None:
 
 def run_refresh(spark: SparkSession, clean: DataFrame, base_path: str, as_of=None, days_back: int = 31,
                 region_prefix: str | None = None, tie_break: str | None = "row_hash",
-                materialize: str = "parquet", fmt: str = "parquet") -> dict[str, str]:
+                materialize: str = "parquet", fmt: str = "parquet", tune_shuffle: bool = False) -> dict[str, str]:
     """B4 + B5: overwrite the seven aggregate tables (partitioned by
     ``trip_date``), then build the publish tables from the *written*
-    aggregates and overwrite them. Returns ``{table: path}``."""
+    aggregates and overwrite them. Returns ``{table: path}``. With
+    ``tune_shuffle`` the shuffle partition count is sized from the window's
+    input estimate first."""
+    if tune_shuffle:
+        from legwise.operators.flags import base_filter
+        tune_shuffle_partitions(spark, clean.filter(base_filter(as_of, days_back, region_prefix)))
     result = refresh(spark, clean, as_of, days_back, region_prefix, tie_break, materialize,
                      with_publish=False)
     paths = {}

@@ -90,3 +90,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def tune_shuffle_partitions(spark: SparkSession, df, target_bytes: int = TARGET_PARTITION_BYTES,
+                            max_partitions: int = 200_000) -> int:
+    """Size the initial shuffle partition count from Catalyst's estimate of
+    ``df``'s input so that a shuffle partition stays near ``target_bytes``
+    (AQE then coalesces small ones). Only raises the setting, never lowers
+    it; returns the value in effect."""
+    est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = min(max_partitions, max(1, -(-est // target_bytes)))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        return want
+    return current
