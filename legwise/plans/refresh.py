@@ -22,7 +22,7 @@ from legwise.operators import aggregates as G
 from legwise.operators import publish as P
 from legwise.operators.flags import flags as build_flags
 from legwise.schemas import TABLES
-from legwise.session import ensure_session, scratch_path, tune_shuffle_partitions
+from legwise.session import cleanup_scratch, ensure_session, scratch_path, tune_shuffle_partitions
 
 AGGREGATE_TABLES = ("Flow_BG_BG_Daily", "Transfer_Hotspots_Daily", "BG_Summary_Daily",
                     "Flow_BG_BG_Daily_Route", "Transfer_Hotspots_Daily_Route",
@@ -116,4 +116,5 @@ def run_refresh(spark: SparkSession, clean: DataFrame, base_path: str, as_of=Non
     for name, df in publish_tables(stored, as_of, days_back).items():
         paths[name] = f"{base_path.rstrip('/')}/{name}"
         _write(df, paths[name], False, fmt)
+    cleanup_scratch(spark)  # flags and numbered rows are no longer read
     return paths

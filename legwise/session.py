@@ -77,11 +77,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder for a written table."""
+    """A unique path under the shared checkpoint folder for a written table;
+    remembered so that :func:`cleanup_scratch` can remove it."""
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def cleanup_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far (call once every
+    DataFrame reading them has been written out). Returns how many."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
