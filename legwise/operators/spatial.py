@@ -2,21 +2,28 @@
 
 Plan:
 
-1. every polygon's bounding box is cut into grid cells (``cell`` degrees);
-   per cell, the candidate polygons are collected into one array sorted by
-   id — a table of (cell -> candidates);
-2. every point gets exactly one cell (``floor(lon/cell), floor(lat/cell)``)
-   and is left-joined to that table on the cell key, so each point row stays
-   one row and unmatched points keep a null id;
-3. the exact test runs on the candidate array with built-in higher-order
-   functions: even-odd ray casting summed over all rings (holes and
-   multi-polygons work), and a point on an edge or vertex is *not* inside
-   (``within``). The first (smallest-id) containing polygon wins, which
-   settles overlapping polygons deterministically (D-7).
-
-The cell table is broadcast only when its measured size (candidate vertices)
-is under ``broadcast_vertices``; otherwise both sides are shuffled on the cell
-key and AQE's skew handling splits hot cells (dense downtown points).
+1. Polygon edges are bucketed by grid cell (``cell`` degrees). A horizontal
+   ray from a point to +x can only cross edges that straddle the point's
+   latitude, i.e. edges in the point's row band, and only edges that reach
+   the point's cell or lie to its right. Edges entirely right of the cell
+   that span the whole band are crossed by every ray from the cell: they are
+   folded into a parity bit. Per (cell, polygon) the table keeps that bit and
+   the few remaining edges; per cell, the candidates sorted by polygon id.
+   All classifications compare ``floor(v / cell)`` values, which is monotonic
+   and therefore exact in floating point.
+2. Every point gets exactly one cell and is left-joined to that table on the
+   cell key, so each point row stays one row and unmatched points keep a null
+   id.
+3. The exact test runs on the candidate array with built-in higher-order
+   functions: even-odd crossing count (parity bit + remaining edges) — holes
+   and multi-polygons included — and a point on an edge or vertex is *not*
+   inside (``within``). The first (smallest-id) containing polygon wins,
+   which settles overlapping polygons deterministically (D-7).
+
+Per point the work is proportional to the edges near its cell row, not to
+the polygon size. The cell table is broadcast only when its measured edge
+count is under a bound; otherwise both sides are shuffled on the cell key and
+AQE's skew handling splits hot cells (dense downtown points).
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CELL = 0.01
-DEFAULT_BROADCAST_VERTICES = 2_000_000
+DEFAULT_BROADCAST_EDGES = 2_000_000
 
 
 def _rings(polygons: DataFrame) -> DataFrame:
@@ -35,70 +42,87 @@ def _rings(polygons: DataFrame) -> DataFrame:
     return polygons.select("bg_id", F.array(F.col("ring")).alias("rings"))
 
 
+def _cell(v: Column, cell: float) -> Column:
+    return F.floor(v / F.lit(float(cell)))
+
+
 def polygon_cells(polygons: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
-    """``cx, cy, cands array<struct<bg_id, minx, miny, maxx, maxy, rings>>``."""
+    """``cx, cy, cands array<struct<bg_id, minx, miny, maxx, maxy, base, edges>>``;
+    ``base`` is the parity of the always-crossed edges, ``edges`` the rest
+    (``x1, y1, x2, y2``) that a ray from this cell may cross or touch."""
     p = _rings(polygons)
     pts = F.flatten(F.col("rings"))
-    p = p.select("bg_id", "rings",
-                 F.array_min(F.transform(pts, lambda q: q["x"])).alias("minx"),
-                 F.array_max(F.transform(pts, lambda q: q["x"])).alias("maxx"),
-                 F.array_min(F.transform(pts, lambda q: q["y"])).alias("miny"),
-                 F.array_max(F.transform(pts, lambda q: q["y"])).alias("maxy"))
-    c = F.lit(float(cell))
-    p = (p.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))))
-          .withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / c), F.floor(F.col("maxy") / c)))))
-    cand = F.struct("bg_id", "minx", "miny", "maxx", "maxy", "rings")
-    return p.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
-
-
-def _edge_terms(px: Column, py: Column, ring: Column):
-    """Per-edge lambdas over a closed ring (first vertex repeated last)."""
-    def vx(i):
-        return F.element_at(ring, i)["x"]
-
-    def vy(i):
-        return F.element_at(ring, i)["y"]
-
-    def crossing(acc, i):
-        xi, yi, xj, yj = vx(i), vy(i), vx(i + 1), vy(i + 1)
-        straddles = (yi > py) != (yj > py)
-        x_at = (xj - xi) * (py - yi) / (yj - yi) + xi
-        return acc + F.when(straddles & (px < x_at), 1).otherwise(0)
-
-    def on_edge(i):
-        xi, yi, xj, yj = vx(i), vy(i), vx(i + 1), vy(i + 1)
-        cross = (xj - xi) * (py - yi) - (yj - yi) * (px - xi)
-        return ((cross == 0) & (px >= F.least(xi, xj)) & (px <= F.greatest(xi, xj))
-                & (py >= F.least(yi, yj)) & (py <= F.greatest(yi, yj)))
-    return crossing, on_edge
+    boxes = p.select("bg_id",
+                     F.array_min(F.transform(pts, lambda q: q["x"])).alias("minx"),
+                     F.array_max(F.transform(pts, lambda q: q["x"])).alias("maxx"),
+                     F.array_min(F.transform(pts, lambda q: q["y"])).alias("miny"),
+                     F.array_max(F.transform(pts, lambda q: q["y"])).alias("maxy"))
+    cells = (boxes.withColumn("cx", F.explode(F.sequence(_cell(F.col("minx"), cell), _cell(F.col("maxx"), cell))))
+             .withColumn("cy", F.explode(F.sequence(_cell(F.col("miny"), cell), _cell(F.col("maxy"), cell)))))
+    # every ring edge, bucketed into the row bands its y-range touches
+    ring = p.select("bg_id", F.explode("rings").alias("r"))
+    edges = ring.select("bg_id", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("r") - 1),
+        lambda i: F.struct(F.element_at("r", i)["x"].alias("x1"), F.element_at("r", i)["y"].alias("y1"),
+                           F.element_at("r", i + 1)["x"].alias("x2"), F.element_at("r", i + 1)["y"].alias("y2"))))
+                        .alias("e")).select("bg_id", "e.*")
+    edges = edges.select("*",
+                         _cell(F.least("x1", "x2"), cell).alias("ex0"), _cell(F.greatest("x1", "x2"), cell).alias("ex1"),
+                         _cell(F.least("y1", "y2"), cell).alias("ey0"), _cell(F.greatest("y1", "y2"), cell).alias("ey1"))
+    banded = edges.withColumn("cy", F.explode(F.sequence("ey0", "ey1")))
+    # per (cell, polygon): edges that reach the cell or lie right of it, in its band
+    pairs = cells.join(banded, ["bg_id", "cy"]).filter(F.col("ex1") >= F.col("cx"))
+    always = (F.col("ex0") > F.col("cx")) & (F.col("ey0") < F.col("cy")) & (F.col("ey1") > F.col("cy"))
+    per_poly = (pairs.groupBy("cx", "cy", "bg_id", "minx", "miny", "maxx", "maxy")
+                .agg((F.sum(always.cast("int")) % 2).cast("int").alias("base"),
+                     F.filter(F.collect_list(F.when(~always, F.struct("x1", "y1", "x2", "y2"))),
+                              lambda e: e.isNotNull()).alias("edges")))
+    # cells of a polygon's box that no edge band reaches lie outside it (above/below)
+    cand = F.struct("bg_id", "minx", "miny", "maxx", "maxy", "base", "edges")
+    return per_poly.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
+
+
+def _crosses(px: Column, py: Column, e: Column) -> Column:
+    x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
+    straddles = (y1 > py) != (y2 > py)
+    return straddles & (px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
+
+
+def _on_edge(px: Column, py: Column, e: Column) -> Column:
+    x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
+    cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
+    return ((cross == 0) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2))
+            & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2)))
+
+
+def point_in_candidate(px: Column, py: Column, c: Column) -> Column:
+    """Strictly inside under the even-odd rule; a point on a boundary is outside."""
+    crossings = F.aggregate(c["edges"], c["base"],
+                            lambda acc, e: acc + F.when(_crosses(px, py, e), 1).otherwise(0))
+    return ((crossings % 2) == 1) & ~F.exists(c["edges"], lambda e: _on_edge(px, py, e))
 
 
 def point_in_rings(px: Column, py: Column, rings: Column) -> Column:
-    """Strictly inside under the even-odd rule over all rings; a point on a
-    boundary is outside."""
-    def ring_count(r):
-        crossing, _ = _edge_terms(px, py, r)
-        return F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), F.lit(0), crossing)
-
-    def ring_touch(r):
-        _, on_edge = _edge_terms(px, py, r)
-        return F.exists(F.sequence(F.lit(1), F.size(r) - 1), on_edge)
-    total = F.aggregate(rings, F.lit(0), lambda acc, r: acc + ring_count(r))
-    touches = F.exists(rings, ring_touch)
-    return ((total % 2) == 1) & ~touches
+    """The same test against whole rings (no cell table), for small inputs."""
+    def edge(r, i):
+        return F.struct(F.element_at(r, i)["x"].alias("x1"), F.element_at(r, i)["y"].alias("y1"),
+                        F.element_at(r, i + 1)["x"].alias("x2"), F.element_at(r, i + 1)["y"].alias("y2"))
+    all_edges = F.flatten(F.transform(rings, lambda r: F.transform(F.sequence(F.lit(1), F.size(r) - 1),
+                                                                     lambda i: edge(r, i))))
+    return point_in_candidate(px, py, F.struct(F.lit(0).alias("base"), all_edges.alias("edges")))
 
 
 def containing_id(px: Column, py: Column, cands: Column) -> Column:
     """Id of the first candidate (smallest id) that strictly contains the point."""
     hits = F.filter(cands, lambda c: (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
-                    & point_in_rings(px, py, c["rings"]))
+                    & point_in_candidate(px, py, c))
     return F.try_element_at(hits, F.lit(1))["bg_id"]
 
 
-def cell_table_vertices(cells: DataFrame) -> int:
-    """Total candidate vertices in the cell table (one small aggregate)."""
+def cell_table_edges(cells: DataFrame) -> int:
+    """Total candidate edges in the cell table (one small aggregate)."""
     v = cells.select(F.aggregate(F.col("cands"), F.lit(0).cast("long"),
-                                 lambda acc, c: acc + F.size(F.flatten(c["rings"])).cast("long")).alias("v")) \
+                                 lambda acc, c: acc + F.size(c["edges"]).cast("long") + 1).alias("v")) \
         .agg(F.sum("v")).first()[0]
     return int(v or 0)
 
@@ -107,11 +131,10 @@ def assign_polygon(points: DataFrame, cells: DataFrame, lon: str, lat: str, out:
                    cell: float = DEFAULT_CELL, broadcast: bool | None = None) -> DataFrame:
     """Left join each point to the polygon containing it (``out`` = id or null).
     ``broadcast``: None = decide by measured size, True/False = force."""
-    c = F.lit(float(cell))
-    p = points.withColumn("_cx", F.floor(F.col(lon) / c)).withColumn("_cy", F.floor(F.col(lat) / c))
+    p = points.withColumn("_cx", _cell(F.col(lon), cell)).withColumn("_cy", _cell(F.col(lat), cell))
     table = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("cands").alias("_cands"))
     if broadcast is None:
-        broadcast = cell_table_vertices(cells) <= DEFAULT_BROADCAST_VERTICES
+        broadcast = cell_table_edges(cells) <= DEFAULT_BROADCAST_EDGES
     if broadcast:
         table = F.broadcast(table)
     joined = p.join(table, ["_cx", "_cy"], "left")
@@ -128,6 +151,6 @@ def assign_origin_destination(legs: DataFrame, polygons: DataFrame, cell: float
     once and used for both ends."""
     cells = polygon_cells(polygons, cell)
     if broadcast is None:
-        broadcast = cell_table_vertices(cells) <= DEFAULT_BROADCAST_VERTICES
+        broadcast = cell_table_edges(cells) <= DEFAULT_BROADCAST_EDGES
     legs = assign_polygon(legs, cells, start[0], start[1], out[0], cell, broadcast)
     return assign_polygon(legs, cells, end[0], end[1], out[1], cell, broadcast)
