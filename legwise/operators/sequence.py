@@ -40,8 +40,34 @@ def _plain(df: DataFrame, keys, order, lags, leads, seq_col) -> DataFrame:
     return df.select("*", *cols)
 
 
+_HOT_CACHE: dict = {}
+
+
+def _cache_key(df: DataFrame, keys, rows_per_task):
+    """Same plan over the same files -> same sample. Appended or rewritten
+    Parquet data has new file names, so it gets a new key."""
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), tuple(keys), rows_per_task)
+    except Exception:  # noqa: BLE001 - no stable key: do not cache
+        return None
+
+
 def detect_hot_keys(df: DataFrame, keys: list[str],
                     rows_per_task: int = DEFAULT_ROWS_PER_TASK, seed: int = 7) -> DataFrame | None:
+    ck = _cache_key(df, keys, rows_per_task)
+    if ck is not None and ck in _HOT_CACHE:
+        rows, schema = _HOT_CACHE[ck]
+        return None if rows is None else df.sparkSession.createDataFrame(rows, schema)
+    hot = _detect_hot_keys(df, keys, rows_per_task, seed)
+    if ck is not None:
+        if len(_HOT_CACHE) > 64:
+            _HOT_CACHE.clear()
+        _HOT_CACHE[ck] = (None, None) if hot is None else (hot.collect(), hot.schema)
+    return hot
+
+
+def _detect_hot_keys(df: DataFrame, keys: list[str],
+                     rows_per_task: int = DEFAULT_ROWS_PER_TASK, seed: int = 7) -> DataFrame | None:
     """Keys whose estimated row count reaches ``rows_per_task / 2``, with that
     estimate as ``_est_rows``; ``None`` when there are none.
 
