@@ -113,8 +113,8 @@ def grid_polygons(spark: SparkSession) -> DataFrame:
                             struct(x0 AS x, y0 + {GRID_STEP}D AS y), struct(x0 AS x, y0 AS y)) AS ring
         FROM (SELECT concat('48029', lpad(cast(ix * 100 + iy AS string), 7, '0')) AS bg_id,
                      {GRID_X0}D + ix * {GRID_STEP}D AS x0, {GRID_Y0}D + iy * {GRID_STEP}D AS y0
-              FROM (SELECT explode(sequence(0, {GRID_N - 1})) AS ix)
-              CROSS JOIN (SELECT explode(sequence(0, {GRID_N - 1})) AS iy))
+              FROM (SELECT k DIV {GRID_N} AS ix, k % {GRID_N} AS iy
+                    FROM (SELECT explode(sequence(0, {GRID_N * GRID_N - 1})) AS k)))
     """)
 
 
@@ -136,4 +136,4 @@ def grid_cells_sql() -> str:
     """Grid squares as boxes for the DuckDB box-test oracle."""
     return (f"SELECT concat('48029', lpad(CAST(ix * 100 + iy AS VARCHAR), 7, '0')) AS bg_id, "
             f"{GRID_X0} + ix * {GRID_STEP} AS x0, {GRID_Y0} + iy * {GRID_STEP} AS y0 "
-            f"FROM range(0, {GRID_N}) t1(ix) CROSS JOIN range(0, {GRID_N}) t2(iy)")
+            f"FROM (SELECT k // {GRID_N} AS ix, k % {GRID_N} AS iy FROM range(0, {GRID_N * GRID_N}) t(k))")
