@@ -47,26 +47,31 @@ def enrich(df: DataFrame, cfg: IngestConfig, polygons: DataFrame | None) -> Data
     return df.select(*[F.col(f.name).cast(f.dataType) for f in RAW.fields], *extra)
 
 
+def loaded_among(spark: SparkSession, cfg: IngestConfig, names: DataFrame, name_col: str = "name") -> DataFrame:
+    """A4 for a known set of candidate names: ``source_file`` values already in
+    raw, reading only the raw partitions of the candidates' file dates (and
+    the null-date partition) instead of the whole table. The candidate dates
+    reach the driver: one per file, not per row."""
+    if not path_exists(spark, cfg.raw_path):
+        return spark.createDataFrame([], "source_file string")
+    dates = (names.select(SF.file_date_from_name(name_col, cfg.filename_substring, cfg.file_suffix).alias("d"))
+             .filter(F.col("d").isNotNull()).distinct().collect())
+    raw = read_table(spark, cfg.raw_path, "raw_leg_trips")
+    return (raw.filter(F.col("file_date").isin(*[r["d"] for r in dates]) | F.col("file_date").isNull())
+            .select("source_file").distinct())
+
+
 def discover_new_files(spark: SparkSession, cfg: IngestConfig) -> list[str]:
     """A1-A4 + J3: paths of matching files that are not in raw yet, sorted.
-
     Only file names reach the driver (their number is the number of landing
-    files, not rows). The loaded-name check reads only the raw partitions of
-    the candidates' file dates (plus the null-date partition), not the whole
-    raw table.
-    """
+    files, not rows)."""
     listing = SF.list_files(spark, cfg.landing_path)
     candidates = SF.matching_files(listing, cfg.filename_substring, cfg.file_suffix, cfg.only_years)
     cands = candidates.select("path", "name").collect()
-    if not cands or not path_exists(spark, cfg.raw_path):
-        return sorted((r["path"] for r in cands), key=lambda p: p.rsplit("/", 1)[-1])
+    if not cands:
+        return []
     names = spark.createDataFrame([(r["path"], r["name"]) for r in cands], "path string, name string")
-    dated = names.withColumn("file_date", SF.file_date_from_name("name", cfg.filename_substring, cfg.file_suffix))
-    days = [r["file_date"] for r in dated.select("file_date").distinct().collect() if r["file_date"] is not None]
-    raw = read_table(spark, cfg.raw_path, "raw_leg_trips")
-    loaded = (raw.filter(F.col("file_date").isin(*days) | F.col("file_date").isNull())
-              .select("source_file").distinct())
-    fresh = SF.new_files(names, loaded)
+    fresh = SF.new_files(names, loaded_among(spark, cfg, names))
     return [r["path"] for r in fresh.orderBy("name").collect()]
 
 

@@ -16,10 +16,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from legwise.config import IngestConfig, TransformConfig
-from legwise.plans.ingest import enrich
+from legwise.plans.ingest import enrich, loaded_among
 from legwise.plans.transform import transform
 from legwise.schemas import RAW_INPUT_COLUMNS
-from legwise.session import ensure_session, path_exists
+from legwise.session import ensure_session
 from legwise.sources import files as SF
 
 
@@ -50,11 +50,12 @@ def start_ingest_stream(spark: SparkSession, cfg: IngestConfig, checkpoint: str,
     ensure_session(spark)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        rows = enrich(batch, cfg, polygons)
-        if path_exists(spark, cfg.raw_path):
-            loaded = SF.loaded_files(spark, cfg.raw_path)
-            rows = rows.join(loaded, "source_file", "left_anti")
+        batch = batch.persist()  # read once for the file names and once for the rows
+        names = batch.select(F.col("source_file").alias("name")).distinct()
+        loaded = loaded_among(spark, cfg, names)
+        rows = enrich(batch, cfg, polygons).join(loaded, "source_file", "left_anti")
         rows.write.mode("append").partitionBy("file_date").parquet(cfg.raw_path)
+        batch.unpersist()
         if transform_cfg is not None:
             transform(spark, transform_cfg, today=today)
 
