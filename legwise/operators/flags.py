@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from legwise.functions import labels as L
 from legwise.functions import timefns as T
-from legwise.operators.sequence import sequence_within
+from legwise.operators.sequence import DEFAULT_ROWS_PER_TASK, sequence_within
 
 TRIP_KEYS = ("user_trip_id", "trip_date")
 TRIP_ORDER = ("start_time_utc", "end_time_utc")
@@ -58,13 +58,13 @@ def base_legs(clean: DataFrame, as_of=None, days_back: int = 31,
 
 
 def ordered_legs(base: DataFrame, tie_break: str | None = "row_hash",
-                 hot_keys: DataFrame | str | None = "auto") -> DataFrame:
+                 hot_keys: DataFrame | str | None = "auto", rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """``leg_seq`` and the previous/next leg's service, route and stop,
     all over one window ``(user_trip_id, trip_date) ORDER BY start, end``.
     ``tie_break`` is appended to the order so results repeat."""
     order = list(TRIP_ORDER) + ([tie_break] if tie_break else [])
     return sequence_within(base, list(TRIP_KEYS), order, lags=LAGS, leads=LEADS,
-                           seq_col="leg_seq", hot_keys=hot_keys)
+                           seq_col="leg_seq", hot_keys=hot_keys, rows_per_task=rows_per_task)
 
 
 def add_flags(ordered: DataFrame) -> DataFrame:
@@ -80,8 +80,10 @@ def add_flags(ordered: DataFrame) -> DataFrame:
 
 
 def flags(clean: DataFrame, as_of=None, days_back: int = 31, region_prefix: str | None = None,
-          tie_break: str | None = "row_hash", hot_keys: DataFrame | str | None = "auto") -> DataFrame:
-    """The whole flag stage (``#flags`` of the reference) as one lazy plan."""
+          tie_break: str | None = "row_hash", hot_keys: DataFrame | str | None = "auto",
+          rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+    """The whole flag stage (``#flags`` of the reference) as one lazy plan.
+    Trips above ``rows_per_task`` legs take the split window path."""
     keep = (tie_break,) if tie_break else ()
     base = base_legs(clean, as_of, days_back, region_prefix, keep=keep)
-    return add_flags(ordered_legs(base, tie_break, hot_keys=hot_keys))
+    return add_flags(ordered_legs(base, tie_break, hot_keys=hot_keys, rows_per_task=rows_per_task))

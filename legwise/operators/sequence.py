@@ -77,7 +77,7 @@ def _detect_hot_keys(df: DataFrame, keys: list[str],
     """
     spark = df.sparkSession
     fraction = min(1.0, _SAMPLE_HITS / float(rows_per_task))
-    min_hits = max(1, _SAMPLE_HITS // 2)
+    min_hits = max(1, int(math.ceil(rows_per_task / 2.0 * fraction)))
     sampled = (df.select(*keys).sample(withReplacement=False, fraction=fraction, seed=seed)
                .groupBy(*keys).count().filter(F.col("count") >= min_hits))
     hot = sampled.collect()

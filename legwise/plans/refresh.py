@@ -72,12 +72,14 @@ def publish_tables(tables: dict[str, DataFrame], as_of=None, days_back: int = 31
 
 def refresh(spark: SparkSession, clean: DataFrame, as_of=None, days_back: int = 31,
             region_prefix: str | None = None, tie_break: str | None = "row_hash",
-            materialize: str = "parquet", hot_keys="auto", with_publish: bool = True) -> RefreshResult:
+            materialize: str = "parquet", hot_keys="auto", with_publish: bool = True,
+            rows_per_task: int | None = None) -> RefreshResult:
     """Build the seven aggregates (and, with ``with_publish``, the three
     publish tables) over ``[as_of - days_back, as_of)``; ``as_of`` defaults to
     today. Aggregates are lazy; numbering a publish table runs one job."""
     ensure_session(spark)
-    f = build_flags(clean, as_of, days_back, region_prefix, tie_break, hot_keys=hot_keys)
+    kw = {"rows_per_task": rows_per_task} if rows_per_task else {}
+    f = build_flags(clean, as_of, days_back, region_prefix, tie_break, hot_keys=hot_keys, **kw)
     f, persisted = materialize_flags(f, materialize)
     tables = G.all_aggregates(f)
     if with_publish:

@@ -56,3 +56,12 @@ def test_null_key_can_be_hot(spark):
 
 def test_no_hot_keys_on_fixture(spark):
     assert detect_hot_keys(FX.legs(spark, SF_SMALL), ["user_trip_id", "trip_date"]) is None
+
+
+def test_auto_detection_with_low_threshold_matches_plain(spark):
+    """End to end through flags(): a tiny threshold makes the busiest trips hot."""
+    legs = FX.legs(spark, SF_SMALL)
+    plain = flags(legs, FX.AS_OF, FX.DAYS_BACK, tie_break="event_id", hot_keys=None)
+    auto = flags(legs, FX.AS_OF, FX.DAYS_BACK, tie_break="event_id", hot_keys="auto", rows_per_task=8)
+    assert "Union" in auto._jdf.queryExecution().optimizedPlan().toString()  # the split path was taken
+    assert rows(auto) == rows(plain)
