@@ -94,29 +94,60 @@ def _write(df: DataFrame, path: str, partitioned: bool, fmt: str) -> None:
     w.save(path)
 
 
+def _swap_in(spark: SparkSession, staged: dict[str, str], final: dict[str, str]) -> None:
+    """Move each staged table over its final path (rename, then drop the old
+    copy). Readers see either the old or the new version of each table."""
+    import uuid
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name, src in staged.items():
+        s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(final[name])
+        fs = d.getFileSystem(conf)
+        old = None
+        if fs.exists(d):
+            old = jvm.org.apache.hadoop.fs.Path(f"{final[name]}.old-{uuid.uuid4().hex[:8]}")
+            if not fs.rename(d, old):
+                raise OSError(f"could not move {final[name]} aside")
+        if not fs.rename(s, d):
+            if old is not None:
+                fs.rename(old, d)
+            raise OSError(f"could not move {src} to {final[name]}")
+        if old is not None:
+            fs.delete(old, True)
+
+
 def run_refresh(spark: SparkSession, clean: DataFrame, base_path: str, as_of=None, days_back: int = 31,
                 region_prefix: str | None = None, tie_break: str | None = "row_hash",
                 materialize: str = "parquet", fmt: str = "parquet", tune_shuffle: bool = False) -> dict[str, str]:
-    """B4 + B5: overwrite the seven aggregate tables (partitioned by
-    ``trip_date``), then build the publish tables from the *written*
-    aggregates and overwrite them. Returns ``{table: path}``. With
-    ``tune_shuffle`` the shuffle partition count is sized from the window's
-    input estimate first."""
+    """B4 + B5 + T7: build the seven aggregate tables (partitioned by
+    ``trip_date``) and the publish tables (from the *written* aggregates)
+    under a staging folder, then swap all ten into ``base_path/<table>``. A
+    failure before the swap leaves every old table untouched. Returns
+    ``{table: path}``. With ``tune_shuffle`` the shuffle partition count is
+    sized from the window's input estimate first."""
+    import uuid
     if tune_shuffle:
         from legwise.operators.flags import base_filter
         tune_shuffle_partitions(spark, clean.filter(base_filter(as_of, days_back, region_prefix)))
+    base = base_path.rstrip("/")
+    stage = f"{base}/_staging-{uuid.uuid4().hex[:12]}"
     result = refresh(spark, clean, as_of, days_back, region_prefix, tie_break, materialize,
                      with_publish=False)
-    paths = {}
+    staged = {}
     try:
         for name in AGGREGATE_TABLES:
-            paths[name] = f"{base_path.rstrip('/')}/{name}"
-            _write(result.tables[name], paths[name], True, fmt)
+            staged[name] = f"{stage}/{name}"
+            _write(result.tables[name], staged[name], True, fmt)
     finally:
         result.release()
-    stored = {name: spark.read.schema(TABLES[name]).format(fmt).load(p) for name, p in paths.items()}
+    stored = {name: spark.read.schema(TABLES[name]).format(fmt).load(p) for name, p in staged.items()}
     for name, df in publish_tables(stored, as_of, days_back).items():
-        paths[name] = f"{base_path.rstrip('/')}/{name}"
-        _write(df, paths[name], False, fmt)
+        staged[name] = f"{stage}/{name}"
+        _write(df, staged[name], False, fmt)
+    final = {name: f"{base}/{name}" for name in staged}
+    _swap_in(spark, staged, final)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(stage)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     cleanup_scratch(spark)  # flags and numbered rows are no longer read
-    return paths
+    return final
