@@ -26,7 +26,7 @@ def latest_rows(df: DataFrame, n: int = 10, date_col: str = "trip_date", tie_bre
 
 def file_date_watermark(raw: DataFrame, col: str = "file_date_raw") -> DataFrame:
     """Latest parseable file date; bad values are ignored."""
-    return raw.agg(F.max(F.try_to_timestamp(F.col(col).cast("string"))).alias("watermark"))
+    return raw.agg(F.max(F.try_to_timestamp(F.col(col).cast("string"))).cast("timestamp_ntz").alias("watermark"))
 
 
 def run_counters(**counts: int) -> dict[str, int]:

@@ -54,10 +54,13 @@ def loaded_among(spark: SparkSession, cfg: IngestConfig, names: DataFrame, name_
     reach the driver: one per file, not per row."""
     if not path_exists(spark, cfg.raw_path):
         return spark.createDataFrame([], "source_file string")
-    dates = (names.select(SF.file_date_from_name(name_col, cfg.filename_substring, cfg.file_suffix).alias("d"))
+    # as text: Python datetimes would come back as local-zone literals
+    dates = (names.select(SF.file_date_from_name(name_col, cfg.filename_substring, cfg.file_suffix)
+                          .cast("string").alias("d"))
              .filter(F.col("d").isNotNull()).distinct().collect())
+    days = [F.lit(r["d"]).cast("timestamp_ntz") for r in dates]
     raw = read_table(spark, cfg.raw_path, "raw_leg_trips")
-    return (raw.filter(F.col("file_date").isin(*[r["d"] for r in dates]) | F.col("file_date").isNull())
+    return (raw.filter(F.col("file_date").isin(*days) | F.col("file_date").isNull())
             .select("source_file").distinct())
 
 
