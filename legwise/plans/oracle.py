@@ -10,12 +10,23 @@ from __future__ import annotations
 
 import datetime as dt
 
+from legwise.functions import labels as L
 from legwise.sources import fixtures as FX
 
 _AS_OF = dt.date.fromisoformat(FX.AS_OF)
 START = (_AS_OF - dt.timedelta(days=FX.DAYS_BACK)).isoformat()
 END = _AS_OF.isoformat()
-FIXED, DEMAND = "'AGENCY_FIXED_ROUTE'", "'AGENCY_DEMAND_RESPONSE'"
+FIXED, DEMAND = f"'{L.FIXED_ROUTE_SERVICE}'", f"'{L.DEMAND_RESPONSE_SERVICE}'"
+PROVIDERS = ", ".join(f"'{p}'" for p in L.KNOWN_PROVIDERS)
+
+
+def _mode_arms() -> str:
+    groups: dict[str, list[str]] = {}
+    for mode, group in L.MODE_GROUPS:
+        groups.setdefault(group, []).append(mode)
+    return "\n         ".join(
+        f"WHEN lower(mode) IN ({', '.join(repr(m) for m in modes)}) THEN '{group}'"
+        for group, modes in groups.items())
 
 
 def nb(x: str) -> str:
@@ -59,13 +70,9 @@ def base_cte(prefix: str | None = None) -> str:
     Origin_BG, Dest_BG, manhattan_distance_mi, euclidean_distance_mi,
     CASE WHEN service_name = {FIXED} THEN 'FIXED_ROUTE'
          WHEN service_name = {DEMAND} THEN 'DEMAND_RESPONSE'
-         WHEN lower(mode) = 'walk' THEN 'WALK'
-         WHEN lower(mode) IN ('bike', 'bikeshare') THEN 'BIKE'
-         WHEN lower(mode) = 'scooter' THEN 'SCOOTER'
-         WHEN lower(mode) = 'rideshare' THEN 'RIDESHARE'
-         WHEN lower(mode) = 'transit' THEN 'OTHER_TRANSIT'
+         {_mode_arms()}
          ELSE 'OTHER' END AS service_group,
-    CASE WHEN service_name IN ({FIXED}, {DEMAND}, 'BIKESHARE', 'SCOOTER_VENDOR', 'RIDESHARE_VENDOR')
+    CASE WHEN service_name IN ({PROVIDERS})
          THEN service_name ELSE '(UNKNOWN)' END AS provider_name,
     CASE WHEN start_time_utc IS NOT NULL AND end_time_utc IS NOT NULL AND end_time_utc >= start_time_utc
          THEN CAST(date_diff('second', start_time_utc, end_time_utc) AS DOUBLE) / 60.0 END AS leg_minutes
