@@ -118,3 +118,15 @@ def test_config_errors():
                                    "ONLY_YEARS": "2024,2025", "RUN_MODULE3_IF_NO_NEW": "yes"})
     assert cfg.ingest.only_years == (2024, 2025) and cfg.run_publish_if_no_new and cfg.publish_enabled
     assert cfg.transform.days_back == 31 and cfg.transform.rolling_days == 34
+
+
+def test_every_table_can_be_declared(spark, tmp):
+    from legwise.schemas import PARTITION_COLUMNS, TABLES
+    for i, table in enumerate(TABLES):
+        name = f"decl_{i}"
+        create_table_if_absent(spark, table, path=f"{tmp}/t{i}", name=name)
+        cols = spark.table(name).columns
+        assert set(cols) == {f.name for f in TABLES[table].fields}
+        parts = PARTITION_COLUMNS.get(table, ())
+        assert tuple(cols[len(cols) - len(parts):]) == parts  # partition columns come last
+        spark.sql(f"DROP TABLE {name}")
