@@ -8,11 +8,13 @@ group holding a large share of the rows would then be sorted by one task. So:
 1. hot groups are found from a sample of the key columns (no group is ever
    collected; only the bounded list of hot keys reaches the driver);
 2. rows of normal groups take the plain window;
-3. rows of hot groups are range-partitioned on ``keys + order`` (Spark samples
-   the full sort key, so a hot group is split into contiguous chunks), the
-   window runs per ``(keys, chunk)``, and a small per-chunk summary (count,
-   first and last row) fixes ``row_number`` offsets and the ``lag``/``lead``
-   values that cross a chunk edge.
+3. rows of hot groups get a chunk id before any shuffle: a per-key sample
+   of the order columns gives sorted chunk boundaries (about one per
+   ``rows_per_task`` rows), and a binary search over them numbers each row's
+   contiguous chunk. One hash exchange on ``(keys, chunk)`` then feeds the
+   window, and a small per-chunk summary (count, first and last row) fixes
+   ``row_number`` offsets and the ``lag``/``lead`` values that cross a chunk
+   edge.
 
 Both paths give exactly the same result; the choice only moves work.
 """
@@ -88,14 +90,63 @@ def _detect_hot_keys(df: DataFrame, keys: list[str],
     return spark.createDataFrame(rows, schema)
 
 
-def _chunked(df: DataFrame, keys, order, lags, leads, seq_col, n_chunks: int) -> DataFrame:
-    """Window over hot groups split into contiguous range chunks."""
+_BOUND_SAMPLES = 16  # sampled rows per chunk used to place its boundary
+_SEARCH_STEPS = 24   # binary-search depth: up to 16M chunks per key
+
+
+def _null_safe_on(left: DataFrame, right: DataFrame, keys, prefix: str):
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[f"{prefix}{k}"])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def _chunk_bounds(df: DataFrame, hot_keys: DataFrame, keys, order, rows_per_task: int,
+                  seed: int = 11) -> DataFrame:
+    """Per hot key: sorted array of order-struct boundaries, one per chunk of
+    about ``rows_per_task`` rows. Built from a per-key sample of about
+    ``_BOUND_SAMPLES`` rows per chunk, so its size is bounded by
+    ``hot rows / rows_per_task`` boundaries."""
+    hk = hot_keys.select(*[F.col(k).alias(f"_b_{k}") for k in keys],
+                         F.greatest(F.lit(1.0), F.ceil(F.col("_est_rows") / rows_per_task)).alias("_chunks"),
+                         F.col("_est_rows"))
+    hk = hk.withColumn("_frac", F.least(F.lit(1.0), F.col("_chunks") * _BOUND_SAMPLES / F.col("_est_rows")))
+    ordv = F.struct(*[F.col(c) for c in order]).alias("_o")
+    sample = (df.join(F.broadcast(hk), _null_safe_on(df, hk, keys, "_b_"), "inner")
+              .filter(F.rand(seed) < F.col("_frac"))
+              .select(*keys, "_chunks", ordv))
+    w = Window.partitionBy(*keys).orderBy("_o")
+    sample = sample.select("*", F.row_number().over(w).alias("_rn"),
+                           F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"))
+    step = F.greatest(F.lit(1), F.floor(F.col("_n") / F.col("_chunks")))
+    cuts = sample.filter((F.col("_rn") % step == 0) & (F.col("_rn") < F.col("_n")))
+    return cuts.groupBy(*keys).agg(F.sort_array(F.collect_list("_o")).alias("_bounds"))
+
+
+def _chunk_of(ordv: Column, bounds: Column) -> Column:
+    """Number of boundaries <= the row's order struct (binary search over the
+    sorted array): the row's chunk, monotone in the order."""
+    n = F.coalesce(F.size(bounds), F.lit(0))
+
+    def step(lo, i):
+        cand = lo + F.call_function("shiftleft", F.lit(1), F.lit(_SEARCH_STEPS - 1) - i)
+        return F.when((cand <= n) & (F.element_at(bounds, cand.cast("int")) <= ordv), cand).otherwise(lo)
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(
+        F.aggregate(F.sequence(F.lit(0), F.lit(_SEARCH_STEPS - 1)), F.lit(0), step))
+
+
+def _chunked(df: DataFrame, hot_keys: DataFrame, keys, order, lags, leads, seq_col,
+             rows_per_task: int) -> DataFrame:
+    """Window over hot groups split into contiguous chunks (one shuffle)."""
     ck = "_chunk"
-    ranged = (df.repartitionByRange(n_chunks, *[F.col(k).asc_nulls_first() for k in keys],
-                                    *_order_cols(order))
-              .withColumn(ck, F.spark_partition_id()))
+    bounds = _chunk_bounds(df, hot_keys, keys, order, rows_per_task)
+    bounds = bounds.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_bounds")
+    tagged = (df.join(F.broadcast(bounds), _null_safe_on(df, bounds, keys, "_c_"), "left")
+              .withColumn(ck, _chunk_of(F.struct(*[F.col(c) for c in order]), F.col("_bounds")))
+              .drop("_bounds", *[f"_c_{k}" for k in keys]))
     w = Window.partitionBy(*keys, ck).orderBy(*_order_cols(order))
-    local = ranged.select(
+    local = tagged.select(
         "*", F.row_number().over(w).alias("_rn"),
         *[F.lag(src).over(w).alias(f"_lag_{out}") for out, src in lags.items()],
         *[F.lead(src).over(w).alias(f"_lead_{out}") for out, src in leads.items()])
@@ -113,13 +164,11 @@ def _chunked(df: DataFrame, keys, order, lags, leads, seq_col, n_chunks: int) ->
         F.coalesce(F.sum("_cnt").over(sw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.lag("_last").over(sw).alias("_prev_last"),
         F.lead("_first").over(sw).alias("_next_first"))
-    # The summary has at most (#hot keys + #chunks) rows: a proven bound.
+    # The summary has one row per (hot key, chunk): a proven bound.
     # Null-safe on the keys: a null key can be the hot one.
     summary = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
                              *[c for c in summary.columns if c not in keys])
-    cond = local[ck] == summary[ck]
-    for k in keys:
-        cond = cond & local[k].eqNullSafe(summary[f"_s_{k}"])
+    cond = (local[ck] == summary[ck]) & _null_safe_on(local, summary, keys, "_s_")
     joined = local.join(F.broadcast(summary), cond, "inner").drop(summary[ck])
     out = [(F.col("_rn") + F.col("_offset")).cast("int").alias(seq_col)]
     out += [F.when(F.col("_rn") == 1, F.col(f"_prev_last.{o}")).otherwise(F.col(f"_lag_{o}")).alias(o)
@@ -149,16 +198,12 @@ def sequence_within(df: DataFrame, keys: list[str], order: list[str],
 
     if "_est_rows" not in hot_keys.columns:
         hot_keys = hot_keys.withColumn("_est_rows", F.lit(float(rows_per_task)))
-    est = hot_keys.agg(F.sum("_est_rows")).first()[0] or 0.0
-    n_chunks = max(2, int(math.ceil(est / rows_per_task)))
+    hot_keys = hot_keys.select(*keys, F.col("_est_rows").cast("double"))
     # Null-safe key match: a null key can be the hot one.
     hot = F.broadcast(hot_keys.select(*[F.col(k).alias(f"_hk_{k}") for k in keys]).distinct())
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(hot[f"_hk_{k}"])
-        cond = c if cond is None else cond & c
+    cond = _null_safe_on(df, hot, keys, "_hk_")
     normal_rows = df.join(hot, cond, "left_anti")
     hot_rows = df.join(hot, cond, "left_semi")
     plain = _plain(normal_rows, keys, order, lags, leads, seq_col)
-    chunked = _chunked(hot_rows, keys, order, lags, leads, seq_col, n_chunks)
+    chunked = _chunked(hot_rows, hot_keys, keys, order, lags, leads, seq_col, rows_per_task)
     return plain.unionByName(chunked)
