@@ -4,7 +4,7 @@
 rewrites that text with built-in string functions only.
 
 The digits are Java's ``Double.toString`` digits. On Java 17 these are now
-and then one digit longer than the shortest form (fixed in Java 19), e.g.
+and then a digit or two longer than the shortest form (fixed in Java 19), e.g.
 ``5.1979116758276648e+16`` where Python prints ``5.197911675827665e+16``; the
 text still parses back to the same double and is the same on every run, which
 is all the row hash needs. Exact shortest digits would need a per-value retry
