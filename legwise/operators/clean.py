@@ -47,7 +47,10 @@ def clean_transform(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     nums = {c: to_number(c) for c in NUMERIC_COLUMNS}
     hashed = {c: F.col(c).cast("string") for c in ("user_trip_id", "start_time", "end_time",
                                                    "source_file", "file_date_raw", "Origin_BG", "Dest_BG")}
-    hashed.update({c: py_number_text(nums[c]) for c in NUMERIC_COLUMNS[:4]})
+    # one converter applied to the four coordinates (a small lambda, not four
+    # copies of a large expression in the generated code)
+    texts = F.transform(F.array(*[nums[c] for c in NUMERIC_COLUMNS[:4]]), py_number_text)
+    hashed.update({c: F.element_at(texts, i + 1) for i, c in enumerate(NUMERIC_COLUMNS[:4])})
     out = raw.select(
         *keep, H.row_hash(hashed).alias("row_hash"),
         F.col("user_trip_id").cast("string").alias("user_trip_id"),
