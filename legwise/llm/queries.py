@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from legwise.llm import exact_dedup, warc
+from legwise.llm import exact_dedup, packing, warc
 from legwise.llm.common import table
 
 
@@ -12,12 +13,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_packing": op6_packing,
     "op10_warc": op10_warc,
 }
 
@@ -31,7 +38,7 @@ ORACLE_SQL = {
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
         q AS (SELECT *, octet_length(b) AS payload_bytes, max(page_id) OVER (PARTITION BY h) AS top FROM p)
         SELECT page_id, payload_bytes,
-               array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                    1 + (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT) >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '')
                    AS payload_digest,
                CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
