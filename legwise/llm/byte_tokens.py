@@ -11,24 +11,27 @@ from functools import lru_cache
 
 import regex
 import tiktoken
+from tokenizers import Tokenizer
 
 #: The published pre-token pattern of this tokenizer family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_ANY = regex.compile(PATTERN)
 
 # The same pattern for texts of plain ASCII and Latin letters, with the classes
 # spelt out, which the standard module scans faster.
 _LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_DIGIT}]+"
                     rf"| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+")
+_ANY = regex.compile(PATTERN)
 _IS_LATIN = re.compile("[\t-\r -~ -ɏ]*").fullmatch
 
 #: Most different pre-tokens whose ids a worker remembers.
 REMEMBERED = 400_000
 
 
-def pattern_for(text: str):
-    return _LATIN if _IS_LATIN(text) else _ANY
+def pre_tokens(text: str, at: int = 0):
+    """Matches of the pre-token pattern from ``at`` on; the pattern looks behind
+    no match, so a scan may start at any boundary."""
+    return (_LATIN if _IS_LATIN(text) else _ANY).finditer(text, at)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,7 +48,8 @@ class Encoder(dict):
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        to_byte = byte_alphabet()
+        self._to_byte = to_byte = byte_alphabet()
+        self._words = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
         self._encode = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks,
                                          special_tokens={})._core_bpe.encode_single_piece
@@ -55,11 +59,14 @@ class Encoder(dict):
         self._special = re.compile(f"({names})") if names else None
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array.array("I", self._encode(piece.encode())).tobytes()
+        ids = self._packed(piece.encode())
         if len(self) < REMEMBERED and len(piece) < 64:
             self[piece] = ids
         return ids
 
+    def _packed(self, raw: bytes) -> bytes:
+        return array.array("I", self._encode(raw)).tobytes()
+
     def ids(self, text: str) -> bytes:
         """Packed ids of a whole text; special tokens in it get their own id."""
         if self._special is not None and "<|" in text:
@@ -68,7 +75,11 @@ class Encoder(dict):
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, pattern_for(text).findall(text)))
+        if _IS_LATIN(text):
+            return b"".join(map(self.__getitem__, _LATIN.findall(text)))
+        to_byte = self._to_byte
+        return b"".join([self._packed(bytes([to_byte[c] for c in word]))
+                         for word, _ in self._words(text)])
 
 
 @lru_cache(maxsize=2)
