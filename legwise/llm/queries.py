@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, packing, warc
+from legwise.llm import bpe, exact_dedup, html_text, packing, warc
 from legwise.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_bpe": op3_bpe,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
     "op10_warc": op10_warc,
 }
 
