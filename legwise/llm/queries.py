@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, html_text, packing, warc
+from legwise.llm import bpe, exact_dedup, html_text, packing, shingle_join, warc
 from legwise.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.json"))
@@ -39,6 +43,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_bpe": op3_bpe,
+    "op4_ngram_join": op4_ngram_join,
     "op6_packing": op6_packing,
     "op7_html_text": op7_html_text,
     "op10_warc": op10_warc,
