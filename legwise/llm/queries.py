@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, html_text, packing, shingle_join, warc
+from legwise.llm import bpe, exact_dedup, html_text, language_id, packing, shingle_join, warc
 from legwise.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify_documents(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "language", "confidence", F.col("accepted").alias("kept"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,6 +47,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_ngram_join": op4_ngram_join,
     "op6_packing": op6_packing,
