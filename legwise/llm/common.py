@@ -54,6 +54,46 @@ def slices(offsets: np.ndarray, limit: int):
         lo = hi
 
 
+_MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BASE = 0x9E3779B97F4A7C15
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: every input bit reaches every output bit."""
+    x = (x ^ (x >> np.uint64(30))) * _MIX_A
+    x = (x ^ (x >> np.uint64(27))) * _MIX_B
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case."""
+    return data + np.where((data >= 65) & (data <= 90), 32, 0).astype(np.uint8)
+
+
+def word_hashes(low: np.ndarray, space: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit hash) of each word of the texts low[at[i]:at[i+1]];
+    words are the runs where ``space`` is false."""
+    if not len(low):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    edge = np.zeros(len(low) + 1, bool)
+    edge[at] = True
+    before = np.concatenate([[True], space[:-1]]) | edge[:-1]
+    after = np.concatenate([space[1:], [True]]) | edge[1:]
+    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
+    # Polynomial hashes from running sums, shifted back to the word start.
+    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[low]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(_BASE, len(low)), dtype=np.uint64)])
+    shift = powers(pow(_BASE, -1, 1 << 64), len(low))
+    hashes = mix((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
+    return np.searchsorted(at, starts, side="right") - 1, hashes
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a long, b long), as (node, root):
     root is the smallest node reachable; nodes without edges are not listed.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, html_text, language_id, packing, shingle_join, warc
+from legwise.llm import bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join, warc
 from legwise.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op6_packing": op6_packing,
     "op7_html_text": op7_html_text,
+    "op8_license_scan": op8_license_scan,
     "op10_warc": op10_warc,
 }
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legwise.llm.common import components, cut, slices, text_bytes
+from legwise.llm.common import components, cut, lower, mix, powers, slices, text_bytes, word_hashes
 
 WIDTH = 5
 #: Frequent shingles put last in the global order.
@@ -47,44 +47,13 @@ FREQUENT = 1 << 16
 SLICE = 1 << 22
 PIVOT_ROUNDS = 2
 
-_MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = 0x9E3779B97F4A7C15
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX_A
-    x = (x ^ (x >> np.uint64(27))) * _MIX_B
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 def shingle_hashes(data: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """(document number, hash) of every shingle of the texts data[at[i]:at[i+1]]."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    if not len(data):
-        return none
-    low = data + np.where((data >= 65) & (data <= 90), 32, 0).astype(np.uint8)
-    space = (low == 32) | ((low >= 9) & (low <= 13))
-    edge = np.zeros(len(low) + 1, bool)
-    edge[at] = True
-    before = np.concatenate([[True], space[:-1]]) | edge[:-1]
-    after = np.concatenate([space[1:], [True]]) | edge[1:]
-    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
-    if not len(starts):
-        return none
-    # Polynomial word hashes from running sums, shifted back to the word start.
-    values = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[low]
-    sums = np.concatenate([np.zeros(1, np.uint64),
-                           np.cumsum(values * _powers(_BASE, len(low)), dtype=np.uint64)])
-    shift = _powers(pow(_BASE, -1, 1 << 64), len(low))
-    words = _mix((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
-    doc = np.searchsorted(at, starts, side="right") - 1
-    factor = _powers(_MIX_A.item(), width + 1)[1:]
+    low = lower(data)
+    doc, words = word_hashes(low, (low == 32) | ((low >= 9) & (low <= 13)), at)
+    if not len(words):
+        return doc, words
+    factor = powers(0xBF58476D1CE4E5B9, width + 1)[1:]
     n = len(words)
     docs, hashes = [], []
     if n >= width:
@@ -98,7 +67,7 @@ def shingle_hashes(data: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tupl
         if len(lot):
             docs.append(short[count == k])
             hashes.append(sum(words[lot + j] * factor[j] for j in range(k)) + np.uint64(k))
-    return np.concatenate(docs), _mix(np.concatenate(hashes))
+    return np.concatenate(docs), mix(np.concatenate(hashes))
 
 
 def _frequent(limit: int):
