@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join, warc
+from legwise.llm import bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join, vector_links, warc
 from legwise.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.vector_components(table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_html_text": op7_html_text,
     "op8_license_scan": op8_license_scan,
+    "op9_vector_links": op9_vector_links,
     "op10_warc": op10_warc,
 }
 
