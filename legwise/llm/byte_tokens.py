@@ -28,10 +28,10 @@ _IS_LATIN = re.compile("[\t-\r -~ -ɏ]*").fullmatch
 REMEMBERED = 400_000
 
 
-def pre_tokens(text: str, at: int = 0):
+def any_pre_tokens(text: str, at: int = 0):
     """Matches of the pre-token pattern from ``at`` on; the pattern looks behind
     no match, so a scan may start at any boundary."""
-    return (_LATIN if _IS_LATIN(text) else _ANY).finditer(text, at)
+    return _ANY.finditer(text, at)
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join, vector_links, warc
+from legwise.llm import bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join, token_counts, vector_links, warc
 from legwise.llm.common import table
 
 
@@ -32,6 +32,23 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts every document, then redacts in each the longest run of digits
+    (the first of them; without digits, the text gets a closing line), and
+    recounts from the trees. The edits are derived from the texts."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    runs = F.regexp_extract_all("text", F.lit("[0-9]+"), 0)
+    longest = F.aggregate(runs, F.lit(""), lambda a, r: F.when(F.length(r) > F.length(a), r).otherwise(a))
+    digits = docs.withColumn("digits", longest)
+    edit = F.when(F.length("digits") > 0, F.struct(
+        (F.instr("text", F.col("digits")) - 1).alias("start"), F.length("digits").alias("removed"),
+        F.lit("[number]").alias("inserted"))).otherwise(
+        F.struct(F.length("text").alias("start"), F.lit(0).alias("removed"), F.lit("\n[end]").alias("inserted")))
+    counted = token_counts.count(digits.select("doc_id", "text", F.array(edit).alias("edits")), vocabulary)
+    return token_counts.recount(counted, vocabulary).select("doc_id", "n_before", "n_tokens", "n_encoded_chars")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,6 +75,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_ngram_join": op4_ngram_join,
+    "op5_token_counts": op5_token_counts,
     "op6_packing": op6_packing,
     "op7_html_text": op7_html_text,
     "op8_license_scan": op8_license_scan,
