@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legwise.llm.common import components, cut, lower, mix, powers, slices, text_bytes, word_hashes
+from legwise.llm.common import (components, cut, lower, mix, powers, shuffle_width, slices, text_bytes,
+                                word_hashes)
 
 WIDTH = 5
 #: Frequent shingles put last in the global order.
@@ -46,6 +47,10 @@ FREQUENT = 1 << 16
 #: Text bytes worked on at a time (a longer text stands alone).
 SLICE = 1 << 22
 PIVOT_ROUNDS = 2
+#: Keys from here on are the frequent shingles, in order.
+FIRST_FREQUENT = 1 << 62
+#: Entries of a list this far apart are compared before the list is kept.
+NEAR = 8
 
 def shingle_hashes(data: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """(document number, hash) of every shingle of the texts data[at[i]:at[i+1]]."""
@@ -98,14 +103,15 @@ def frequent_shingles(texts: DataFrame, limit: int = FREQUENT) -> np.ndarray:
 def _ordered(data, at, frequent: np.ndarray):
     """Distinct shingle keys of each text in the global order: keys, bounds."""
     doc, h = shingle_hashes(data, at)
-    key = h >> np.uint64(1)
+    key = h >> np.uint64(2)
     if len(frequent):
         by_hash = np.argsort(frequent.view(np.uint64))
         ordered = frequent.view(np.uint64)[by_hash]
         place = np.minimum(np.searchsorted(ordered, h), len(ordered) - 1)
         hot = ordered[place] == h
-        key[hot] = np.uint64(1 << 63) + by_hash[place[hot]].astype(np.uint64)
-    order = np.lexsort((key, doc))
+        key[hot] = np.uint64(FIRST_FREQUENT) + by_hash[place[hot]].astype(np.uint64)
+    order = np.argsort(key)
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(at) < 1 << 16 else np.int64), kind="stable")]
     doc, key = doc[order], key[order]
     new = np.ones(len(key), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
@@ -139,12 +145,83 @@ def _sets(frequent: np.ndarray, whole: bool):
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with the sizes of their sets and of the intersection."""
+def _met(rows: pa.Table) -> pa.RecordBatch:
+    """The entries that can meet another one of their list. Entries up to NEAR
+    places apart are compared; longer lists are kept whole."""
+    h, n, i = (rows[c].to_numpy() for c in ("h", "n", "i"))
+    reach, keep = 4 * n - 7 * i.astype(np.int64), np.zeros(len(h), bool)
+    for s in range(1, min(NEAR, len(h) - 1) + 1):
+        meet = (h[s:] == h[:-s]) & (3 * n[s:] <= reach[:-s]) & (3 * n[:-s] <= reach[s:])
+        keep[s:] |= meet
+        keep[:-s] |= meet
+    if len(h) > NEAR:
+        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        length = np.diff(np.append(start, len(h)))
+        keep |= np.repeat(length > NEAR + 1, length)
+    return rows.filter(pa.array(keep)).combine_chunks()
+
+
+def _meeting(batches):
+    """Streams entries sorted by h; a list may span batches."""
+    held = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part])
+        h = held["h"].to_numpy()
+        whole = int(np.searchsorted(h, h[-1])) if len(h) else 0
+        if whole:
+            yield from _met(held.slice(0, whole)).to_batches()
+            held = held.slice(whole)
+    if held is not None and held.num_rows:
+        yield from _met(held).to_batches()
+
+
+def _in_lists(entries: DataFrame) -> DataFrame:
+    """Entries of lists in which some entry can meet another one. Lists of
+    frequent shingles need no look, so they are not gathered;
+    the others are as short as the Misra-Gries bound says."""
+    spark = entries.sparkSession
+    rare = (entries.where(F.col("h") < FIRST_FREQUENT).repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
+            .mapInArrow(_meeting, entries.schema))
+    return rare.unionByName(entries.where(F.col("h") >= FIRST_FREQUENT))
+
+
+def _sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with sizes and keys of both sets."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("keys").alias("ka"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("kb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")))
+    return pairs.join(left, "a").join(right, "b")
+
+
+class _Sets:
+    """The sets of the classes: ``heads`` (node, n, keys of the prefix, digest,
+    rep) is written, whole sets are read from the texts when asked for."""
+
+    def __init__(self, texts: DataFrame, heads: DataFrame, frequent: np.ndarray):
+        self.texts, self.heads, self.frequent = texts, heads, frequent
+
+    def of(self, nodes: DataFrame) -> DataFrame:
+        wanted = self.heads.join(nodes, "node", "left_semi").select(
+            F.col("rep").alias("r"), "node", F.col("digest").alias("d"), F.col("n").alias("m"))
+        return (self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("r"))).select("text", "node", "d", "m")
+                .mapInArrow(_sets(self.frequent, whole=True),
+                            "node long, d long, m long, digest long, n long, keys array<long>")
+                .where("digest = d AND n = m").select("node", "n", "keys"))
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) with set sizes na, nb and the size o of the intersection.
+        Pairs whose prefixes already rule out a link are left out: up to the last
+        key both prefixes cover, the common shingles are known exactly."""
+        bound = (_sides(pairs, self.heads)
+                 .withColumn("upto", F.least(F.element_at("ka", -1), F.element_at("kb", -1)))
+                 .withColumn("most", F.size(F.array_intersect("ka", "kb")) + F.least(
+                     F.col("na") - F.size(F.filter("ka", lambda k: k <= F.col("upto"))),
+                     F.col("nb") - F.size(F.filter("kb", lambda k: k <= F.col("upto"))))))
+        likely = cut(bound.where("7 * most >= 3 * (na + nb)").select("a", "b"), "shingle-likely")
+        nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = cut(self.of(nodes), "shingle-sets")
+        return cut(_sides(likely, sets).select(
+            "a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")), "shingle-checked")
 
 
 def _linked(checked: DataFrame) -> DataFrame:
@@ -174,9 +251,9 @@ def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def set_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
+def set_links(lists: DataFrame, sets: _Sets) -> DataFrame:
     """Links (a, b) of nodes that connect exactly what all links connect.
-    lists: (h, node, n, i); sets: (node, n, keys)."""
+    lists: (h, node, n, i)."""
     links = checked = pivots = None
     for k in range(PIVOT_ROUNDS):
         open_lists = _with_component(lists, links)
@@ -189,7 +266,7 @@ def set_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
                  .select(*_pair("node", "p")).distinct())
         if checked is not None:
             asked = asked.join(checked, ["a", "b"], "left_anti")
-        found = cut(_verify(asked, sets), "shingle-checked")
+        found = sets.verify(asked)
         checked = found if checked is None else checked.unionByName(found)
         links = _linked(checked)
         if pivots is None:
@@ -207,7 +284,7 @@ def set_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         "x.comp <> y.comp AND (y.comp = y.big OR x.node < y.node)"
         " AND NOT coalesce(abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i"))
         .select(*_pair("x.node", "y.node")).distinct().join(checked, ["a", "b"], "left_anti"))
-    return links.unionByName(_linked(cut(_verify(rest, sets), "shingle-rest")))
+    return links.unionByName(_linked(sets.verify(rest)))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -215,28 +292,18 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per input row: doc_id, n_shingles, component_id."""
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hot = frequent_shingles(texts.select("text"), frequent)
-    shape = "doc_id long, digest long, n long, keys array<long>"
-    rows = cut(texts.mapInArrow(_sets(hot, whole=False), shape), "shingle-prefixes")
-    # first_value per task, so copies are reduced before the shuffle
-    classes = cut(rows.where("n > 0").groupBy("digest", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-        .withColumn("node", F.coalesce("rep", F.col("digest"))), "shingle-classes")
-
-    lists = classes.select("node", "n", F.posexplode("keys").alias("i", "h"))
-    shared = (lists.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.max(F.expr("7 * i <= n")).alias("front"))
-              .where("c > 1 AND front").select("h"))
-    lists = cut(lists.join(shared, "h", "left_semi"), "shingle-lists")
-
-    active = classes.join(lists.select("node").distinct(), "node", "left_semi").select("rep", "digest", "n", "node")
-    chosen = texts.join(active.select(F.col("rep").alias("r"), "node", F.col("digest").alias("d"),
-                                      F.col("n").alias("m")), F.col("doc_id").eqNullSafe(F.col("r")))
-    sets = (chosen.select("text", "node", "d", "m")
-            .mapInArrow(_sets(hot, whole=True), "node long, d long, m long, digest long, n long, keys array<long>")
-            .where("digest = d AND n = m").select("node", "n", "keys"))
-    sets = cut(sets.dropDuplicates(["node", "n"]), "shingle-sets")
-
+    made = texts.mapInArrow(_sets(hot, whole=False), "doc_id long, digest long, n long, keys array<long>")
+    rows = cut(made.select("doc_id", "digest", "n"), "shingle-rows")
+    # Copies are reduced in each task before the prefixes move.
+    heads = cut(made.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"),
+                                                              F.first("keys").alias("keys"))
+                .withColumn("node", F.coalesce("rep", "digest")), "shingle-heads")
+    lists = cut(_in_lists(heads.select("node", "n", F.posexplode("keys").alias("i", "h"))), "shingle-lists")
+    if rows.groupBy("doc_id", "digest", "n").count().where("count > 1").limit(1).count():
+        texts = texts.dropDuplicates()  # repeated rows
+    sets = _Sets(texts, heads, hot)
     comps = components(set_links(lists, sets), "shingle-components")
-    home = cut(classes.select("digest", "n", "node", "rep").join(comps, "node", "left")
+    home = cut(heads.select("digest", "n", "node", "rep").join(comps, "node", "left")
                .select("digest", "n", F.coalesce("root", "rep").alias("component_id")), "shingle-home")
     return (rows.select("doc_id", "digest", "n").join(home, ["digest", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
