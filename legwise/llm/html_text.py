@@ -1,7 +1,7 @@
 """Operator 7: main text of web pages by consensus host paths.
 
 1. Every page is cut into text blocks, each with the generalised path of its
-   ancestors (tags with their classes, digits folded). Blocks below menus,
+   ancestors (tags with their classes, digits in classes folded). Blocks below menus,
    page headers, footers, sidebars, notices, adverts, forms or comments are
    furniture. A page's containers are scored by the share of its remaining text
    that they hold; the deepest one that holds nearly all of it gets the vote.
@@ -72,7 +72,7 @@ def _described(tag: str, raw: str, in_article: bool) -> tuple[str, bool, bool]:
     whether by the words of its class or id."""
     attrs = {k.lower(): unescape(v.strip("\"'")) for k, v in _ATTR.findall(raw)} if "=" in raw else {}
     classes = attrs.get("class", "").split()
-    step = _DIGITS.sub("#", ".".join([tag, *sorted(classes)]))
+    step = ".".join([tag, *sorted(_DIGITS.sub("#", c) for c in classes)])
     by_tag = (tag in FURNITURE_TAGS or (tag == "header" and not in_article)
               or attrs.get("role", "").lower() in FURNITURE_ROLES or attrs.get("aria-hidden") == "true"
               or bool(_HIDDEN.search(attrs.get("style", "")))
@@ -167,9 +167,15 @@ def _find_end(html: str, tag: str, at: int) -> int:
 
 
 def _good(found):
-    """The blocks that are not furniture; class words are ignored on a page that
-    would lose all its text by them."""
-    return [b for b in found if not b[2] and not b[3]] or [b for b in found if not b[2]]
+    """The blocks that are not furniture. Class words are ignored on a page that
+    would lose its article by them: what lies in an article or main element, or
+    beside the first-level heading, is kept then."""
+    rest = [b for b in found if not b[2]]
+    inside = [b for b in rest if not b[3]] or [b for b in rest if "/article" in b[1] or "/main" in b[1]]
+    if not inside:
+        beside = next((b[1].partition("/h1")[0] for b in rest if "/h1" in b[1]), None)
+        inside = [b for b in rest if beside is not None and b[1].startswith(f"{beside}/")]
+    return inside
 
 
 def best_container(found) -> str:
