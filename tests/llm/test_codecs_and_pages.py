@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from legwise.llm import bpe, exact_dedup, html_text, warc
+from legwise.llm import bpe, exact_dedup, html_text, packing, warc
 
 DOCS = "doc_id long, text string, digest string, win string, n string"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -130,3 +131,21 @@ def test_archive_round_trip(spark, least):
     assert sorted(bytes(r.payload).decode() for r in whole) == sorted(h or "" for _, _, h in rows)
     assert all(bytes(r.record).startswith(b"WARC/1.1\r\n") and bytes(r.record).endswith(b"\r\n\r\n") for r in whole)
     assert warc.read_back(spark, warc.write_archive(pages.limit(0))).count() == 0
+
+
+def test_packing_pieces_equal_library(spark):
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(2)
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    texts = [None, "", " ", "word " * 1023, "word " * 1024, "é日 " * 5000, "<|endoftext|>x"] + [
+        "".join(rng.choice(LETTERS) for _ in range(rng.choice([1, 40, 3000]))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, piece string")
+    got = {}
+    for r in packing.best_fit_packing(docs, path).collect():
+        got.setdefault(r.doc_id, []).append((r.piece, r.start, r.length, r.ids_crc32))
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)] if len(ids) > 1024 else [0, len(ids)]
+        assert sorted(got[i]) == [(k, a, b - a, zlib.crc32(ids[a:b].tobytes()))
+                                  for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
