@@ -3,11 +3,13 @@
 1. Every page is cut into text blocks, each with the generalised path of its
    ancestors (tags with their classes, digits in classes folded). Blocks below menus,
    page headers, footers, sidebars, notices, adverts, forms or comments are
-   furniture. A page's containers are scored by the share of its remaining text
-   that they hold; the deepest one that holds nearly all of it gets the vote.
-2. Votes are summed per (host, path): first per Arrow batch, then by Spark.
-3. Every page is extracted again with the paths that won on its host: the first
-   of them that holds text on this page, else the page's own best container.
+   furniture. The deepest container that holds all of the remaining text gets the
+   page's vote.
+2. Votes are summed per (host, path): first per Arrow batch, then by Spark. A path
+   with nearly all votes is the host's only layout.
+3. Every page gives all of its remaining text. Only a page that deviates from its
+   host's only layout loses what lies outside of it, and never what lies in an
+   article or main element.
 
 The winners are joined to the pages by host. They are broadcast only if their
 counted rows stay under a bound; else both sides are shuffled on the host and
@@ -32,10 +34,8 @@ from pyspark.sql import functions as F
 
 from legwise.llm.common import cut
 
-#: Share of a page's text that the elected container must hold.
-NEARLY_ALL = 0.9
-#: Share of a host's votes from which a path counts as a winner.
-WINNER_SHARE = 0.05
+#: Share of a host's votes that may deviate from the path of its only layout.
+ODD_SHARE = 0.05
 #: Rows up to which the winners are broadcast (a row is a path, under 1 KB).
 BROADCAST_ROWS = 50_000
 
@@ -178,38 +178,43 @@ def _good(found):
     return inside
 
 
-def best_container(found) -> str:
-    """Path of the deepest container that holds nearly all of the good text."""
-    good = _good(found)
-    held: Counter[str] = Counter()
-    total = 0
-    for text, path, *_ in good:
-        total += len(text)
-        steps = path.split("/")
-        for i in range(1, len(steps)):
-            if steps[i].partition(".")[0] in CONTAINERS:
-                held["/".join(steps[:i + 1])] += len(text)
-    best = [p for p, n in held.items() if n >= NEARLY_ALL * total]
-    return max(best, key=lambda p: p.count("/"), default="")
+def best_container(good) -> str:
+    """Path of the deepest container that holds all of the good text."""
+    steps = path_of_all([path for _, path, *_ in good]).split("/")
+    while len(steps) > 1 and steps[-1].partition(".")[0] not in CONTAINERS:
+        steps.pop()
+    return "/".join(steps)
+
+
+def path_of_all(paths: list[str]) -> str:
+    """The longest path that all paths lie on."""
+    if not paths:
+        return ""
+    split = [path.split("/") for path in paths]
+    low, high = min(split), max(split)
+    same = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+    return "/".join(low[:same])
 
 
 def main_text(html: str, winners: list[str]) -> tuple[str, str]:
-    """Text and path used: the first winner that holds text here, else the page's
-    own best container."""
-    found = blocks(html)
-    good = _good(found)
-    for path in (*winners, best_container(found), ""):
-        inside = [t for t, p, *_ in good if p == path or p.startswith(f"{path}/")]
-        if inside:
-            return "\n".join(inside), path
-    return "", ""
+    """All good text and its container; of a page that deviates from its host's
+    only layout, what lies in that or in an article or main element."""
+    good = _good(blocks(html))
+    for path in winners:
+        if any(_below(b[1], path) for b in good):
+            good = [b for b in good if _below(b[1], path) or "/article" in b[1] or "/main" in b[1]]
+    return "\n".join(b[0] for b in good), best_container(good)
+
+
+def _below(path: str, top: str) -> bool:
+    return path == top or path.startswith(f"{top}/")
 
 
 def _votes(batches):
     for batch in batches:
         votes: Counter[tuple[str, str]] = Counter()
         for host, html in zip(batch.column("host"), batch.column("html")):
-            path = best_container(blocks(html.as_py() or ""))
+            path = best_container(_good(blocks(html.as_py() or "")))
             if path:
                 votes[host.as_py(), path] += 1
         yield pa.RecordBatch.from_arrays(
@@ -218,14 +223,13 @@ def _votes(batches):
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the paths that won on a host, most votes first; at most
-    1 / WINNER_SHARE of them by arithmetic."""
+    """(host, paths): the path with nearly all votes of a host; at most one by
+    arithmetic, and hosts of several layouts have none."""
     votes = (pages.select("host", "html").mapInArrow(_votes, "host string, path string, votes long")
              .groupBy("host", "path").agg(F.sum("votes").alias("votes")))
     share = F.col("votes") / F.sum("votes").over(Window.partitionBy("host"))
-    return (votes.withColumn("share", share).where(F.col("share") >= WINNER_SHARE).groupBy("host")
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path"))).alias("w"))
-            .select("host", F.col("w.path").alias("paths")))
+    return (votes.withColumn("share", share).where(F.col("share") >= 1 - ODD_SHARE)
+            .select("host", F.array("path").alias("paths")))
 
 
 def _extract(html: pa.Array, paths: pa.Array) -> pa.Array:

@@ -105,6 +105,20 @@ def test_host_consensus_and_odd_pages(spark):
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_is_whole(spark):
+    long = "word " * 500 + "end"
+    body = "<article><h1>Title</h1><p>lead</p><div class=body><p>" + long + "</p></div><p>close</p></article>"
+    assert html_text.main_text(SHELL % body, []) == (f"Title\nlead\n{long}\nclose", "/html/body/article")
+    # Short pages elect a part of the article; a rarer layout outside an article is one of several.
+    intro, plain = '<article><div class="intro">in</div>%s</article>', '<div class="intro">in</div>%s'
+    more = '<div class="body"><p>' + long + "</p></div>"
+    rows = [(i, "https://a.example/", SHELL % (intro % (more if i < 1 else ""))) for i in range(40)]
+    rows += [(100 + i, "https://b.example/", SHELL % (plain % (more if i < 4 else ""))) for i in range(40)]
+    got = {r.page_id: r.text for r in html_text.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: "in" for i, *_ in rows}, **{i: f"in\n{long}" for i in (0, 100, 101, 102, 103)}}
+
+
 @pytest.mark.parametrize("least", [0, 3])
 def test_archive_round_trip(spark, least):
     rows = [(1, "http://a/x y\r\nz", "same"), (5, "http://b", "same"), (3, None, "same"), (2, "u", None), (4, "u", ""),
