@@ -3,7 +3,9 @@
 1. Every page is cut into text blocks, each with the generalised path of its
    ancestors (tags with their classes, digits in classes folded). Blocks below menus,
    page headers, footers, sidebars, notices, adverts, forms or comments are
-   furniture. The deepest container that holds all of the remaining text gets the
+   furniture. Inside an article or main element only the classes of adverts, share
+   links, comments and cookie notices say so, and running text below them goes only
+   if its place holds such text on several pages of the host. The deepest container that holds all of the remaining text gets the
    page's vote.
 2. Votes are summed per (host, path): first per Arrow batch, then by Spark. A path
    with nearly all votes is the host's only layout.
@@ -36,7 +38,11 @@ from legwise.llm.common import cut
 
 #: Share of a host's votes that may deviate from the path of its only layout.
 ODD_SHARE = 0.05
-#: Rows up to which the winners are broadcast (a row is a path, under 1 KB).
+#: Words from which a block is running text.
+RUNNING = 20
+#: Pages of a host, and share of its pages, that confirm a marked place with running text.
+CONFIRM_PAGES, CONFIRM_SHARE = 2, 0.05
+#: Paths up to which the hosts' paths are broadcast (a path is under 1 KB).
 BROADCAST_ROWS = 50_000
 
 # Element classes of HTML.
@@ -54,6 +60,10 @@ FURNITURE_WORDS = frozenset(
     "masthead menu menus modal nav navbar navigation newsletter notice notices pagination pager popup promo "
     "promoted promotion related reply replies respond search share sharing sidebar sidenav signup social "
     "sponsor sponsored subscribe subscription toolbar topbar widget widgets".split())
+ARTICLE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adsense comment comments commentlist cookie cookies "
+    "consent disqus gdpr share sharing sponsored".split())
+CODE_WORDS = frozenset("comment comments".split())  # of a highlighted line
 NOT_OWN = frozenset("with has no without".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -67,9 +77,9 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
 
 
-def _described(tag: str, raw: str, in_article: bool) -> tuple[str, bool, bool]:
+def _described(tag: str, raw: str, in_article: bool) -> tuple[str, bool, bool, bool]:
     """Step of the path, whether the element is furniture by its tag or state,
-    whether by the words of its class or id."""
+    whether by the words of its class or id, whether it is an article or main part."""
     attrs = {k.lower(): unescape(v.strip("\"'")) for k, v in _ATTR.findall(raw)} if "=" in raw else {}
     classes = attrs.get("class", "").split()
     step = ".".join([tag, *sorted(_DIGITS.sub("#", c) for c in classes)])
@@ -77,20 +87,23 @@ def _described(tag: str, raw: str, in_article: bool) -> tuple[str, bool, bool]:
               or attrs.get("role", "").lower() in FURNITURE_ROLES or attrs.get("aria-hidden") == "true"
               or bool(_HIDDEN.search(attrs.get("style", "")))
               or bool(re.search(r"(?:^|\s)hidden(?:\s|/|>|$)", raw)))
-    by_word = False
-    if tag not in ("html", "body", "article", "main"):
-        for name in (*classes, attrs.get("id", "")):
+    by_word, article = False, tag in ("article", "main") or attrs.get("role", "").lower() == "main"
+    marks, names = FURNITURE_WORDS, (*classes, attrs.get("id", ""))
+    if in_article:
+        marks, names = ARTICLE_WORDS - CODE_WORDS if tag in INLINE else ARTICLE_WORDS, classes
+    if not article and tag not in ("html", "body"):
+        for name in names:
             words = _WORDS.findall(_CAMEL.sub(" ", name).lower())
-            by_word |= any(w in FURNITURE_WORDS and (not i or words[i - 1] not in NOT_OWN)
-                           for i, w in enumerate(words))
-    return step, by_tag, by_word and not (in_article and tag in ("h1", "h2", "h3", "h4", "h5", "h6"))
+            by_word |= any(w in marks and (not i or words[i - 1] not in NOT_OWN) for i, w in enumerate(words))
+    return step, by_tag, by_word and not (in_article and tag in ("h1", "h2", "h3", "h4", "h5", "h6")), article
 
 
-def blocks(html: str) -> list[tuple[str, str, bool, bool]]:
-    """(text, path, furniture by tag, furniture by words) of every text block in
-    page order."""
-    found: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+def blocks(html: str) -> list[tuple[str, str, bool, tuple | None, bool]]:
+    """(text, path, furniture by tag, path of the outermost element that is
+    furniture by words and whether that lies in an article or main part, whether
+    the block does) of every text block in page order."""
+    found: list[tuple[str, str, bool, tuple | None, bool]] = []
+    stack: list[tuple[str, str, bool, tuple | None, bool]] = [("", "", False, None, False)]
     parts: list[str] = []
     owner = stack[0]
 
@@ -108,7 +121,8 @@ def blocks(html: str) -> list[tuple[str, str, bool, bool]]:
         level = len(stack) - 1
         while level and stack[level][0] in INLINE:
             level -= 1
-        if stack[-1][2:] != stack[level][2:]:
+        by_tag, by_word = (stack[-1][i] != stack[level][i] for i in (2, 3))
+        if by_tag or by_word and not (stack[-1][4] and _running(piece)):
             return  # furniture inside a line, such as a share link
         if not parts:
             owner = stack[level]
@@ -155,8 +169,9 @@ def blocks(html: str) -> list[tuple[str, str, bool, bool]]:
             if top and (stack[top][0] == "p" or stack[top][0] in CLOSES.get(tag, ())):
                 del stack[top:]
         parent = stack[-1]
-        step, by_tag, by_word = _described(tag, m[3], "/article" in parent[1] or "/main" in parent[1])
-        stack.append((tag, f"{parent[1]}/{step}", parent[2] or by_tag, parent[3] or by_word))
+        step, by_tag, by_word, article = _described(tag, m[3], parent[4])
+        path = f"{parent[1]}/{step}"
+        stack.append((tag, path, parent[2] or by_tag, parent[3] or ((path, parent[4]) if by_word else None), parent[4] or article))
     flush()
     return found
 
@@ -166,12 +181,23 @@ def _find_end(html: str, tag: str, at: int) -> int:
     return m.start() if m else -1
 
 
-def _good(found):
-    """The blocks that are not furniture. Class words are ignored on a page that
-    would lose its article by them: what lies in an article or main element, or
-    beside the first-level heading, is kept then."""
+def _running(text: str) -> bool:
+    return len(text.split()) >= RUNNING
+
+
+def _marked(found) -> set[str]:
+    """Marked places in an article or main part that hold running text."""
+    return {b[3][0] for b in found if b[3] and b[3][1] and not b[2] and _running(b[0])}
+
+
+def _good(found, confirmed=None):
+    """The blocks that are not furniture; marked places with running text in an
+    article are furniture if ``confirmed`` (None: all) has them. Class words are
+    ignored on a page that would lose its article by them: what lies in an article
+    or main element, or beside the first-level heading, is kept then."""
     rest = [b for b in found if not b[2]]
-    inside = [b for b in rest if not b[3]] or [b for b in rest if "/article" in b[1] or "/main" in b[1]]
+    doubted = set() if confirmed is None else _marked(found) - set(confirmed)
+    inside = [b for b in rest if not b[3] or b[3][1] and b[3][0] in doubted] or [b for b in rest if b[4]]
     if not inside:
         beside = next((b[1].partition("/h1")[0] for b in rest if "/h1" in b[1]), None)
         inside = [b for b in rest if beside is not None and b[1].startswith(f"{beside}/")]
@@ -180,7 +206,7 @@ def _good(found):
 
 def best_container(good) -> str:
     """Path of the deepest container that holds all of the good text."""
-    steps = path_of_all([path for _, path, *_ in good]).split("/")
+    steps = path_of_all([b[1] for b in good]).split("/")
     while len(steps) > 1 and steps[-1].partition(".")[0] not in CONTAINERS:
         steps.pop()
     return "/".join(steps)
@@ -196,13 +222,13 @@ def path_of_all(paths: list[str]) -> str:
     return "/".join(low[:same])
 
 
-def main_text(html: str, winners: list[str]) -> tuple[str, str]:
+def main_text(html: str, winners: list[str], confirmed: list[str] = ()) -> tuple[str, str]:
     """All good text and its container; of a page that deviates from its host's
     only layout, what lies in that or in an article or main element."""
-    good = _good(blocks(html))
+    good = _good(blocks(html), confirmed)
     for path in winners:
         if any(_below(b[1], path) for b in good):
-            good = [b for b in good if _below(b[1], path) or "/article" in b[1] or "/main" in b[1]]
+            good = [b for b in good if _below(b[1], path) or b[4]]
     return "\n".join(b[0] for b in good), best_container(good)
 
 
@@ -212,28 +238,36 @@ def _below(path: str, top: str) -> bool:
 
 def _votes(batches):
     for batch in batches:
-        votes: Counter[tuple[str, str]] = Counter()
+        votes: Counter[tuple[str, str, bool]] = Counter()
         for host, html in zip(batch.column("host"), batch.column("html")):
-            path = best_container(_good(blocks(html.as_py() or "")))
+            found = blocks(html.as_py() or "")
+            path = best_container(_good(found))
             if path:
-                votes[host.as_py(), path] += 1
+                votes[host.as_py(), path, False] += 1
+            votes.update((host.as_py(), mark, True) for mark in _marked(found))
+        hosts, paths, marked = zip(*votes) if votes else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([h for h, _ in votes], pa.string()), pa.array([p for _, p in votes], pa.string()),
-             pa.array(list(votes.values()), pa.int64())], names=["host", "path", "votes"])
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(marked, pa.bool_()),
+             pa.array(list(votes.values()), pa.int64())], names=["host", "path", "marked", "votes"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the path with nearly all votes of a host; at most one by
-    arithmetic, and hosts of several layouts have none."""
-    votes = (pages.select("host", "html").mapInArrow(_votes, "host string, path string, votes long")
-             .groupBy("host", "path").agg(F.sum("votes").alias("votes")))
-    share = F.col("votes") / F.sum("votes").over(Window.partitionBy("host"))
-    return (votes.withColumn("share", share).where(F.col("share") >= 1 - ODD_SHARE)
-            .select("host", F.array("path").alias("paths")))
-
-
-def _extract(html: pa.Array, paths: pa.Array) -> pa.Array:
-    done = [main_text(h.as_py() or "", p.as_py() or []) for h, p in zip(html, paths)]
+    """(host, paths, marks): the path with nearly all votes of a host, at most one
+    by arithmetic (hosts of several layouts have none), and its confirmed marks, at
+    most the marks of a page / CONFIRM_SHARE."""
+    votes = (pages.select("host", "html").mapInArrow(_votes, "host string, path string, marked boolean, votes long")
+             .groupBy("host", "path", "marked").agg(F.sum("votes").alias("votes")))
+    all_pages = F.sum(F.when(~F.col("marked"), F.col("votes"))).over(Window.partitionBy("host"))
+    share = F.col("votes") / all_pages
+    only = ~F.col("marked") & (F.col("share") >= 1 - ODD_SHARE)
+    sure = F.col("marked") & (F.col("votes") >= CONFIRM_PAGES) & (F.col("share") >= CONFIRM_SHARE)
+    return (votes.withColumn("share", share).where(only | sure).groupBy("host")
+            .agg(F.collect_list(F.when(~F.col("marked"), F.col("path"))).alias("paths"),
+                 F.collect_list(F.when(F.col("marked"), F.col("path"))).alias("marks")))
+
+
+def _extract(html: pa.Array, paths: pa.Array, marks: pa.Array) -> pa.Array:
+    done = [main_text(h.as_py() or "", p.as_py() or [], m.as_py() or []) for h, p, m in zip(html, paths, marks)]
     return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()),
                                        pa.array([c for _, c in done], pa.string())], names=["text", "container"])
 
@@ -245,10 +279,10 @@ def extract_main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "ur
     pages = df.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                       F.coalesce(host, F.lit("")).alias("host"), F.col(html_col).cast("string").alias("html"))
     winners = cut(host_paths(pages), "html-paths")
-    if winners.count() <= BROADCAST_ROWS:
+    if (winners.agg(F.sum(F.size("paths") + F.size("marks"))).first()[0] or 0) <= BROADCAST_ROWS:
         winners = F.broadcast(winners)
     joined = pages.join(winners, "host", "left")
     extract = F.arrow_udf(_extract, "struct<text string, container string>")
-    found = joined.select("page_id", "url", extract("html", "paths").alias("x"))
+    found = joined.select("page_id", "url", extract("html", "paths", "marks").alias("x"))
     return found.select("page_id", "url", F.col("x.text").alias("text"),
                         F.char_length("x.text").cast("long").alias("n_chars"), F.col("x.container").alias("container"))

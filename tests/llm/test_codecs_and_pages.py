@@ -119,6 +119,27 @@ def test_main_text_is_whole(spark):
     assert got == {**{i: "in" for i, *_ in rows}, **{i: f"in\n{long}" for i in (0, 100, 101, 102, 103)}}
 
 
+@pytest.mark.parametrize("body, text", [
+    ('<article><header class="entry-header"><h1>Title</h1></header><p>one</p></article>', "Title\none"),
+    ('<main><section id="navigation"><p>a</p></section><section id="share"><p>b</p></section><p>c</p></main>', "a\nb\nc"),
+    ('<div role="main" class="form"><div class="notice search"><p>a</p></div><p>b</p></div>', "a\nb"),
+    ('<article><div class="ad">buy</div><pre>f() <span class="hljs-comment"># call</span></pre></article>', "f() # call"),
+    ('<article><p>a</p><div class="comments"><p>' + "word " * 19 + "end</p></div></article>", "a\n" + "word " * 19 + "end"),
+    ('<article><p>a</p></article><div class="related"><article><p>' + "word " * 30 + "</p></article></div>", "a"),
+])
+def test_words_cut_little_of_an_article(body, text):
+    assert html_text.main_text(SHELL % body, [])[0] == text
+
+
+def test_host_confirms_marked_running_text(spark):
+    said = '<div class="comments"><p>' + "reply " * 30 + "</p></div>"
+    rows = [(i, f"https://{'a' if i < 4 else 'b'}.example/", SHELL % (
+        f"<article><p>story {i}</p>{said if i in (0, 1, 4) else ''}</article>")) for i in range(8)]
+    got = {r.page_id: r.text for r in html_text.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"story {i}" for i in range(8)}, 4: "story 4\n" + ("reply " * 30).strip()}
+
+
 @pytest.mark.parametrize("least", [0, 3])
 def test_archive_round_trip(spark, least):
     rows = [(1, "http://a/x y\r\nz", "same"), (5, "http://b", "same"), (3, None, "same"), (2, "u", None), (4, "u", ""),
