@@ -16,9 +16,10 @@ few rows per task. A uniform trigram model stands for "no known language"; a
 document is rejected when that model or no language wins, i.e. when the
 posterior of the best language is below ``min_confidence``.
 
-Only the trigram counts, BUCKETS * MAX_LANGUAGES numbers at most, and the
-tables of declared languages and all rows (at most MAX_LANGUAGES each) reach
-the driver. The prior table grows with the number of hosts; it is joined, and
+Every label is a language. Only the trigram counts, BUCKETS numbers a language,
+and the tables of declared languages and all rows (a number for each pair of
+languages at most) reach the driver; more labels than MAX_LANGUAGES are an
+error, none is left out. The prior table grows with the number of hosts; it is joined, and
 Spark broadcasts it only where its measured size allows.
 
 Defined results: a null, empty or letterless text has language ``und``,
@@ -41,7 +42,8 @@ from pyspark.sql import functions as F
 from legwise.llm.common import cut, slices, text_bytes
 
 BUCKETS = 1 << 14
-MAX_LANGUAGES = 64
+#: Labels from which fitting fails; a language takes 128 KB of each Python process.
+MAX_LANGUAGES = 2048
 #: Trigrams a text may count for at most.
 EVIDENCE = 100
 #: Weight, in documents, of the parent level in a prior.
@@ -49,6 +51,8 @@ WEIGHT = 5.0
 #: Prior of "no known language" beside each document's languages.
 UNKNOWN = 1e-3
 SLICE = 1 << 22
+#: Numbers in a work array of counts or scores.
+CELLS = 1 << 21
 UND = "und"
 
 
@@ -87,7 +91,11 @@ def _count(languages: tuple[str, ...]):
             own = np.array([number[x] for x in batch.column("label").to_pylist()], np.int64)
             for lo, hi in slices(at, SLICE):
                 doc, gram = trigrams(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
-                total += np.bincount(own[lo:hi][doc] * BUCKETS + gram, minlength=len(total))
+                cell = own[lo:hi][doc] * BUCKETS + gram
+                if len(total) <= CELLS:
+                    total += np.bincount(cell, minlength=len(total))
+                else:
+                    np.add.at(total, cell, 1)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(some), "n": pa.array(total[some])})
     return run
@@ -95,54 +103,89 @@ def _count(languages: tuple[str, ...]):
 
 def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang",
         max_languages: int = MAX_LANGUAGES) -> Model:
-    """Trigram models of the (at most ``max_languages``) most frequent labels,
-    counted over all labelled rows."""
+    """Trigram models of all labels, counted over all labelled rows. More than
+    ``max_languages`` labels are an error."""
     rows = df.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
-    top = (rows.where("label IS NOT NULL AND label <> ''").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.desc("n"), "label").limit(max_languages).collect())
-    languages = tuple(sorted(r["label"] for r in top))
+    labelled = rows.where("label IS NOT NULL AND label <> ''")
+    languages = tuple(sorted(r["label"] for r in labelled.select("label").distinct().limit(max_languages + 1).collect()))
+    if len(languages) > max_languages:
+        raise ValueError(f"more than {max_languages} labels in {label_col}: raise max_languages or merge labels")
     counts = np.zeros(len(languages) * BUCKETS)
     if languages:
-        cells = (rows.where(F.col("label").isin(list(languages))).mapInArrow(_count(languages), "cell long, n long")
+        cells = (labelled.mapInArrow(_count(languages), "cell long, n long")
                  .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
         counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
-    counts = counts.reshape(len(languages), BUCKETS) + 0.02
-    return Model(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
+    counts = counts.reshape(len(languages), BUCKETS)
+    counts += 0.02
+    counts /= counts.sum(axis=1, keepdims=True)
+    return Model(languages, np.log(counts, out=counts))
 
 
 def _score(model: Model):
-    """Adds ``ll``: tempered log-likelihoods, the unknown language's last; null
-    for a text without letters."""
-    table = np.vstack([model.log_p, np.full(BUCKETS, -np.log(BUCKETS))])
+    """Adds ``ll``: tempered log-likelihoods, the unknown language's last; and ``p``:
+    the shares of the known languages by them. Null for a text without letters."""
+    unknown, width = np.full(BUCKETS, -np.log(BUCKETS)), len(model.languages) + 1
+    step = max(1, CELLS // width)
 
     def run(batches):
-        for batch in batches:
-            data, at = text_bytes(batch.column("text"))
-            out = np.zeros((batch.num_rows, len(table)))
-            count = np.zeros(batch.num_rows, np.int64)
-            for lo, hi in slices(at, SLICE):
-                doc, gram = trigrams(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
-                count[lo:hi] = np.bincount(doc, minlength=hi - lo)
-                for k, row in enumerate(table):
-                    out[lo:hi, k] = np.bincount(doc, row[gram], hi - lo)
-            out *= (np.minimum(1.0, EVIDENCE / np.maximum(count, 1)))[:, None]
-            ends = np.arange(0, out.size + 1, out.shape[1], dtype=np.int32)
-            ll = pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()),
-                                          mask=pa.array(count == 0))
-            kept = batch.drop_columns(["text"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, ll], names=[*kept.schema.names, "ll"])
+        for whole in batches:
+            for first in range(0, whole.num_rows, step):
+                batch = whole.slice(first, step)
+                data, at = text_bytes(batch.column("text"))
+                out = np.zeros((batch.num_rows, width))
+                count = np.zeros(batch.num_rows, np.int64)
+                for lo, hi in slices(at, SLICE):
+                    doc, gram = trigrams(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
+                    count[lo:hi] = np.bincount(doc, minlength=hi - lo)
+                    for k, row in enumerate((*model.log_p, unknown)):
+                        out[lo:hi, k] = np.bincount(doc, row[gram], hi - lo)
+                out *= (np.minimum(1.0, EVIDENCE / np.maximum(count, 1)))[:, None]
+                kept = batch.drop_columns(["text"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, _lists(out, count == 0), _lists(_normalised(out[:, :-1]), count == 0)],
+                    names=[*kept.schema.names, "ll", "p"])
     return run
 
 
-def _normalised(values: Column) -> Column:
-    """exp of an array of logs, summing to one."""
-    raised = F.transform(values, lambda v: F.exp(v - F.array_max(values)))
-    return _shares(raised)
-
-
-def _shares(values: Column) -> Column:
-    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-    return F.transform(values, lambda v: v / total)
+def _normalised(values: np.ndarray) -> np.ndarray:
+    """exp of rows of logs, each summing to one."""
+    raised = np.exp(values - values.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def _lists(values: np.ndarray, null: np.ndarray) -> pa.ListArray:
+    ends = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()), mask=pa.array(null))
+
+
+def _matrix(lists: pa.Array, fill: np.ndarray) -> np.ndarray:
+    """The rows of an array of lists; ``fill`` stands for nulls."""
+    out = np.tile(fill, (len(lists), 1))
+    out[lists.is_valid().to_numpy(zero_copy_only=False)] = lists.drop_null().flatten().to_numpy().reshape(-1, len(fill))
+    return out
+
+
+def _fuse(languages: tuple[str, ...], root: np.ndarray, unknown: float, min_confidence: float):
+    names = np.array(languages, object)
+
+    def run(ll: pa.Array, p: pa.Array, n_host: pa.Array, c_host: pa.Array, parent: pa.Array,
+            of_word: pa.Array) -> pa.Array:
+        zeros = np.zeros(len(names))
+        logs = _matrix(ll, np.zeros(len(names) + 1))
+        known, at_host = ll.is_valid().to_numpy(zero_copy_only=False), c_host.is_valid().to_numpy(zero_copy_only=False)
+        n = np.maximum(np.nan_to_num(n_host.to_numpy(zero_copy_only=False)) - 1, 0)[:, None]
+        c = np.maximum(_matrix(c_host, zeros) - _matrix(p, zeros), 0)
+        prior = np.where(at_host[:, None], (c + WEIGHT * _matrix(parent, root)) / (n + WEIGHT), root)
+        logs[:, :-1] += np.log(prior * (1 - UNKNOWN)) + _matrix(of_word, zeros)
+        logs[:, -1] += unknown
+        post = _normalised(logs)[:, :-1]
+        first = post.argmax(axis=1)
+        best = np.where(known, post[np.arange(len(post)), first], 0.0)
+        sure = known & (best >= min_confidence)
+        return pa.StructArray.from_arrays(
+            [pa.array(np.where(sure, names[first], UND), pa.string()), pa.array(best), pa.array(sure)],
+            names=["language", "confidence", "accepted"])
+    return run
 
 
 def _sums(name: str, k: int) -> Column:
@@ -166,13 +209,12 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", host: Column |
     facts = [host.alias("host"), suffix.alias("suffix"), F.substring_index(host, ".", -2).alias("domain"),
              F.lower(F.substring_index(declared, "-", 1)).alias("declared")]
     text = F.col(text_col).cast("string").alias("text")
-    shape = "host string, suffix string, domain string, declared string, ll array<double>"
+    shape = "host string, suffix string, domain string, declared string, ll array<double>, p array<double>"
     if not k:
         return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                          F.lit(UND).alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
 
-    seen = (df.select(*facts, text).mapInArrow(_score(model), shape).where("ll IS NOT NULL")
-            .withColumn("p", _normalised(F.slice("ll", 1, k))))
+    seen = (df.select(*facts, text).mapInArrow(_score(model), shape).where("ll IS NOT NULL"))
     place = ["suffix", "domain", "host"]
     cells = cut(seen.withColumn("declared", F.when(F.col("declared").isin(list(model.languages)), F.col("declared")))
                 .groupBy(*place, "declared").agg(F.count(F.lit(1)).cast("double").alias("n"),
@@ -183,13 +225,13 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", host: Column |
         return cells.groupBy(*keys).agg(F.sum("n").alias(f"n_{name}"), _sums("c", k).alias(f"c_{name}"))
 
     everything = level().first()["c_all"] or [1.0] * k
-    root = F.array(*[F.lit((c + 1.0) / (sum(everything) + k)) for c in map(float, everything)])
+    of_all = (np.array(everything, float) + 1.0) / (sum(everything) + k)
+    root = F.array(*[F.lit(float(x)) for x in of_all])
     said = {r["declared"]: r["c_declared"] for r in level("declared").where("declared IS NOT NULL").collect()}
     of_language = [sum(c[i] for c in said.values()) for i in range(k)]
-    # log P(declared | language); an unknown declaration is no evidence
-    evidence = F.create_map(*[x for d, c in sorted(said.items()) for x in (
-        F.lit(d), F.array(*[F.lit(float(np.log((c[i] + 1.0) / (of_language[i] + len(said) + 1)))) for i in range(k)]))]) \
-        if said else None
+    # log P(declared | language); an unknown declaration is no evidence. A table, as it has a number for each pair.
+    evidence = [(d, [float(np.log((c[i] + 1.0) / (of_language[i] + len(said) + 1))) for i in range(k)])
+                for d, c in sorted(said.items())]
     priors = (level(*place).join(level("suffix", "domain"), ["suffix", "domain"]).join(level("suffix"), ["suffix"])
               .withColumn("parent", _smooth(F.col("c_domain"), F.col("n_domain"),
                                             _smooth(F.col("c_suffix"), F.col("n_suffix"), root)))
@@ -198,24 +240,16 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", host: Column |
     whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *facts, text)
     row_type = whole.schema["row"].dataType.simpleString()
     scored = whole.mapInArrow(_score(model), f"row {row_type}, {shape}").join(priors, place, "left")
-    texts = F.slice("ll", 1, k)
-    own = _normalised(texts)
-    at_host = _smooth(F.zip_with("c_host", own, lambda c, p: c - p), F.col("n_host") - 1, F.col("parent"))
-    prior = F.coalesce(at_host, root)
-    fused = F.zip_with(texts, prior, lambda t, p: t + F.log(p * (1 - UNKNOWN)))
-    if evidence is not None:
-        no_word = F.array_repeat(F.lit(0.0), k)
-        fused = F.zip_with(fused, F.coalesce(F.try_element_at(evidence, F.col("declared")), no_word),
-                           lambda a, b: a + b)
-    unknown = F.col("ll")[k] + float(np.log(UNKNOWN / max(1, len(said))))
-    names = F.array(*[F.lit(x) for x in model.languages])
-    post = scored.select("row", _normalised(F.concat(fused, F.array(unknown))).alias("post"))
-    known = F.slice("post", 1, k)
-    best = F.array_max(known)
-    sure = F.coalesce(best >= min_confidence, F.lit(False))
-    return post.select("row", F.when(sure, F.element_at(names, F.array_position(known, best).cast("int")))
-                       .otherwise(UND).alias("language"),
-                       F.coalesce(best, F.lit(0.0)).alias("confidence"), sure.alias("accepted"))
+    if evidence:
+        words = spark.createDataFrame(evidence, "declared string, of_word array<double>")
+        scored = scored.join(F.broadcast(words), "declared", "left")
+    else:
+        scored = scored.withColumn("of_word", F.lit(None).cast("array<double>"))
+    unknown = float(np.log(UNKNOWN / max(1, len(said))))
+    fuse = F.arrow_udf(_fuse(model.languages, of_all, unknown, min_confidence),
+                       "struct<language string, confidence double, accepted boolean>")
+    done = scored.select("row", fuse("ll", "p", "n_host", "c_host", "parent", "of_word").alias("x"))
+    return done.select("row", "x.language", "x.confidence", "x.accepted")
 
 
 def page_evidence(url_col: str = "url", html_col: str = "html") -> dict[str, Column]:

@@ -70,6 +70,18 @@ def test_language_held_out_and_rejects(spark):
     assert [(r.language, r.accepted) for r in rows] == [("und", False)] * 4
 
 
+def test_every_label_is_a_language(spark):
+    rng, rows = random.Random(8), []
+    for k in range(90):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(len(rows), " ".join(rng.choices(words, k=40)), f"l{k:02}", f"s{k}", "") for _ in range(3 if k < 70 else 2)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = language_id.identify_documents(docs).collect()
+    assert len(found) == len(rows) and all(r.language == r.row.lang and r.accepted for r in found)
+    with pytest.raises(ValueError, match="more than 89 labels"):
+        language_id.fit(docs, max_languages=89)
+
+
 def test_license_places_equal_brute_force(spark):
     rows = [(1, None), (2, ""), (3, "CC-BY cc by, General\nPublic. LICENSE é all rights reserved All Rights"),
             (4, "w " * 70 + "general public license " + "x " * 40 + " cc by"), (4, "Cc by"), (None, "mit license")]
