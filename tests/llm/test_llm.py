@@ -82,6 +82,22 @@ def test_every_label_is_a_language(spark):
         language_id.fit(docs, max_languages=89)
 
 
+def test_suffix_and_markup_are_evidence(spark):
+    said = {"de": "der hund und die katze", "fr": "le chien avec un chat"}
+    rows = [(f"http://h{i}.{x}/", f"<html lang={x}>", t, x) for x, t in said.items() for i in range(20)]
+    both = "der hund le chien " * 3  # of either language
+    odd = [("http://new.de/a", "", both, None), ("http://new.fr/b", "", both, None),
+           ("http://c.org/", '<html lang="de">', both, None), ("http://d.org/", "<html lang='fr-FR'>", both, None)]
+    pages = spark.createDataFrame(rows + odd, "url string, html string, text string, lang string")
+    found = language_id.identify(pages, language_id.fit(pages), min_confidence=0.0, **language_id.page_evidence())
+    got = {r.row.url: (r.language, r.confidence) for r in found.collect()}
+    plain = {r.row.url: r.confidence if r.language == "de" else 1 - r.confidence for r in language_id.identify(
+        pages, language_id.fit(pages), min_confidence=0.0).collect()}
+    towards = {u: c if x == "de" else 1 - c for u, (x, c) in got.items()}
+    assert towards["http://new.de/a"] > plain["http://new.de/a"] and towards["http://new.fr/b"] < plain["http://new.fr/b"]
+    assert towards["http://c.org/"] > towards["http://d.org/"]
+
+
 def test_license_places_equal_brute_force(spark):
     rows = [(1, None), (2, ""), (3, "CC-BY cc by, General\nPublic. LICENSE é all rights reserved All Rights"),
             (4, "w " * 70 + "general public license " + "x " * 40 + " cc by"), (4, "Cc by"), (None, "mit license")]
