@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join, token_counts, vector_links, warc
+from legwise.llm import (bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join,
+                         spelling_variants, token_counts, vector_links, warc)
 from legwise.llm.common import table
 
 
@@ -70,6 +71,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_vector_links": op9_vector_links,
     "op10_warc": op10_warc,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE_SQL = {
