@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import (bpe, exact_dedup, html_text, language_id, license_scan, packing, shingle_join,
-                         spelling_variants, token_counts, vector_links, warc)
+from legwise.llm import (bpe, exact_dedup, html_text, language_id, license_scan, packing, quality,
+                         shingle_join, spelling_variants, token_counts, vector_links, warc, whitening)
 from legwise.llm.common import table
 
 
@@ -71,10 +71,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -86,7 +94,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_vector_links": op9_vector_links,
     "op10_warc": op10_warc,
+    "op11_quality": op11_quality,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL = {
