@@ -76,22 +76,32 @@ def lower(data: np.ndarray) -> np.ndarray:
     return data + np.where((data >= 65) & (data <= 90), 32, 0).astype(np.uint8)
 
 
-def word_hashes(low: np.ndarray, space: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, 64-bit hash) of each word of the texts low[at[i]:at[i+1]];
-    words are the runs where ``space`` is false."""
-    if not len(low):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    edge = np.zeros(len(low) + 1, bool)
+def word_spans(space: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs where ``space`` is false, cut at the text
+    bounds ``at``."""
+    edge = np.zeros(len(space) + 1, bool)
     edge[at] = True
     before = np.concatenate([[True], space[:-1]]) | edge[:-1]
     after = np.concatenate([space[1:], [True]]) | edge[1:]
-    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
-    # Polynomial hashes from running sums, shifted back to the word start.
+    return np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
+
+
+def span_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span: polynomial hashes from running sums, shifted
+    back to the start of the span."""
     values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[low]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(_BASE, len(low)), dtype=np.uint64)])
     shift = powers(pow(_BASE, -1, 1 << 64), len(low))
-    hashes = mix((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
-    return np.searchsorted(at, starts, side="right") - 1, hashes
+    return mix((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(low: np.ndarray, space: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit hash) of each word of the texts low[at[i]:at[i+1]];
+    words are the runs where ``space`` is false."""
+    if not len(low):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    starts, ends = word_spans(space, at)
+    return np.searchsorted(at, starts, side="right") - 1, span_hashes(low, starts, ends)
 
 
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:

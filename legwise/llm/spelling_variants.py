@@ -40,18 +40,17 @@ words; no other column is read.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections import Counter
-from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legwise.llm.common import cut
+from legwise.llm.common import cut, lower, slices, span_hashes, text_bytes, word_spans
 
-RUN = r"[A-Za-zÀ-ÿ]+"
 MIN_LENGTH = 6
 MIN_COUNT = 5
 RATIO = 5
@@ -64,43 +63,80 @@ LONGEST = 8
 DICTIONARY = 1 << 18
 #: Least occurrences from which a gram is extended.
 MIN_THRESHOLD = 8
-#: Entries of a task's own counts; beyond it they are passed on.
+#: Entries that a task holds before it passes them on.
 HELD = 1 << 18
+#: Longest words that are worked on together.
+WIDE = 64
+#: Text bytes worked on at a time.
+SLICE = 1 << 20
 START, END = "\x01", "\x02"
 
 
-def _count_words(min_length: int):
-    find = re.compile(RUN.replace("A-Z", "")).findall
+def _crc_table() -> np.ndarray:
+    """The byte table of the CRC that zlib has."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+CRC_TABLE = _crc_table()
+
+
+def crc32_of_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, begun: np.ndarray) -> np.ndarray:
+    """CRC-32 of each span of bytes, carrying on from the CRC ``begun``."""
+    order = np.argsort(starts - ends, kind="stable")  # longest first
+    starts, length, crc = starts[order], (ends - starts)[order], ~begun[order]
+    counts = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), side="left")
+    for j, n in enumerate(counts):  # the n spans of more than j bytes
+        crc[:n] = CRC_TABLE[(crc[:n] ^ data[starts[:n] + j]) & 255] ^ (crc[:n] >> 8)
+    out = np.empty_like(crc)
+    out[order] = ~crc
+    return out
+
+
+def _runs(data: np.ndarray, at: np.ndarray, begun: np.ndarray, min_length: int) -> pa.RecordBatch:
+    """(word, n) of the texts data[at[i]:at[i + 1]], a word perhaps twice;
+    ``begun``: CRC of each text's id and colon."""
+    low = lower(data)
+    lead = low == 0xC3  # in UTF-8 the first byte of U+00C0 to U+00FF, and of nothing else
+    letter = (low >= 97) & (low <= 122) | lead
+    letter[1:] |= lead[:-1]
+    starts, ends = word_spans(~letter, at)
+    points = np.concatenate([[0], np.cumsum((low & 0xC0) != 0x80)])
+    size = points[ends] - points[starts]
+    long = size >= min_length
+    starts, ends, size = starts[long], ends[long], size[long]
+    h = crc32_of_spans(low, starts, ends, begun[np.searchsorted(at, starts, side="right") - 1])
+    changed = h % DELETES == 0
+    cut_words = []
+    for a, b, x, k in zip(starts[changed], ends[changed], h[changed], size[changed]):
+        word, place = low[a:b].tobytes().decode(), int(x) % int(k)
+        if k > min_length:
+            cut_words.append(word[:place] + word[place + 1:])
+    starts, ends = starts[~changed], ends[~changed]
+    _, first, n = np.unique(span_hashes(low, starts, ends), return_index=True, return_counts=True)
+    starts, length = starts[first], (ends - starts)[first]
+    bounds = np.concatenate([[0], np.cumsum(length)])
+    spelt = low[np.repeat(starts - bounds[:-1], length) + np.arange(bounds[-1])]
+    words = pa.StringArray.from_buffers(len(first), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(spelt))
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([words, pa.array(cut_words, pa.string())]),
+         pa.array(np.concatenate([n, np.ones(len(cut_words), np.int64)]), pa.int64())], names=["word", "n"])
+
 
+def _count_words(min_length: int):
     def run(batches):
-        held: Counter = Counter()
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                # bytes.lower() changes A-Z alone
-                low = (text.as_py() or "").encode().lower().decode()
-                own = "" if doc_id is None else doc_id
-                for word, n in Counter(find(low)).items():
-                    if len(word) < min_length:
-                        continue
-                    h = zlib.crc32(f"{own}:{word}".encode())
-                    if h % DELETES == 0:
-                        at = h % len(word)
-                        word = word[:at] + word[at + 1:]
-                        if len(word) < min_length:
-                            continue
-                    held[word] += n
-                if len(held) > HELD:
-                    yield _counted(held)
-                    held = Counter()
-        yield _counted(held)
+            data, at = text_bytes(batch.column("text"))
+            ids = batch.column("doc_id").to_pylist()
+            begun = np.array([zlib.crc32(f"{'' if i is None else i}:".encode()) for i in ids], np.uint32)
+            for lo, hi in slices(at, SLICE):
+                if at[hi] > at[lo]:
+                    yield _runs(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], begun[lo:hi], min_length)
     return run
 
 
-def _counted(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"word": pa.array(held.keys(), pa.string()),
-                                       "n": pa.array(held.values(), pa.int64())})
-
-
 def count_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT) -> DataFrame:
     """(word, n) of all words that are long and frequent enough."""
@@ -161,76 +197,107 @@ def decompose(word: str, extend: frozenset[str], longest: int) -> list[tuple[int
     return found
 
 
+def letter_mask(word: str) -> int:
+    """Parity of the word's code points in 63 classes: an edit changes two bits
+    at most."""
+    out = 0
+    for c in word:
+        out ^= 1 << ord(c) % 63
+    return out
+
+
 def _decompose(extend: frozenset[str], least: int):
     """Entries of every word in its own length group and in that of words one
     shorter."""
     def run(batches):
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], [], []]
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                own = len(word)
+                own, mask, grams, limit = len(word), letter_mask(word), [], 0
                 for group in (own, own - 1):
                     if group < least:
                         continue
-                    for start, end, gram in decompose(word, extend, longest_gram(group)):
-                        for col, value in zip(cols, (group, word, n, start, end, gram)):
-                            col.append(value)
-            types = (pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string())
+                    if longest_gram(group) != limit:
+                        limit = longest_gram(group)
+                        grams = decompose(word, extend, limit)
+                    starts, stops, spelt = zip(*grams)
+                    for col, value in zip(cols, (group, word, n, mask)):
+                        col += [value] * len(grams)
+                    for col, values in zip(cols[4:], (starts, stops, spelt)):
+                        col += values
+            types = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             names=["grp", "word", "n", "start", "stop", "gram"])
+                                             names=["grp", "word", "n", "mask", "start", "stop", "gram"])
     return run
 
 
-def rarest_unaffected(grams: list[tuple[int, int, int, str]], length: int, longest: int) -> list[tuple[int, str]]:
-    """(start, gram) of the lists a word enters. ``grams``: (count, start, end,
-    gram) of a word of ``length``, by rising start. For each place of an edit
-    (replaced or deleted, or inserted before it) the rarest gram that it leaves."""
-    ends = [g[2] for g in grams]
-    rank = [(g[0], g[3], g[1]) for g in grams]
-    k = len(grams)
-    left, right = [None] * (k + 1), [None] * (k + 1)  # rarest of the first j, of those from j on
-    for j in range(k):
-        left[j + 1] = j if left[j] is None or rank[j] < rank[left[j]] else left[j]
-    for j in range(k - 1, -1, -1):
-        right[j] = j if right[j + 1] is None or rank[j] < rank[right[j + 1]] else right[j + 1]
-    chosen = set()
-    for i in range(1, length + 2):
-        before = sum(e <= i for e in ends)
+def _chosen(rows: pa.Table) -> pa.Table:
+    """The lists that words enter, from their entries sorted by (grp, word,
+    start): for each place i of an edit the rarest gram that it leaves, which is
+    the rarest of those that end by i and of those that end behind the reach of a
+    change. A word is a row of a matrix."""
+    word, grp = rows["word"].combine_chunks(), rows["grp"]
+    group, start, stop = (rows[c].to_numpy() for c in ("grp", "start", "stop"))
+    code = word.dictionary_encode().indices.to_numpy()
+    begins = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (group[1:] != group[:-1])]))
+    k = np.diff(np.append(begins, len(code)))
+    gram = rows["gram"].combine_chunks().dictionary_encode()
+    spelt = np.empty(len(gram.dictionary), np.int64)
+    spelt[np.argsort(np.array(gram.dictionary.to_pylist(), object), kind="stable")] = np.arange(len(spelt))
+    rank = np.empty(len(code), np.int64)
+    rank[np.lexsort((start, spelt[gram.indices.to_numpy()], rows["c"].to_numpy()))] = np.arange(len(code))
+
+    owner = np.repeat(np.arange(len(begins)), k)
+    place = np.arange(len(code)) - begins[owner]
+    shape = len(begins), int(k.max())
+    ends, ranks = np.full(shape, np.iinfo(np.int32).max, np.int64), np.full((shape[0], shape[1] + 1), len(code), np.int64)
+    ends[owner, place], ranks[owner, place] = stop, rank
+    left = np.concatenate([ranks[:, -1:], np.minimum.accumulate(ranks[:, :-1], axis=1)], axis=1)
+    right = np.minimum.accumulate(ranks[:, ::-1], axis=1)[:, ::-1]
+    length = pc.utf8_length(word).to_numpy()[begins]
+    longest = np.array([longest_gram(int(g)) for g in group[begins]])
+    each, used = np.arange(len(begins)), np.zeros(len(code) + 1, bool)
+    for i in range(1, int(length.max()) + 2):
+        inside = i <= length + 1
+        before = left[each, (ends <= i).sum(axis=1)]
         for reach in (i + longest, i + longest - 1):  # replaced or deleted; inserted
-            behind = sum(e <= reach for e in ends)
-            options = [j for j in (left[before], right[behind]) if j is not None]
-            if options:
-                chosen.add(min(options, key=rank.__getitem__))
-    return [(grams[j][1], grams[j][3]) for j in sorted(chosen)]
+            best = np.minimum(before, right[each, (ends <= reach[:, None]).sum(axis=1)])
+            used[best[inside]] = True
+    return pa.table({"grp": grp, "word": word, "n": rows["n"], "mask": rows["mask"],
+                     "len": pa.array(np.repeat(length, k), pa.int32()), "start": rows["start"],
+                     "gram": rows["gram"]}).filter(pa.array(used[rank]))
 
 
 def _choose(batches):
-    """Rows sorted by (grp, word, start); one word may span batches."""
-    tail: list[dict] = []
-
-    def entries(rows):
-        out: list[tuple] = []
-        for (group, word), own in groupby(rows, key=lambda r: (r["grp"], r["word"])):
-            own = list(own)
-            n, length = own[0]["n"], len(word)
-            grams = [(r["c"], r["start"], r["stop"], r["gram"]) for r in own]
-            out += [(group, word, n, length, start, gram)
-                    for start, gram in rarest_unaffected(grams, length, longest_gram(group))]
-        types = (pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types)],
-                                          names=["grp", "word", "n", "len", "start", "gram"])
+    """Entries of a partition sorted by (grp, word, start), in chunks of whole
+    words of one (grp, word); words longer than WIDE stand alone."""
+    held: list[pa.RecordBatch] = []
+
+    def work(table: pa.Table):
+        words = table["word"].combine_chunks()
+        wide = pc.utf8_length(words).to_numpy() > WIDE
+        name = words.dictionary_encode().indices.to_numpy()
+        group = table["grp"].to_numpy()
+        new = (name[1:] != name[:-1]) | (group[1:] != group[:-1])
+        cuts = np.flatnonzero(new & (wide[1:] | wide[:-1])) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(name)]):
+            yield from _chosen(table.slice(int(lo), int(hi - lo))).to_batches()
 
     for batch in batches:
-        rows = tail + batch.to_pylist()
-        if not rows:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < HELD:
             continue
-        last = (rows[-1]["grp"], rows[-1]["word"])
-        whole = len(rows)
-        while whole and (rows[whole - 1]["grp"], rows[whole - 1]["word"]) == last:
-            whole -= 1
-        tail = rows[whole:]
-        yield entries(rows[:whole])
-    yield entries(tail)
+        table = pa.Table.from_batches(held)
+        words, groups = table["word"].combine_chunks(), table["grp"].to_numpy()
+        last = pc.equal(words, words[len(words) - 1]).to_numpy(zero_copy_only=False) & (groups == groups[-1])
+        whole = int(np.argmax(last))  # the last word may go on
+        if whole:
+            yield from work(table.slice(0, whole))
+            held = table.slice(whole).to_batches()
+    if held:
+        yield from work(pa.Table.from_batches(held))
 
 
 def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH, limit: int = DICTIONARY) -> DataFrame:
@@ -238,23 +305,23 @@ def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH, limit: int = DICT
     n) is a written table of distinct words."""
     extend = gram_dictionary(words, limit)
     entries = cut(words.mapInArrow(_decompose(extend, min_length),
-                                   "grp int, word string, n long, start int, stop int, gram string"), "variant-grams")
+                                   "grp int, word string, n long, mask long, start int, stop int, gram string"), "variant-grams")
     counts = entries.groupBy("grp", "gram").agg(F.count(F.lit(1)).alias("c"))
     by_word = (entries.join(counts, ["grp", "gram"]).repartition("grp", "word")
                .sortWithinPartitions("grp", "word", "start"))
-    lists = cut(by_word.mapInArrow(_choose, "grp int, word string, n long, len int, start int, gram string"),
+    lists = cut(by_word.mapInArrow(_choose, "grp int, word string, n long, mask long, len int, start int, gram string"),
                 "variant-lists")
     own = F.col("len") == F.col("grp")
     # A word of the group's length meets its own list, and those of the words one longer.
     places = F.array(*[F.struct((F.col("len") + dl).alias("len"), (F.col("start") + dp).alias("start"))
                        for dl, dp in ((0, 0), (1, 0), (1, 1))])
     asks = (lists.where(own).select("grp", "gram", F.col("word").alias("a"), F.col("n").alias("na"),
-                                    F.explode(places).alias("at"))
-            .select("grp", "gram", F.col("at.len").alias("len"), F.col("at.start").alias("start"), "a", "na",
+                                    F.col("mask").alias("ma"), F.explode(places).alias("at"))
+            .select("grp", "gram", F.col("at.len").alias("len"), F.col("at.start").alias("start"), "a", "na", "ma",
                     (F.col("at.len") == F.col("grp")).alias("same")))
-    met = asks.join(lists.select("grp", "gram", "len", "start", F.col("word").alias("b"), F.col("n").alias("nb")),
-                    ["grp", "gram", "len", "start"])
-    near = met.where("NOT same OR a < b").where(F.levenshtein("a", "b", 1) == 1)
+    met = asks.join(lists.select("grp", "gram", "len", "start", F.col("word").alias("b"), F.col("n").alias("nb"),
+                                 F.col("mask").alias("mb")), ["grp", "gram", "len", "start"])
+    near = met.where("(NOT same OR a < b) AND bit_count(ma ^ mb) <= 2").where(F.levenshtein("a", "b", 1) == 1)
     return near.select("a", "na", "b", "nb").distinct()
 
 

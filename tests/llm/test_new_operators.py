@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from legwise.llm import quality, spelling_variants, whitening
@@ -102,7 +103,12 @@ def test_every_edit_leaves_a_gram():
 
         def lists(w):
             grams = spelling_variants.decompose(w, extend, longest)
-            return spelling_variants.rarest_unaffected([(hash(g) % 7, s, e, g) for s, e, g in grams], len(w), longest)
+            rows = pa.table({"grp": [group] * len(grams), "word": [w] * len(grams), "n": [5] * len(grams),
+                             "mask": [0] * len(grams), "start": [s for s, _, _ in grams],
+                             "stop": [e for _, e, _ in grams], "gram": [g for _, _, g in grams],
+                             "c": [zlib.crc32(g.encode()) % 7 for _, _, g in grams]})
+            out = spelling_variants._chosen(rows)
+            return list(zip(out["start"].to_pylist(), out["gram"].to_pylist()))
         one, two = lists(word), lists(other)
         assert any(g == h and q - p in ((0,) if len(word) == len(other) else (0, len(other) - len(word)))
                    for p, g in one for q, h in two), (word, other)
