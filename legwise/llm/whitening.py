@@ -200,7 +200,7 @@ def _decompose(dim: int):
 
 
 def _combine(dim: int):
-    def run(key, rows: pa.Table) -> pa.Table:
+    def run(key, rows):  # Spark tells the two arguments by their number
         spectra = [Spectrum.of(r, dim) for r in sorted(rows.to_pylist(), key=lambda r: (-r["n"], r["part"]))]
         for other in spectra[1:]:
             spectra[0].join(other)
