@@ -11,12 +11,17 @@ meet partners of at most (4n - 7i) / 3 shingles. Entries with 7i <= n form the
 front block of a list; two entries of the rear block never meet, so a list
 without front entries is skipped whole.
 
-Answer-level skipping: a list's pivot is compared with all entries first. Sets
-that turn out in one component need no comparison with each other, and a set
-takes over what is known of the pivot: with Jaccard distances d(x, p) and
-d(y, p) more than 0.25 apart, x and y cannot link. Only what these rules leave
-open is compared pair by pair. The answer is the classes' components, which no
-skipped pair can change.
+Answer-level skipping: every list has a pivot, and in each round a set is
+compared with one pivot only, the one it meets in most lists. Sets that turn out
+in one component need no comparison with each other, and a set takes over what is
+known of the pivot: with Jaccard distances d(x, p) and d(y, p) more than 0.25
+apart, x and y cannot link. Only what these rules leave open is compared pair by
+pair. The answer is the classes' components, which no skipped pair can change.
+
+Signatures: a set's shingles also set parities of SIGNATURE bits. Two sets differ
+in at least as many shingles as their signatures do in bits, and linked sets
+differ in a seventh of their sizes' sum at most, so pairs of sets that differ more
+are out before any list of shingles is moved.
 
 Skew: classes, pivots and list statistics are aggregations with a map-side
 part; joins on lists and pivots are split by AQE. Nothing is collected but the
@@ -35,7 +40,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwise.llm.common import (components, cut, lower, mix, powers, shuffle_width, slices, text_bytes,
@@ -45,8 +50,11 @@ WIDTH = 5
 #: Frequent shingles put last in the global order.
 FREQUENT = 1 << 16
 #: Text bytes worked on at a time (a longer text stands alone).
-SLICE = 1 << 22
-PIVOT_ROUNDS = 2
+SLICE = 1 << 19
+#: Rounds in which every set asks one pivot.
+PIVOT_ROUNDS = 3
+#: Bits of a signature, in longs of 64.
+SIGNATURE = 512
 #: Keys from here on are the frequent shingles, in order.
 FIRST_FREQUENT = 1 << 62
 #: Entries of a list this far apart are compared before the list is kept.
@@ -119,9 +127,19 @@ def _ordered(data, at, frequent: np.ndarray):
     return key.view(np.int64), np.searchsorted(doc, np.arange(len(at)))
 
 
+def signatures(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(sets, SIGNATURE / 64) parities of the keys[bounds[i]:bounds[i + 1]]."""
+    width = SIGNATURE // 64
+    out = np.zeros((len(bounds) - 1) * width, np.uint64)
+    bit = mix(keys.view(np.uint64)) >> np.uint64(64 - SIGNATURE.bit_length() + 1)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    np.bitwise_xor.at(out, owner * width + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def _sets(frequent: np.ndarray, whole: bool):
     """One row per text: its other columns, set digest, size and keys: all of
-    them, or the prefix alone."""
+    them, or the prefix alone and the signature of all."""
     def run(batches):
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
@@ -131,17 +149,21 @@ def _sets(frequent: np.ndarray, whole: bool):
                 n = np.diff(bounds)
                 digest = [int.from_bytes(hashlib.blake2b(keys[a:b], digest_size=8).digest(), "little", signed=True)
                           for a, b in zip(bounds[:-1], bounds[1:])]
+                part = others.slice(lo, hi - lo)
+                columns = [*part.columns, pa.array(digest, pa.int64()), pa.array(n, pa.int64())]
+                names = [*part.schema.names, "digest", "n"]
                 if not whole:
+                    width = SIGNATURE // 64
+                    columns.append(pa.ListArray.from_arrays(
+                        pa.array(np.arange(0, (hi - lo) * width + 1, width), pa.int32()), pa.array(signatures(keys, bounds))))
+                    names.append("sig")
                     take = np.where(n > 0, n - (3 * n + 3) // 4 + 1, 0)
                     cuts = np.concatenate([[0], np.cumsum(take)])
                     keys = keys[np.repeat(bounds[:-1] - cuts[:-1], take) + np.arange(cuts[-1])]
                 else:
                     cuts = bounds
-                part = others.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(digest, pa.int64()), pa.array(n, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys))],
-                    names=[*part.schema.names, "digest", "n", "keys"])
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys)))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "keys"])
     return run
 
 
@@ -186,6 +208,12 @@ def _in_lists(entries: DataFrame) -> DataFrame:
     return rare.unionByName(entries.where(F.col("h") >= FIRST_FREQUENT))
 
 
+def _differing(x: str, y: str) -> Column:
+    """Bits in which two signatures differ."""
+    bits = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SIGNATURE // 64)]
+    return sum(bits[1:], bits[0])
+
+
 def _sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with sizes and keys of both sets."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("keys").alias("ka"))
@@ -210,9 +238,13 @@ class _Sets:
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with set sizes na, nb and the size o of the intersection.
-        Pairs whose prefixes already rule out a link are left out: up to the last
-        key both prefixes cover, the common shingles are known exactly."""
-        bound = (_sides(pairs, self.heads)
+        Pairs whose signatures or prefixes already rule out a link are left out: up
+        to the last key both prefixes cover, the common shingles are known exactly."""
+        one, two = (self.heads.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"s{k}"))
+                    for k in ("a", "b"))
+        alike = cut(pairs.join(one, "a").join(two, "b").where(7 * _differing("sa", "sb") <= F.expr("na + nb"))
+                    .select("a", "b"), "shingle-alike")
+        bound = (_sides(alike, self.heads)
                  .withColumn("upto", F.least(F.element_at("ka", -1), F.element_at("kb", -1)))
                  .withColumn("most", F.size(F.array_intersect("ka", "kb")) + F.least(
                      F.col("na") - F.size(F.filter("ka", lambda k: k <= F.col("upto"))),
@@ -254,35 +286,38 @@ def _pair(x: str, y: str):
 def set_links(lists: DataFrame, sets: _Sets) -> DataFrame:
     """Links (a, b) of nodes that connect exactly what all links connect.
     lists: (h, node, n, i)."""
-    links = checked = pivots = None
-    for k in range(PIVOT_ROUNDS):
+    links = checked = None
+    for _ in range(PIVOT_ROUNDS):
         open_lists = _with_component(lists, links)
         front = F.expr("7 * i <= n AND (big IS NULL OR comp <> big)")
         pivot = (open_lists.groupBy("h").agg(F.min(F.when(front, F.struct(
             F.xxhash64("node").alias("r"), F.col("node").alias("p"), F.col("n").alias("pn"),
             F.col("i").alias("pi"), F.col("comp").alias("pc")))).alias("pivot"))
             .where("pivot IS NOT NULL").select("h", "pivot.p", "pivot.pn", "pivot.pi", "pivot.pc"))
-        asked = (open_lists.join(pivot, "h").where("comp <> pc").where(_meet("n", "i", "pn", "pi"))
-                 .select(*_pair("node", "p")).distinct())
+        met = (open_lists.join(pivot, "h").where("comp <> pc").where(_meet("n", "i", "pn", "pi"))
+               .groupBy("node", "p").agg(F.count(F.lit(1)).alias("c")))
+        asked = (met.groupBy("node").agg(F.max(F.struct("c", F.xxhash64("p").alias("r"), "p")).alias("top"))
+                 .select("node", "top.p").select(*_pair("node", "p")).distinct())
         if checked is not None:
             asked = asked.join(checked, ["a", "b"], "left_anti")
         found = sets.verify(asked)
         checked = found if checked is None else checked.unionByName(found)
         links = _linked(checked)
-        if pivots is None:
-            pivots = cut(pivot.select("h", "p"), "shingle-pivots")
 
-    # What is left: pairs of different components, unless the first pivot's answers rule them out.
+    # What is left: pairs of different components, unless signatures or a pivot's answers rule them out.
     gap = F.expr("1 - o / (na + nb - o)")
     both = checked.unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b"),
                                               F.col("nb").alias("na"), F.col("na").alias("nb"), "o"))
-    open_lists = cut(_with_component(lists, links).join(pivots, "h", "left")
-                     .join(both.select(F.col("a").alias("node"), F.col("b").alias("p"), gap.alias("d")),
-                           ["node", "p"], "left"), "shingle-open")
+    # The closest pivot that a set has been compared with tells most about it.
+    near = (both.groupBy("a").agg(F.min(F.struct(gap.alias("d"), F.col("b").alias("q"))).alias("top"))
+            .select(F.col("a").alias("node"), "top.d", "top.q"))
+    open_lists = cut(_with_component(lists, links).join(near, "node", "left")
+                     .join(sets.heads.select("node", "sig"), "node"), "shingle-open")
     x, y = open_lists.where("comp <> big").alias("x"), open_lists.alias("y")
     rest = (x.join(y, (F.col("x.h") == F.col("y.h")) & F.expr(
         "x.comp <> y.comp AND (y.comp = y.big OR x.node < y.node)"
-        " AND NOT coalesce(abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i"))
+        " AND NOT coalesce(x.q = y.q AND abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i")
+        & (7 * _differing("x.sig", "y.sig") <= F.expr("x.n + y.n")))
         .select(*_pair("x.node", "y.node")).distinct().join(checked, ["a", "b"], "left_anti"))
     return links.unionByName(_linked(sets.verify(rest)))
 
@@ -292,10 +327,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per input row: doc_id, n_shingles, component_id."""
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hot = frequent_shingles(texts.select("text"), frequent)
-    made = texts.mapInArrow(_sets(hot, whole=False), "doc_id long, digest long, n long, keys array<long>")
+    made = texts.mapInArrow(_sets(hot, whole=False), "doc_id long, digest long, n long, sig array<long>, keys array<long>")
     rows = cut(made.select("doc_id", "digest", "n"), "shingle-rows")
     # Copies are reduced in each task before the prefixes move.
     heads = cut(made.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"),
+                                                              F.first("sig").alias("sig"),
                                                               F.first("keys").alias("keys"))
                 .withColumn("node", F.coalesce("rep", "digest")), "shingle-heads")
     lists = cut(_in_lists(heads.select("node", "n", F.posexplode("keys").alias("i", "h"))), "shingle-lists")
