@@ -50,7 +50,7 @@ EVIDENCE = 100
 WEIGHT = 5.0
 #: Prior of "no known language" beside each document's languages.
 UNKNOWN = 1e-3
-SLICE = 1 << 22
+SLICE = 1 << 19
 #: Numbers in a work array of counts or scores.
 CELLS = 1 << 21
 UND = "und"
@@ -122,29 +122,31 @@ def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang",
 
 
 def _score(model: Model):
-    """Adds ``ll``: tempered log-likelihoods, the unknown language's last; and ``p``:
-    the shares of the known languages by them. Null for a text without letters."""
+    """Of texts: ``ll``, tempered log-likelihoods, the unknown language's last;
+    and ``p``, the shares of the known languages by them. Null for a text
+    without letters."""
     unknown, width = np.full(BUCKETS, -np.log(BUCKETS)), len(model.languages) + 1
     step = max(1, CELLS // width)
 
-    def run(batches):
-        for whole in batches:
-            for first in range(0, whole.num_rows, step):
-                batch = whole.slice(first, step)
-                data, at = text_bytes(batch.column("text"))
-                out = np.zeros((batch.num_rows, width))
-                count = np.zeros(batch.num_rows, np.int64)
-                for lo, hi in slices(at, SLICE):
-                    doc, gram = trigrams(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
-                    count[lo:hi] = np.bincount(doc, minlength=hi - lo)
-                    for k, row in enumerate((*model.log_p, unknown)):
-                        out[lo:hi, k] = np.bincount(doc, row[gram], hi - lo)
-                out *= (np.minimum(1.0, EVIDENCE / np.maximum(count, 1)))[:, None]
-                kept = batch.drop_columns(["text"])
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, _lists(out, count == 0), _lists(_normalised(out[:, :-1]), count == 0)],
-                    names=[*kept.schema.names, "ll", "p"])
-    return run
+    def run(text: pa.Array) -> pa.Array:
+        done = []
+        for first in range(0, len(text), step):
+            data, at = text_bytes(text.slice(first, step))
+            rows = len(at) - 1
+            out, count = np.zeros((rows, width)), np.zeros(rows, np.int64)
+            for lo, hi in slices(at, SLICE):
+                doc, gram = trigrams(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
+                count[lo:hi] = np.bincount(doc, minlength=hi - lo)
+                for k, row in enumerate((*model.log_p, unknown)):
+                    out[lo:hi, k] = np.bincount(doc, row[gram], hi - lo)
+            out *= (np.minimum(1.0, EVIDENCE / np.maximum(count, 1)))[:, None]
+            done.append(pa.StructArray.from_arrays([_lists(out, count == 0), _lists(_normalised(out[:, :-1]), count == 0)],
+                                                   names=["ll", "p"]))
+        return pa.concat_arrays(done) if done else pa.array([], SCORES)
+    return F.arrow_udf(run, "struct<ll array<double>, p array<double>>")
+
+
+SCORES = pa.struct([("ll", pa.list_(pa.float64())), ("p", pa.list_(pa.float64()))])
 
 
 def _normalised(values: np.ndarray) -> np.ndarray:
@@ -208,13 +210,13 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", host: Column |
                               for c in (host, suffix, declared)]
     facts = [host.alias("host"), suffix.alias("suffix"), F.substring_index(host, ".", -2).alias("domain"),
              F.lower(F.substring_index(declared, "-", 1)).alias("declared")]
-    text = F.col(text_col).cast("string").alias("text")
-    shape = "host string, suffix string, domain string, declared string, ll array<double>, p array<double>"
+    text = F.col(f"`{text_col}`").cast("string")
     if not k:
         return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                          F.lit(UND).alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
 
-    seen = (df.select(*facts, text).mapInArrow(_score(model), shape).where("ll IS NOT NULL"))
+    score = _score(model)  # only the text goes to Python
+    seen = df.select(*facts, score(text).alias("s")).select("*", "s.ll", "s.p").drop("s").where("ll IS NOT NULL")
     place = ["suffix", "domain", "host"]
     cells = cut(seen.withColumn("declared", F.when(F.col("declared").isin(list(model.languages)), F.col("declared")))
                 .groupBy(*place, "declared").agg(F.count(F.lit(1)).cast("double").alias("n"),
@@ -237,9 +239,9 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", host: Column |
                                             _smooth(F.col("c_suffix"), F.col("n_suffix"), root)))
               .select(*place, "n_host", "c_host", "parent"))
 
-    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *facts, text)
-    row_type = whole.schema["row"].dataType.simpleString()
-    scored = whole.mapInArrow(_score(model), f"row {row_type}, {shape}").join(priors, place, "left")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    scored = (df.select(row, *facts, score(text).alias("s")).select("*", "s.ll", "s.p").drop("s")
+              .join(priors, place, "left"))
     if evidence:
         words = spark.createDataFrame(evidence, "declared string, of_word array<double>")
         scored = scored.join(F.broadcast(words), "declared", "left")
