@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 from legwise.llm.byte_tokens import byte_alphabet
 
 #: Most different words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Bytes of decoded text made at a time.
 DECODE_SLICE = 1 << 22
 

@@ -25,7 +25,7 @@ _ANY = regex.compile(PATTERN)
 _IS_LATIN = re.compile("[\t-\r -~ -ɏ]*").fullmatch
 
 #: Most different pre-tokens whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 def any_pre_tokens(text: str, at: int = 0):
