@@ -17,7 +17,8 @@ more than ``BLOCK`` vectors is dealt into blocks, and each pair of blocks is a
 unit of work of its own; no pair is left out.
 
 Defined results: null or zero vectors and vectors with null or non-finite
-components, or of another length than most, link with nothing and stay; rows
+components link with nothing and stay; vectors of several lengths are compared
+length by length; rows
 with a null vec_id have no component id and are kept; rows with one vec_id and
 different vectors share a component; an empty table gives an empty result;
 other columns are not read.
@@ -187,13 +188,31 @@ def vector_components(df: DataFrame, id_col: str = "vec_id", vector_col: str = "
     spark = df.sparkSession
     raw = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = cut(raw.mapInArrow(_fingerprints, "vec_id long, v binary, digest binary, dim int"), "vector-rows")
-    usual = rows.where("dim > 0").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    dim = usual["dim"] if usual else 1
-    classes = cut(rows.where(F.col("dim") == dim).groupBy("digest").agg(
+    classes = cut(rows.where("dim > 0").groupBy("dim", "digest").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v"))
         .withColumn("node", F.coalesce("rep", F.xxhash64("digest"))), "vector-classes")
-    plan = Plan(classes.count(), dim, threshold, recall)
+    lengths = classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("dim").collect()
+    # (node, links, root) of every length; vectors of different lengths never link
+    found = spark.createDataFrame([], "node long, links long, root long")
+    for r in lengths:
+        found = found.unionByName(_links_of_length(classes.where(F.col("dim") == r["dim"]),
+                                                   Plan(r["n"], r["dim"], threshold, recall), r["dim"]))
 
+    comps = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-components")
+    totals = found.groupBy("node").agg(F.sum("links").alias("links"))
+    home = cut(classes.join(totals, "node", "left").join(comps, "node", "left").select(
+        "digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+        F.coalesce("root", "rep").alias("component_id")), "vector-home")
+    alone = rows.where("dim = 0").select("vec_id", F.lit(0).cast("long").alias("n_links"),
+                                         F.col("vec_id").alias("component_id"))
+    return (rows.where("dim > 0").select("vec_id", "digest").join(home, "digest")
+            .select("vec_id", "n_links", "component_id").unionByName(alone)
+            .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+
+
+def _links_of_length(classes: DataFrame, plan: Plan, dim: int) -> DataFrame:
+    """(node, links, root) of the classes of one vector length."""
+    spark = classes.sparkSession
     cells = cut(classes.select("node", "v").mapInArrow(_cells(plan, dim), "node long, cell long, nth int"),
                 "vector-cells")
     shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -205,15 +224,4 @@ def vector_components(df: DataFrame, id_col: str = "vec_id", vector_col: str = "
                      F.greatest("side", "other").alias("b2")))
     units = (dealt.join(classes.select("node", "size", "v"), "node")
              .repartition(shuffle_width(spark), "cell", "b1", "b2").sortWithinPartitions("cell", "b1", "b2"))
-    found = cut(units.mapInArrow(_links(plan, dim), "node long, links long, root long"), "vector-links")
-
-    comps = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-components")
-    totals = found.groupBy("node").agg(F.sum("links").alias("links"))
-    home = cut(classes.join(totals, "node", "left").join(comps, "node", "left").select(
-        "digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-        F.coalesce("root", "rep").alias("component_id")), "vector-home")
-    alone = rows.where(F.col("dim") != dim).select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                                                   F.col("vec_id").alias("component_id"))
-    return (rows.where(F.col("dim") == dim).select("vec_id", "digest").join(home, "digest")
-            .select("vec_id", "n_links", "component_id").unionByName(alone)
-            .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+    return cut(units.mapInArrow(_links(plan, dim), "node long, links long, root long"), "vector-links")
