@@ -23,8 +23,19 @@ def _opt(env: dict, key: str, default: str | None = None) -> str | None:
     return v or default
 
 
-def _flag(env: dict, key: str, default: str) -> bool:
-    return (env.get(key) or default).strip().lower() in ("1", "true", "yes", "y")
+_SWITCH = {**dict.fromkeys(("1", "true", "yes", "y", "on"), True),
+           **dict.fromkeys(("0", "false", "no", "n", "off"), False)}
+
+
+def _switch(env: dict, key: str, default: bool) -> bool:
+    """A yes/no setting; words that are neither are refused, not read as no."""
+    word = _opt(env, key)
+    if word is None:
+        return default
+    try:
+        return _SWITCH[word.lower()]
+    except KeyError:
+        raise ConfigError(f"{key}: expected one of {', '.join(_SWITCH)}, not {word!r}") from None
 
 
 @dataclass(frozen=True)
@@ -32,11 +43,14 @@ class IngestConfig:
     landing_path: str                       # folder (or glob) the daily leg files arrive in
     raw_path: str                           # raw table (Parquet, partitioned by file_date)
     polygons_path: str | None = None        # block-group polygons (Parquet or GeoJSON)
+    polygon_id_field: str = "GEOID"         # property that holds a GeoJSON feature's id
     filename_substring: str = "tapped_trip_view_legs"
     file_suffix: str = ".csv"
     only_years: tuple[int, ...] | None = None
     dist_epsg: int = 32140
     cell_size_deg: float = 0.01
+    whole_files: bool = True                # a file with a bad record does not load at all
+    max_files: int = 20_000                 # files of one run; their names reach the driver
 
     @staticmethod
     def from_env(env: dict | None = None) -> "IngestConfig":
@@ -46,11 +60,14 @@ class IngestConfig:
             landing_path=_req(env, "LANDING_PATH"),
             raw_path=_req(env, "RAW_PATH"),
             polygons_path=_opt(env, "BG_POLYGONS_PATH"),
+            polygon_id_field=_opt(env, "BG_ID_FIELD", "GEOID"),
             filename_substring=_opt(env, "FILENAME_SUBSTRING", "tapped_trip_view_legs"),
             file_suffix=_opt(env, "FILE_SUFFIX", ".csv"),
             only_years=tuple(int(y) for y in years.split(",") if y.strip()) if years else None,
             dist_epsg=int(_opt(env, "DIST_CRS_EPSG", "32140")),
-            cell_size_deg=float(_opt(env, "CELL_SIZE_DEG", "0.01")))
+            cell_size_deg=float(_opt(env, "CELL_SIZE_DEG", "0.01")),
+            whole_files=_switch(env, "WHOLE_FILES", True),
+            max_files=int(_opt(env, "MAX_FILES", "20000")))
 
 
 @dataclass(frozen=True)
@@ -59,7 +76,7 @@ class TransformConfig:
     clean_path: str
     state_path: str
     output_path: str                        # folder of the aggregate and publish tables
-    reject_path: str | None = None
+    reject_path: str | None = None          # default: beside the clean table
     rolling_days: int = 34
     overlap_days: int = 5
     days_back: int = 31
@@ -79,7 +96,7 @@ class TransformConfig:
             overlap_days=int(_opt(env, "OVERLAP_DAYS", "5")),
             days_back=int(_opt(env, "PROC_DAYS_BACK", "31")),
             region_prefix=_opt(env, "PROC_REGION_PREFIX"),
-            as_of=_opt(env, "AS_OF"), tune_shuffle=_flag(env, "TUNE_SHUFFLE", "0"))
+            as_of=_opt(env, "AS_OF"), tune_shuffle=_switch(env, "TUNE_SHUFFLE", False))
 
 
 @dataclass(frozen=True)
@@ -95,7 +112,7 @@ class PublishConfig:
         env = dict(os.environ if env is None else env)
         return PublishConfig(output_path=_req(env, "OUTPUT_PATH"), features_path=_req(env, "FEATURES_PATH"),
                              fmt=_opt(env, "FEATURES_FORMAT", "parquet"),
-                             densify=int(_opt(env, "DENSIFY", "0")), dry_run=_flag(env, "DRY_RUN", "0"))
+                             densify=int(_opt(env, "DENSIFY", "0")), dry_run=_switch(env, "DRY_RUN", False))
 
 
 @dataclass(frozen=True)
@@ -113,6 +130,6 @@ class PipelineConfig:
         env = dict(os.environ if env is None else env)
         return PipelineConfig(IngestConfig.from_env(env), TransformConfig.from_env(env),
                               PublishConfig.from_env(env),
-                              publish_enabled=_flag(env, "PUBLISH_ENABLED", "1"),
-                              run_transform_if_no_new=_flag(env, "RUN_MODULE2_IF_NO_NEW", "1"),
-                              run_publish_if_no_new=_flag(env, "RUN_MODULE3_IF_NO_NEW", "0"))
+                              publish_enabled=_switch(env, "PUBLISH_ENABLED", True),
+                              run_transform_if_no_new=_switch(env, "RUN_MODULE2_IF_NO_NEW", True),
+                              run_publish_if_no_new=_switch(env, "RUN_MODULE3_IF_NO_NEW", False))

@@ -50,6 +50,12 @@ def coalesce_blank(x, default: str) -> Column:
     return F.coalesce(nonblank(x), F.lit(default))
 
 
+def padded(x) -> Column:
+    """Text as a comparison with blank padding sees it: null and blanks are
+    empty, trailing blanks do not count."""
+    return F.rtrim(F.coalesce(_c(x), F.lit("")))
+
+
 def text_len(x) -> Column:
     """``LEN(x)``: length without trailing blanks."""
     return F.length(F.rtrim(_c(x)))
@@ -94,7 +100,7 @@ def _transfer_arms(prev_service, service, prev_route, route):
     fixed_to_demand = (prev_service == FIXED_ROUTE_SERVICE) & (service == DEMAND_RESPONSE_SERVICE)
     demand_to_fixed = (prev_service == DEMAND_RESPONSE_SERVICE) & (service == FIXED_ROUTE_SERVICE)
     route_change = ((prev_service == FIXED_ROUTE_SERVICE) & (service == FIXED_ROUTE_SERVICE)
-                    & (F.coalesce(_c(prev_route), F.lit("")) != F.coalesce(_c(route), F.lit(""))))
+                    & (padded(prev_route) != padded(route)))
     return prev_service.isNull(), fixed_to_demand, demand_to_fixed, route_change
 
 
@@ -135,26 +141,48 @@ def stop_key(stop_name) -> Column:
     return coalesce_blank(stop_name, NO_STOP)
 
 
+SIGNIFICANT = 6
+
+
 def tsql_float_text(x) -> Column:
     """Text of a float inside T-SQL ``CONCAT``: at most 6 significant
-    digits, trailing zeros removed. Null stays null. Covers |x| < 1e6 (all
-    coordinates); the scientific form for larger values is not produced."""
+    digits, trailing zeros removed, and from 1e6 up or below 1e-4 a mantissa with
+    an exponent of three digits (``1.23457e+006``). Null, NaN and infinities are
+    null, as a float column holds no others."""
+    x = _c(x).cast("double")
+    shown = F.format_string(f"%.{SIGNIFICANT - 1}e", x)  # d.ddddde+xx
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    digits = F.rtrim(F.translate(F.substring_index(shown, "e", 1), "-.", ""), F.lit("0"))
+    e = F.substring_index(shown, "e", -1).try_cast("int")
+    n = F.length(digits)
+
+    def some(at: Column, size: Column) -> Column:
+        return F.call_function("substring", digits, at, size)
+
+    one = F.lit(1)
+    whole = F.rpad(some(one, e + 1), e + 1, "0")
+    fixed = F.when(e < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)).otherwise(
+        F.concat(whole, F.when(n > e + 1, F.concat(F.lit("."), some(e + 2, n))).otherwise(F.lit(""))))
+    mantissa = F.concat(some(one, one), F.when(n > 1, F.concat(F.lit("."), some(F.lit(2), n))).otherwise(F.lit("")))
+    power = F.concat(F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(e).cast("string"), 3, "0"))
+    text = F.concat(sign, F.when((e >= SIGNIFICANT) | (e < -4), F.concat(mantissa, power)).otherwise(fixed))
+    finite = ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return F.when(x == 0, F.lit("0")).when(finite, text)
+
+
+def round_places(x, places: int = 4) -> Column:
+    """``ROUND(x, places)`` of a float. Numbers so large that they have no such
+    places stay as they are (Spark's round would go through a decimal)."""
     x = _c(x).cast("double")
-    a = F.abs(x)
-    rounded = (F.when(a < 100, F.round(x, 4)).when(a < 1000, F.round(x, 3))
-               .when(a < 10000, F.round(x, 2)).when(a < 100000, F.round(x, 1))
-               .otherwise(F.round(x, 0)))
-    text = rounded.cast("decimal(12,4)").cast("string")
-    return F.regexp_replace(text, r"\.?0+$", "")
+    return F.when(F.abs(x) < 1e11, F.round(x, places)).otherwise(x)
 
 
 def hotspot_key(stop_name, lon, lat) -> Column:
     """Stop name, else ``COORD_<lon>_<lat>`` rounded to 4 places.
     A null coordinate is empty text (T-SQL ``CONCAT``), so the key is never null."""
     coord = F.concat(F.lit("COORD_"),
-                     F.coalesce(tsql_float_text(F.round(_c(lon).cast("double"), 4)), F.lit("")),
-                     F.lit("_"),
-                     F.coalesce(tsql_float_text(F.round(_c(lat).cast("double"), 4)), F.lit("")))
+                     F.coalesce(tsql_float_text(round_places(lon)), F.lit("")), F.lit("_"),
+                     F.coalesce(tsql_float_text(round_places(lat)), F.lit("")))
     return F.coalesce(nonblank(stop_name), coord)
 
 

@@ -1,14 +1,11 @@
 """Number-to-text in the shortest round-trip form used by Python's ``repr``
-(and DuckDB): ``0.0005``, ``1e-05``, ``10000000.0``, ``1e+16``, ``inf``,
-``nan``. Spark's own cast prints ``5.0E-4``/``1.0E7``/``Infinity``; this
-rewrites that text with built-in string functions only.
-
-The digits are Java's ``Double.toString`` digits. On Java 17 these are now
-and then a digit or two longer than the shortest form (fixed in Java 19), e.g.
-``5.1979116758276648e+16`` where Python prints ``5.197911675827665e+16``; the
-text still parses back to the same double and is the same on every run, which
-is all the row hash needs. Exact shortest digits would need a per-value retry
-that no longer fits whole-stage code generation.
+(and DuckDB): ``0.0005``, ``1e-05``, ``10000000.0``, ``1e+16``, ``inf``, ``nan``.
+
+Spark's own cast prints the digits of the running Java's ``Double.toString``,
+which before Java 19 are now and then longer than the shortest form. So the text
+is looked for: 15, 16 and 17 significant digits are printed in turn, and the
+first that parses back to the same double is taken. The text then depends on the
+double alone. (Doubles below 2.3e-308 have fewer digits and may be printed longer.)
 """
 
 from __future__ import annotations
@@ -21,30 +18,36 @@ def _substr(s: Column, pos: Column, length: Column) -> Column:
     return F.call_function("substring", s, pos, length)
 
 
+def shortest_scientific(x: Column) -> Column:
+    """``d.ddde+xx`` with the fewest digits (15 to 17) that give back ``x``."""
+    shown = [F.format_string(f"%.{n - 1}e", x) for n in (15, 16, 17)]
+    return (F.when(shown[0].try_cast("double") == x, shown[0])
+            .when(shown[1].try_cast("double") == x, shown[1]).otherwise(shown[2]))
+
+
 def py_number_text(x) -> Column:
     """Text of a double as Python ``repr`` prints it; null stays null."""
     x = (F.col(x) if isinstance(x, str) else x).cast("double")
-    s = x.cast("string")
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    # Java scientific text "-d.dddE-n": mantissa digits without sign/point/trailing zeros
-    digits = F.regexp_replace(F.translate(F.substring_index(s, "E", 1), "-.", ""), "0+$", "")
-    e = F.substring_index(s, "E", -1).try_cast("int")
-    n = F.length(digits)
-    one = F.lit(1)
-    # 1e-4 <= |x| < 1e-3: Java prints scientific, Python fixed
-    small_fixed = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
-    # 1e7 <= |x| < 1e16: Java prints scientific, Python fixed with a fraction
-    big_fixed = F.concat(sign, F.rpad(_substr(digits, one, e + 1), e + 1, "0"), F.lit("."),
-                         F.coalesce(F.nullif(_substr(digits, e + 2, n), F.lit("")), F.lit("0")))
-    # elsewhere both are scientific: mantissa without ".0", exponent signed with 2+ digits
-    mant = F.concat(_substr(digits, one, one), F.when(n > 1, F.concat(F.lit("."), _substr(digits, F.lit(2), n)))
-                    .otherwise(F.lit("")))
-    ae = F.abs(e).cast("string")
-    sci = F.concat(sign, mant, F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), ae)
-    converted = F.when(e == -4, small_fixed).when((e >= 7) & (e <= 15), big_fixed).otherwise(sci)
+    # one lambda argument, so that the search is not repeated for each of its uses
+    return F.element_at(F.transform(F.array(F.struct(x.alias("x"), shortest_scientific(x).alias("s"))),
+                                    lambda v: _python_form(v["x"], v["s"])), 1)
+
+
+def _python_form(x: Column, s: Column) -> Column:
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.when(x < 0, F.lit("-")).otherwise(F.lit("")))
+    digits = F.rtrim(F.translate(F.substring_index(s, "e", 1), "-.", ""), F.lit("0"))
+    e = F.substring_index(s, "e", -1).try_cast("int")
+    n, one = F.length(digits), F.lit(1)
+    below_one = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    from_one = F.concat(F.rpad(_substr(digits, one, e + 1), e + 1, "0"), F.lit("."),
+                        F.coalesce(F.nullif(_substr(digits, e + 2, n), F.lit("")), F.lit("0")))
+    mantissa = F.concat(_substr(digits, one, one),
+                        F.when(n > 1, F.concat(F.lit("."), _substr(digits, F.lit(2), n))).otherwise(F.lit("")))
+    power = F.concat(F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                     F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(e).cast("string"))
+    text = F.when((e < -4) | (e >= 16), F.concat(mantissa, power)).when(e < 0, below_one).otherwise(from_one)
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))
             .when(x == float("-inf"), F.lit("-inf"))
-            .when(s.contains("E"), converted)
-            .otherwise(s))
+            .when(x == 0, F.concat(sign, F.lit("0.0")))
+            .when(x.isNotNull(), F.concat(sign, text)))

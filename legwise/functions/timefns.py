@@ -16,10 +16,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def parse_utc(text) -> Column:
+#: Layouts that are tried, in order, after ISO text; months come before days.
+TIME_FORMATS = ("M/d/yyyy h:mm[:ss][.SSSSSS][.SSS] a", "M/d/yyyy H:mm[:ss][.SSSSSS][.SSS]", "M/d/yyyy",
+                "M-d-yyyy H:mm[:ss]", "yyyy/M/d H:mm[:ss][.SSSSSS][.SSS]", "yyyy/M/d", "yyyyMMdd HHmmss",
+                "yyyyMMdd'T'HHmmss", "MMM d, yyyy h:mm[:ss] a", "MMM d, yyyy H:mm[:ss]", "d MMM yyyy H:mm[:ss]")
+_TIME_ALONE = r"^\s*T?\d{1,2}:"
+
+
+def _dated(text: Column) -> Column:
+    """Null for text that names a time but no date, which Spark would put on
+    the day of the run."""
+    return F.when(~text.rlike(_TIME_ALONE), text)
+
+
+def parse_utc(text, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
     """Text -> UTC ``timestamp_ntz``; an offset in the text is converted to
-    UTC, text without one is taken as UTC; bad text gives null."""
-    return F.try_to_timestamp(_c(text)).cast("timestamp_ntz")
+    UTC, text without one is taken as UTC; text in none of the layouts gives null."""
+    t = _c(text)
+    iso = F.try_to_timestamp(_dated(t))
+    word = F.btrim(F.upper(t))
+    others = [F.try_to_timestamp(F.initcap(F.lower(word)) if "MMM" in f else word, F.lit(f)) for f in formats]
+    # the other layouts are looked at only where a mark shows one
+    return F.coalesce(iso, F.when(t.rlike(r"[/,A-Za-z]|^\s*\d{8}|^\s*\d{1,2}-"), F.coalesce(*others))).cast("timestamp_ntz")
 
 
 def floor_ms(ts) -> Column:
@@ -29,7 +47,7 @@ def floor_ms(ts) -> Column:
 
 def file_trip_date(text) -> Column:
     """The trip date is the date of the file, parsed leniently."""
-    return F.to_date(F.try_to_timestamp(_c(text)))
+    return F.to_date(F.try_to_timestamp(_dated(_c(text))))
 
 
 def leg_minutes(start, end) -> Column:

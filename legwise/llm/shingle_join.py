@@ -18,7 +18,8 @@ known of the pivot: with Jaccard distances d(x, p) and d(y, p) more than 0.25
 apart, x and y cannot link. Only what these rules leave open is compared pair by
 pair. The answer is the classes' components, which no skipped pair can change.
 
-Signatures: a set's shingles also set parities of SIGNATURE bits. Two sets differ
+Signatures: a set's shingles also set parities of SIGNATURE bits, those of a long
+set of WIDE bits as well. Two sets differ
 in at least as many shingles as their signatures do in bits, and linked sets
 differ in a seventh of their sizes' sum at most, so pairs of sets that differ more
 are out before any list of shingles is moved.
@@ -53,8 +54,10 @@ FREQUENT = 1 << 16
 SLICE = 1 << 19
 #: Rounds in which every set asks one pivot.
 PIVOT_ROUNDS = 3
-#: Bits of a signature, in longs of 64.
-SIGNATURE = 512
+#: Bits of a signature, and of the wide one that sets of more than LONG shingles have as well.
+SIGNATURE, WIDE, LONG = 512, 2048, 600
+#: Rows up to which nodes and pairs are broadcast (24 bytes each).
+BROADCAST_ROWS = 400_000
 #: Keys from here on are the frequent shingles, in order.
 FIRST_FREQUENT = 1 << 62
 #: Entries of a list this far apart are compared before the list is kept.
@@ -127,16 +130,25 @@ def _ordered(data, at, frequent: np.ndarray):
     return key.view(np.int64), np.searchsorted(doc, np.arange(len(at)))
 
 
-def signatures(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """(sets, SIGNATURE / 64) parities of the keys[bounds[i]:bounds[i + 1]]."""
-    width = SIGNATURE // 64
+def signatures(keys: np.ndarray, bounds: np.ndarray, bits: int = SIGNATURE) -> np.ndarray:
+    """(sets, bits / 64) parities of the keys[bounds[i]:bounds[i + 1]]."""
+    width = bits // 64
     out = np.zeros((len(bounds) - 1) * width, np.uint64)
-    bit = mix(keys.view(np.uint64)) >> np.uint64(64 - SIGNATURE.bit_length() + 1)
+    bit = mix(keys.view(np.uint64)) >> np.uint64(64 - bits.bit_length() + 1)
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     np.bitwise_xor.at(out, owner * width + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
     return out.view(np.int64)
 
 
+def _wide(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    """Wide signatures of the long sets, null for the others."""
+    long = np.flatnonzero(n > LONG)
+    own = np.concatenate([keys[bounds[i]:bounds[i + 1]] for i in long]) if len(long) else keys[:0]
+    made = signatures(own, np.concatenate([[0], np.cumsum(n[long])]).astype(np.int64), WIDE)
+    cuts = np.concatenate([[0], np.cumsum((n > LONG) * (WIDE // 64))])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(made), mask=pa.array(n <= LONG))
+
+
 def _sets(frequent: np.ndarray, whole: bool):
     """One row per text: its other columns, set digest, size and keys: all of
     them, or the prefix alone and the signature of all."""
@@ -156,7 +168,8 @@ def _sets(frequent: np.ndarray, whole: bool):
                     width = SIGNATURE // 64
                     columns.append(pa.ListArray.from_arrays(
                         pa.array(np.arange(0, (hi - lo) * width + 1, width), pa.int32()), pa.array(signatures(keys, bounds))))
-                    names.append("sig")
+                    columns.append(_wide(keys, bounds, n))
+                    names += ["sig", "wide"]
                     take = np.where(n > 0, n - (3 * n + 3) // 4 + 1, 0)
                     cuts = np.concatenate([[0], np.cumsum(take)])
                     keys = keys[np.repeat(bounds[:-1] - cuts[:-1], take) + np.arange(cuts[-1])]
@@ -208,10 +221,19 @@ def _in_lists(entries: DataFrame) -> DataFrame:
     return rare.unionByName(entries.where(F.col("h") >= FIRST_FREQUENT))
 
 
-def _differing(x: str, y: str) -> Column:
-    """Bits in which two signatures differ."""
-    bits = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SIGNATURE // 64)]
-    return sum(bits[1:], bits[0])
+def _alike(x: str, y: str, n: str) -> Column:
+    """Whether two sets, of ``n`` shingles together, may link by their
+    signatures; ``x`` and ``y`` begin the names of their columns."""
+    bits = [F.bit_count(F.col(f"{x}sig")[i].bitwiseXOR(F.col(f"{y}sig")[i])) for i in range(SIGNATURE // 64)]
+    wide = F.aggregate(F.zip_with(f"{x}wide", f"{y}wide", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0),
+                       lambda total, one: total + one)
+    return (7 * sum(bits[1:], bits[0]) <= F.expr(n)) & F.coalesce(7 * wide <= F.expr(n), F.lit(True))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast where its counted
+    rows allow that."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def _sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -229,9 +251,9 @@ class _Sets:
         self.texts, self.heads, self.frequent = texts, heads, frequent
 
     def of(self, nodes: DataFrame) -> DataFrame:
-        wanted = self.heads.join(nodes, "node", "left_semi").select(
-            F.col("rep").alias("r"), "node", F.col("digest").alias("d"), F.col("n").alias("m"))
-        return (self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("r"))).select("text", "node", "d", "m")
+        wanted = cut(self.heads.join(_small(nodes), "node", "left_semi").select(
+            F.col("rep").alias("r"), "node", F.col("digest").alias("d"), F.col("n").alias("m")), "shingle-wanted")
+        return (self.texts.join(_small(wanted), F.col("doc_id").eqNullSafe(F.col("r"))).select("text", "node", "d", "m")
                 .mapInArrow(_sets(self.frequent, whole=True),
                             "node long, d long, m long, digest long, n long, keys array<long>")
                 .where("digest = d AND n = m").select("node", "n", "keys"))
@@ -239,23 +261,32 @@ class _Sets:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with set sizes na, nb and the size o of the intersection.
         Pairs whose signatures or prefixes already rule out a link are left out: up
-        to the last key both prefixes cover, the common shingles are known exactly."""
-        one, two = (self.heads.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"s{k}"))
+        to the last key both prefixes cover, the common shingles are known exactly.
+        Only what the pairs need of a set is moved."""
+        asked = cut(pairs, "shingle-asked")
+        one, two = (self.heads.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"{k}sig"),
+                                      F.col("wide").alias(f"{k}wide")).join(_small(_nodes(asked, k)), k, "left_semi")
                     for k in ("a", "b"))
-        alike = cut(pairs.join(one, "a").join(two, "b").where(7 * _differing("sa", "sb") <= F.expr("na + nb"))
-                    .select("a", "b"), "shingle-alike")
-        bound = (_sides(alike, self.heads)
+        alike = cut(asked.join(one, "a").join(two, "b").where(_alike("a", "b", "na + nb")).select("a", "b"), "shingle-alike")
+        near = self.heads.join(_small(_nodes(alike)), "node", "left_semi").select("node", "n", "keys")
+        bound = (_sides(alike, near)
                  .withColumn("upto", F.least(F.element_at("ka", -1), F.element_at("kb", -1)))
                  .withColumn("most", F.size(F.array_intersect("ka", "kb")) + F.least(
                      F.col("na") - F.size(F.filter("ka", lambda k: k <= F.col("upto"))),
                      F.col("nb") - F.size(F.filter("kb", lambda k: k <= F.col("upto"))))))
         likely = cut(bound.where("7 * most >= 3 * (na + nb)").select("a", "b"), "shingle-likely")
-        nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = cut(self.of(nodes), "shingle-sets")
+        sets = cut(self.of(_nodes(likely)), "shingle-sets")
         return cut(_sides(likely, sets).select(
             "a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")), "shingle-checked")
 
 
+def _nodes(pairs: DataFrame, name: str | None = None) -> DataFrame:
+    """The distinct nodes of pairs, or those of one side under its name."""
+    if name is not None:
+        return cut(pairs.select(name).distinct(), "shingle-nodes")
+    return cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "shingle-nodes")
+
+
 def _linked(checked: DataFrame) -> DataFrame:
     return checked.where("100 * o >= 75 * (na + nb - o)").select("a", "b")
 
@@ -312,12 +343,12 @@ def set_links(lists: DataFrame, sets: _Sets) -> DataFrame:
     near = (both.groupBy("a").agg(F.min(F.struct(gap.alias("d"), F.col("b").alias("q"))).alias("top"))
             .select(F.col("a").alias("node"), "top.d", "top.q"))
     open_lists = cut(_with_component(lists, links).join(near, "node", "left")
-                     .join(sets.heads.select("node", "sig"), "node"), "shingle-open")
+                     .join(sets.heads.select("node", "sig", "wide"), "node"), "shingle-open")
     x, y = open_lists.where("comp <> big").alias("x"), open_lists.alias("y")
     rest = (x.join(y, (F.col("x.h") == F.col("y.h")) & F.expr(
         "x.comp <> y.comp AND (y.comp = y.big OR x.node < y.node)"
         " AND NOT coalesce(x.q = y.q AND abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i")
-        & (7 * _differing("x.sig", "y.sig") <= F.expr("x.n + y.n")))
+        & _alike("x.", "y.", "x.n + y.n"))
         .select(*_pair("x.node", "y.node")).distinct().join(checked, ["a", "b"], "left_anti"))
     return links.unionByName(_linked(sets.verify(rest)))
 
@@ -327,11 +358,13 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per input row: doc_id, n_shingles, component_id."""
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hot = frequent_shingles(texts.select("text"), frequent)
-    made = texts.mapInArrow(_sets(hot, whole=False), "doc_id long, digest long, n long, sig array<long>, keys array<long>")
+    made = texts.mapInArrow(_sets(hot, whole=False), "doc_id long, digest long, n long, sig array<long>, wide array<long>, "
+                            "keys array<long>")
     rows = cut(made.select("doc_id", "digest", "n"), "shingle-rows")
     # Copies are reduced in each task before the prefixes move.
     heads = cut(made.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"),
                                                               F.first("sig").alias("sig"),
+                                                              F.first("wide").alias("wide"),
                                                               F.first("keys").alias("keys"))
                 .withColumn("node", F.coalesce("rep", "digest")), "shingle-heads")
     lists = cut(_in_lists(heads.select("node", "n", F.posexplode("keys").alias("i", "h"))), "shingle-lists")

@@ -61,8 +61,13 @@ def ordered_legs(base: DataFrame, tie_break: str | None = "row_hash",
                  hot_keys: DataFrame | str | None = "auto", rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """``leg_seq`` and the previous/next leg's service, route and stop,
     all over one window ``(user_trip_id, trip_date) ORDER BY start, end``.
-    ``tie_break`` is appended to the order so results repeat."""
+    ``tie_break`` is appended to the order so results repeat; without one hot
+    trips cannot be split and take the plain window."""
     order = list(TRIP_ORDER) + ([tie_break] if tie_break else [])
+    if tie_break is None:
+        if isinstance(hot_keys, DataFrame):
+            raise ValueError("hot trips can only be split in an order without ties: name a tie_break column")
+        hot_keys = None
     return sequence_within(base, list(TRIP_KEYS), order, lags=LAGS, leads=LEADS,
                            seq_col="leg_seq", hot_keys=hot_keys, rows_per_task=rows_per_task)
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwise.functions import timefns as T
+from legwise.functions.geodesic import points_between
 from legwise.operators.numbering import global_row_number
 
 FLOW_ORDER = ["trip_date", "route_short_name", "service_group", "provider_name", "Origin_BG", "Dest_BG"]
@@ -84,36 +85,19 @@ def _num(c) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"0+$", ""), r"\.$", "")
 
 
-def _densify(x0: Column, y0: Column, x1: Column, y1: Column, n: int) -> Column:
-    """Great-circle points (spherical slerp) from start to end, n segments, as
-    an array of "lon lat" strings."""
-    rad = F.lit(3.141592653589793 / 180.0)
-    lam0, phi0, lam1, phi1 = x0 * rad, y0 * rad, x1 * rad, y1 * rad
-    ax, ay, az = F.cos(phi0) * F.cos(lam0), F.cos(phi0) * F.sin(lam0), F.sin(phi0)
-    bx, by, bz = F.cos(phi1) * F.cos(lam1), F.cos(phi1) * F.sin(lam1), F.sin(phi1)
-    d = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), ax * bx + ay * by + az * bz)))
-
-    def point(i):
-        t = i.cast("double") / F.lit(float(n))
-        ka = F.when(d < 1e-12, 1 - t).otherwise(F.sin((1 - t) * d) / F.sin(d))
-        kb = F.when(d < 1e-12, t).otherwise(F.sin(t * d) / F.sin(d))
-        px, py, pz = ka * ax + kb * bx, ka * ay + kb * by, ka * az + kb * bz
-        lon = F.atan2(py, px) / rad
-        lat = F.atan2(pz, F.sqrt(px * px + py * py)) / rad
-        return F.concat(_num(lon), F.lit(" "), _num(lat))
-    return F.transform(F.sequence(F.lit(0), F.lit(n)), point)
+def line_points(x0, y0, x1, y1, densify: int = 0) -> Column:
+    """The places of a line: both ends, and with ``densify=n`` n - 1 more in
+    equal steps along the geodesic of the WGS84 ellipsoid."""
+    cx0, cy0, cx1, cy1 = [F.col(c) if isinstance(c, str) else c for c in (x0, y0, x1, y1)]
+    if densify and densify > 1:
+        return points_between(cx0, cy0, cx1, cy1, densify)
+    return F.array(F.struct(cx0.alias("lon"), cy0.alias("lat")), F.struct(cx1.alias("lon"), cy1.alias("lat")))
 
 
 def line_wkt(x0, y0, x1, y1, densify: int = 0) -> Column:
-    """V1/V3: ``LINESTRING (x0 y0, x1 y1)``; with ``densify=n`` the line follows
-    the great circle through n-1 extra vertices (spherical; the reference's
-    geodesic is ellipsoidal)."""
-    cx0, cy0, cx1, cy1 = [F.col(c) if isinstance(c, str) else c for c in (x0, y0, x1, y1)]
-    if densify and densify > 1:
-        return F.concat(F.lit("LINESTRING ("), F.array_join(_densify(cx0, cy0, cx1, cy1, densify), ", "),
-                        F.lit(")"))
-    return F.concat(F.lit("LINESTRING ("), _num(cx0), F.lit(" "), _num(cy0), F.lit(", "),
-                    _num(cx1), F.lit(" "), _num(cy1), F.lit(")"))
+    """V1/V3: ``LINESTRING (x0 y0, ..., x1 y1)``."""
+    text = F.transform(line_points(x0, y0, x1, y1, densify), lambda p: F.concat(_num(p["lon"]), F.lit(" "), _num(p["lat"])))
+    return F.concat(F.lit("LINESTRING ("), F.array_join(text, ", "), F.lit(")"))
 
 
 def point_wkt(x, y) -> Column:
@@ -122,10 +106,10 @@ def point_wkt(x, y) -> Column:
     return F.concat(F.lit("POINT ("), _num(cx), F.lit(" "), _num(cy), F.lit(")"))
 
 
-def line_geojson(x0, y0, x1, y1) -> Column:
-    cx0, cy0, cx1, cy1 = [F.col(c) if isinstance(c, str) else c for c in (x0, y0, x1, y1)]
-    return F.concat(F.lit('{"type":"LineString","coordinates":[['), _num(cx0), F.lit(","), _num(cy0),
-                    F.lit("],["), _num(cx1), F.lit(","), _num(cy1), F.lit("]]}"))
+def line_geojson(x0, y0, x1, y1, densify: int = 0) -> Column:
+    text = F.transform(line_points(x0, y0, x1, y1, densify),
+                       lambda p: F.concat(F.lit("["), _num(p["lon"]), F.lit(","), _num(p["lat"]), F.lit("]")))
+    return F.concat(F.lit('{"type":"LineString","coordinates":['), F.array_join(text, ","), F.lit("]}"))
 
 
 def point_geojson(x, y) -> Column:

@@ -5,17 +5,22 @@ A plain ``Window.partitionBy(keys)`` sends each group to one task. That is
 the right plan for normal groups (one Exchange + Sort + Window), but a single
 group holding a large share of the rows would then be sorted by one task. So:
 
-1. hot groups are found from a sample of the key columns (no group is ever
-   collected; only the bounded list of hot keys reaches the driver);
+1. hot groups are found from a sample of the rows (no group is ever collected;
+   only the bounded list of hot keys reaches the driver);
 2. rows of normal groups take the plain window;
-3. rows of hot groups get a chunk id before any shuffle: a per-key sample
-   of the order columns gives sorted chunk boundaries (about one per
+3. rows of hot groups get a chunk id before any shuffle: a sample of the hot
+   rows' order columns gives sorted chunk boundaries (about one per
    ``rows_per_task`` rows), and a binary search over them numbers each row's
    contiguous chunk. One hash exchange on ``(keys, chunk)`` then feeds the
    window, and a small per-chunk summary (count, first and last row) fixes
    ``row_number`` offsets and the ``lag``/``lead`` values that cross a chunk
    edge.
 
+Samples are chosen by a hash of keys and order columns, never at random, so a
+recomputed task chooses the same rows and repeat runs cut the same chunks. The
+boundaries are written once and read by every use. The hot path needs an order
+without ties (a tie-break column); chunks of equal rows could not be told apart.
+
 Both paths give exactly the same result; the choice only moves work.
 """
 
@@ -26,8 +31,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from legwise.session import written
+
 DEFAULT_ROWS_PER_TASK = 4_000_000
 _SAMPLE_HITS = 64  # expected sampled rows of a group at the hot threshold
+_HASH_RANGE = 1 << 20
 
 
 def _order_cols(order: list[str]) -> list[Column]:
@@ -42,52 +50,32 @@ def _plain(df: DataFrame, keys, order, lags, leads, seq_col) -> DataFrame:
     return df.select("*", *cols)
 
 
-_HOT_CACHE: dict = {}
-
-
-def _cache_key(df: DataFrame, keys, rows_per_task):
-    """Same plan over the same files -> same sample. Appended or rewritten
-    Parquet data has new file names, so it gets a new key."""
-    try:
-        return (df.semanticHash(), tuple(sorted(df.inputFiles())), tuple(keys), rows_per_task)
-    except Exception:  # noqa: BLE001 - no stable key: do not cache
-        return None
-
-
-def detect_hot_keys(df: DataFrame, keys: list[str],
-                    rows_per_task: int = DEFAULT_ROWS_PER_TASK, seed: int = 7) -> DataFrame | None:
-    ck = _cache_key(df, keys, rows_per_task)
-    if ck is not None and ck in _HOT_CACHE:
-        rows, schema = _HOT_CACHE[ck]
-        return None if rows is None else df.sparkSession.createDataFrame(rows, schema)
-    hot = _detect_hot_keys(df, keys, rows_per_task, seed)
-    if ck is not None:
-        if len(_HOT_CACHE) > 64:
-            _HOT_CACHE.clear()
-        _HOT_CACHE[ck] = (None, None) if hot is None else (hot.collect(), hot.schema)
-    return hot
+def _chosen(columns: list[str], fraction: Column | float, salt: int) -> Column:
+    """Whether a row belongs to a sample of about ``fraction``: a hash of its
+    columns decides."""
+    place = F.pmod(F.xxhash64(F.lit(salt), *[F.col(c) for c in columns]), F.lit(_HASH_RANGE))
+    return place < F.ceil((F.lit(fraction) if isinstance(fraction, float) else fraction) * _HASH_RANGE)
 
 
-def _detect_hot_keys(df: DataFrame, keys: list[str],
-                     rows_per_task: int = DEFAULT_ROWS_PER_TASK, seed: int = 7) -> DataFrame | None:
+def detect_hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                    order: list[str] | None = None) -> DataFrame | None:
     """Keys whose estimated row count reaches ``rows_per_task / 2``, with that
     estimate as ``_est_rows``; ``None`` when there are none.
 
-    A Bernoulli sample of the key columns is counted per key (a partial
-    aggregate). At most ``2 * rows / rows_per_task`` keys can qualify, so the
-    returned list is bounded and is safe to broadcast.
+    A sample of the rows, chosen by a hash of keys and ``order`` (default: all
+    columns), is counted per key (a partial aggregate); only these columns are
+    read. At most ``2 * rows / rows_per_task`` keys can qualify, so the list is
+    bounded and safe to broadcast.
     """
-    spark = df.sparkSession
     fraction = min(1.0, _SAMPLE_HITS / float(rows_per_task))
     min_hits = max(1, int(math.ceil(rows_per_task / 2.0 * fraction)))
-    sampled = (df.select(*keys).sample(withReplacement=False, fraction=fraction, seed=seed)
-               .groupBy(*keys).count().filter(F.col("count") >= min_hits))
-    hot = sampled.collect()
+    used = [*keys, *(order or [c for c in df.columns if c not in keys])]
+    sampled = df.where(_chosen(used, fraction, 7)) if fraction < 1 else df
+    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits")).where(F.col("_hits") >= min_hits)
+    hot = counts.select(*keys, (F.col("_hits") / fraction).alias("_est_rows")).collect()
     if not hot:
         return None
-    schema = df.select(*keys).schema.add("_est_rows", "double")
-    rows = [tuple(r[k] for k in keys) + (r["count"] / fraction,) for r in hot]
-    return spark.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame([tuple(r) for r in hot], df.select(*keys).schema.add("_est_rows", "double"))
 
 
 _BOUND_SAMPLES = 16  # sampled rows per chunk used to place its boundary
@@ -102,8 +90,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys, prefix: str):
     return cond
 
 
-def _chunk_bounds(df: DataFrame, hot_keys: DataFrame, keys, order, rows_per_task: int,
-                  seed: int = 11) -> DataFrame:
+def _chunk_bounds(df: DataFrame, hot_keys: DataFrame, keys, order, rows_per_task: int) -> DataFrame:
     """Per hot key: sorted array of order-struct boundaries, one per chunk of
     about ``rows_per_task`` rows. Built from a per-key sample of about
     ``_BOUND_SAMPLES`` rows per chunk, so its size is bounded by
@@ -114,7 +101,7 @@ def _chunk_bounds(df: DataFrame, hot_keys: DataFrame, keys, order, rows_per_task
     hk = hk.withColumn("_frac", F.least(F.lit(1.0), F.col("_chunks") * _BOUND_SAMPLES / F.col("_est_rows")))
     ordv = F.struct(*[F.col(c) for c in order]).alias("_o")
     sample = (df.join(F.broadcast(hk), _null_safe_on(df, hk, keys, "_b_"), "inner")
-              .filter(F.rand(seed) < F.col("_frac"))
+              .filter(_chosen([*keys, *order], F.col("_frac"), 11))
               .select(*keys, "_chunks", ordv))
     w = Window.partitionBy(*keys).orderBy("_o")
     sample = sample.select("*", F.row_number().over(w).alias("_rn"),
@@ -140,7 +127,8 @@ def _chunked(df: DataFrame, hot_keys: DataFrame, keys, order, lags, leads, seq_c
              rows_per_task: int) -> DataFrame:
     """Window over hot groups split into contiguous chunks (one shuffle)."""
     ck = "_chunk"
-    bounds = _chunk_bounds(df, hot_keys, keys, order, rows_per_task)
+    # Written once: a recomputed task must not cut the chunks elsewhere.
+    bounds, _ = written(_chunk_bounds(df, hot_keys, keys, order, rows_per_task), "chunk-bounds")
     bounds = bounds.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_bounds")
     tagged = (df.join(F.broadcast(bounds), _null_safe_on(df, bounds, keys, "_c_"), "left")
               .withColumn(ck, _chunk_of(F.struct(*[F.col(c) for c in order]), F.col("_bounds")))
@@ -187,12 +175,13 @@ def sequence_within(df: DataFrame, keys: list[str], order: list[str],
 
     ``hot_keys``: ``"auto"`` samples for hot groups, ``None`` always takes the
     plain window, or a DataFrame of keys (+ optional ``_est_rows``) to split.
+    Hot groups need an ``order`` that has no ties within a group.
     """
     lags, leads = dict(lags or {}), dict(leads or {})
     if isinstance(hot_keys, str):
         if hot_keys != "auto":
             raise ValueError(f"hot_keys must be 'auto', None or a DataFrame, not {hot_keys!r}")
-        hot_keys = detect_hot_keys(df, keys, rows_per_task)
+        hot_keys = detect_hot_keys(df, keys, rows_per_task, order)
     if hot_keys is None:
         return _plain(df, keys, order, lags, leads, seq_col)
 

@@ -8,9 +8,12 @@ Plan:
    the point's cell or lie to its right. Edges entirely right of the cell
    that span the whole band are crossed by every ray from the cell: they are
    folded into a parity bit. Per (cell, polygon) the table keeps that bit and
-   the few remaining edges; per cell, the candidates sorted by polygon id.
-   All classifications compare ``floor(v / cell)`` values, which is monotonic
-   and therefore exact in floating point.
+   the few remaining edges; per cell, the candidates sorted by polygon id. A cell
+   wholly inside a polygon keeps no edge and needs no exact test.
+   The cover follows the outline: in each row band a polygon takes the cells
+   between its edges there, an edge being clipped to the band (and widened by a
+   cell, which settles rounding). So the cover grows with the polygon's area and
+   outline, and one stray vertex adds a thin spike instead of a huge box.
 2. Every point gets exactly one cell and is left-joined to that table on the
    cell key, so each point row stays one row and unmatched points keep a null
    id.
@@ -31,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from legwise.session import written
+
 DEFAULT_CELL = 0.01
 DEFAULT_BROADCAST_EDGES = 2_000_000
 
@@ -46,6 +51,35 @@ def _cell(v: Column, cell: float) -> Column:
     return F.floor(v / F.lit(float(cell)))
 
 
+def _ring_edges(p: DataFrame) -> DataFrame:
+    """``bg_id, x1, y1, x2, y2`` of every ring edge."""
+    ring = p.select("bg_id", F.explode("rings").alias("r")).where(F.size("r") > 1)
+    return ring.select("bg_id", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("r") - 1),
+        lambda i: F.struct(F.element_at("r", i)["x"].alias("x1"), F.element_at("r", i)["y"].alias("y1"),
+                           F.element_at("r", i + 1)["x"].alias("x2"), F.element_at("r", i + 1)["y"].alias("y2"))))
+                       .alias("e")).select("bg_id", "e.*")
+
+
+def _banded_edges(edges: DataFrame, cell: float) -> DataFrame:
+    """Edges in the row bands (``cy``) they touch, with the cells (``bx0`` to
+    ``bx1``) their part in the band may reach."""
+    e = edges.select("*", _cell(F.least("y1", "y2"), cell).alias("ey0"), _cell(F.greatest("y1", "y2"), cell).alias("ey1"))
+    e = e.withColumn("cy", F.explode(F.sequence("ey0", "ey1")))
+    lo = F.greatest(F.col("cy") * cell, F.least("y1", "y2"))
+    hi = F.least((F.col("cy") + 1) * cell, F.greatest("y1", "y2"))
+
+    def at(y: Column) -> Column:
+        return F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(
+            F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")))
+    ends = F.when(F.col("y1") == F.col("y2"), F.array("x1", "x2")).otherwise(F.array(at(lo), at(hi)))
+    low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    return e.select("*", _cell(F.least(high, F.greatest(low, F.array_min(ends))), cell).alias("c0"),
+                    _cell(F.least(high, F.greatest(low, F.array_max(ends))), cell).alias("c1")) \
+        .withColumn("bx0", F.greatest(F.col("c0") - 1, _cell(low, cell))) \
+        .withColumn("bx1", F.least(F.col("c1") + 1, _cell(high, cell))).drop("c0", "c1")
+
+
 def polygon_cells(polygons: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
     """``cx, cy, cands array<struct<bg_id, minx, miny, maxx, maxy, base, edges>>``;
     ``base`` is the parity of the always-crossed edges, ``edges`` the rest
@@ -57,27 +91,17 @@ def polygon_cells(polygons: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
                      F.array_max(F.transform(pts, lambda q: q["x"])).alias("maxx"),
                      F.array_min(F.transform(pts, lambda q: q["y"])).alias("miny"),
                      F.array_max(F.transform(pts, lambda q: q["y"])).alias("maxy"))
-    cells = (boxes.withColumn("cx", F.explode(F.sequence(_cell(F.col("minx"), cell), _cell(F.col("maxx"), cell))))
-             .withColumn("cy", F.explode(F.sequence(_cell(F.col("miny"), cell), _cell(F.col("maxy"), cell)))))
-    # every ring edge, bucketed into the row bands its y-range touches
-    ring = p.select("bg_id", F.explode("rings").alias("r"))
-    edges = ring.select("bg_id", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("r") - 1),
-        lambda i: F.struct(F.element_at("r", i)["x"].alias("x1"), F.element_at("r", i)["y"].alias("y1"),
-                           F.element_at("r", i + 1)["x"].alias("x2"), F.element_at("r", i + 1)["y"].alias("y2"))))
-                        .alias("e")).select("bg_id", "e.*")
-    edges = edges.select("*",
-                         _cell(F.least("x1", "x2"), cell).alias("ex0"), _cell(F.greatest("x1", "x2"), cell).alias("ex1"),
-                         _cell(F.least("y1", "y2"), cell).alias("ey0"), _cell(F.greatest("y1", "y2"), cell).alias("ey1"))
-    banded = edges.withColumn("cy", F.explode(F.sequence("ey0", "ey1")))
+    banded = _banded_edges(_ring_edges(p), cell)
+    cells = (banded.groupBy("bg_id", "cy").agg(F.min("bx0").alias("from_x"), F.max("bx1").alias("to_x"))
+             .withColumn("cx", F.explode(F.sequence("from_x", "to_x"))).drop("from_x", "to_x"))
     # per (cell, polygon): edges that reach the cell or lie right of it, in its band
-    pairs = cells.join(banded, ["bg_id", "cy"]).filter(F.col("ex1") >= F.col("cx"))
-    always = (F.col("ex0") > F.col("cx")) & (F.col("ey0") < F.col("cy")) & (F.col("ey1") > F.col("cy"))
-    per_poly = (pairs.groupBy("cx", "cy", "bg_id", "minx", "miny", "maxx", "maxy")
+    pairs = cells.join(banded, ["bg_id", "cy"]).filter(F.col("bx1") >= F.col("cx"))
+    always = (F.col("bx0") > F.col("cx")) & (F.col("ey0") < F.col("cy")) & (F.col("ey1") > F.col("cy"))
+    per_poly = (pairs.groupBy("cx", "cy", "bg_id")
                 .agg((F.sum(always.cast("int")) % 2).cast("int").alias("base"),
                      F.filter(F.collect_list(F.when(~always, F.struct("x1", "y1", "x2", "y2"))),
-                              lambda e: e.isNotNull()).alias("edges")))
-    # cells of a polygon's box that no edge band reaches lie outside it (above/below)
+                              lambda e: e.isNotNull()).alias("edges"))
+                .where("base = 1 OR size(edges) > 0").join(boxes, "bg_id"))
     cand = F.struct("bg_id", "minx", "miny", "maxx", "maxy", "base", "edges")
     return per_poly.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
 
@@ -112,11 +136,15 @@ def point_in_rings(px: Column, py: Column, rings: Column) -> Column:
     return point_in_candidate(px, py, F.struct(F.lit(0).alias("base"), all_edges.alias("edges")))
 
 
+def containing(px: Column, py: Column, cands: Column) -> Column:
+    """The candidates that strictly contain the point, smallest id first."""
+    return F.filter(cands, lambda c: (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
+                    & point_in_candidate(px, py, c))
+
+
 def containing_id(px: Column, py: Column, cands: Column) -> Column:
     """Id of the first candidate (smallest id) that strictly contains the point."""
-    hits = F.filter(cands, lambda c: (px > c["minx"]) & (px < c["maxx"]) & (py > c["miny"]) & (py < c["maxy"])
-                    & point_in_candidate(px, py, c))
-    return F.try_element_at(hits, F.lit(1))["bg_id"]
+    return F.try_element_at(containing(px, py, cands), F.lit(1))["bg_id"]
 
 
 def cell_table_edges(cells: DataFrame) -> int:
@@ -128,9 +156,11 @@ def cell_table_edges(cells: DataFrame) -> int:
 
 
 def assign_polygon(points: DataFrame, cells: DataFrame, lon: str, lat: str, out: str,
-                   cell: float = DEFAULT_CELL, broadcast: bool | None = None) -> DataFrame:
-    """Left join each point to the polygon containing it (``out`` = id or null).
-    ``broadcast``: None = decide by measured size, True/False = force."""
+                   cell: float = DEFAULT_CELL, broadcast: bool | None = None, count_out: str | None = None) -> DataFrame:
+    """Left join each point to the polygon containing it (``out`` = id or
+    null; ``count_out``: how many polygons contain it, more than one where they
+    overlap, D-7). ``broadcast``: None = decide by measured size, True/False =
+    force."""
     p = points.withColumn("_cx", _cell(F.col(lon), cell)).withColumn("_cy", _cell(F.col(lat), cell))
     table = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("cands").alias("_cands"))
     if broadcast is None:
@@ -138,18 +168,23 @@ def assign_polygon(points: DataFrame, cells: DataFrame, lon: str, lat: str, out:
     if broadcast:
         table = F.broadcast(table)
     joined = p.join(table, ["_cx", "_cy"], "left")
-    return (joined.withColumn(out, F.when(F.col(lon).isNotNull() & F.col(lat).isNotNull(),
-                                          containing_id(F.col(lon), F.col(lat), F.col("_cands"))))
-            .drop("_cx", "_cy", "_cands"))
+    given = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    if count_out is None:
+        found = joined.withColumn(out, F.when(given, containing_id(F.col(lon), F.col(lat), F.col("_cands"))))
+    else:
+        ids = F.transform(F.when(given, containing(F.col(lon), F.col(lat), F.col("_cands"))), lambda c: c["bg_id"])
+        found = (joined.withColumn("_ids", F.coalesce(ids, F.array().cast("array<string>")))
+                 .withColumn(out, F.try_element_at("_ids", F.lit(1))).withColumn(count_out, F.size("_ids")).drop("_ids"))
+    return found.drop("_cx", "_cy", "_cands")
 
 
 def assign_origin_destination(legs: DataFrame, polygons: DataFrame, cell: float = DEFAULT_CELL,
                               start=("start_longitude", "start_latitude"),
                               end=("end_longitude", "end_latitude"),
                               out=("Origin_BG", "Dest_BG"), broadcast: bool | None = None) -> DataFrame:
-    """J1 + J2: origin and destination block groups; the cell table is built
-    once and used for both ends."""
-    cells = polygon_cells(polygons, cell)
+    """J1 + J2: origin and destination block groups; the cell table is written
+    once and used for its size and for both ends."""
+    cells, _ = written(polygon_cells(polygons, cell), "polygon-cells")
     if broadcast is None:
         broadcast = cell_table_edges(cells) <= DEFAULT_BROADCAST_EDGES
     legs = assign_polygon(legs, cells, start[0], start[1], out[0], cell, broadcast)

@@ -30,7 +30,8 @@ def dedupe_batch(batch: DataFrame, keys=KEYS) -> DataFrame:
 
 
 def new_rows(batch: DataFrame, existing: DataFrame | None, keys=KEYS, min_date=None) -> DataFrame:
-    """Rows of the deduplicated batch whose key is not stored yet.
+    """Rows of the batch whose key is not stored yet, one for each key.
+    Known rows go first, so only new ones are reduced to one a key.
 
     The stored side is cut to the batch's days first: a left-anti join gets
     no dynamic partition pruning, so without this every run would shuffle the
@@ -39,9 +40,8 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, keys=KEYS, min_date=N
     min/max ``trip_date`` are scalar subqueries, which Spark evaluates before
     listing the stored table's partitions.
     """
-    fresh = dedupe_batch(batch, keys)
     if existing is None:
-        return fresh
+        return dedupe_batch(batch, keys)
     stored = existing.select(*keys)
     if min_date is not None:
         stored = stored.filter(F.col("trip_date") >= F.lit(str(min_date)).cast("date"))
@@ -49,4 +49,4 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, keys=KEYS, min_date=N
         bounds = batch.agg(F.struct(F.min("trip_date").alias("lo"), F.max("trip_date").alias("hi"))).scalar()
         stored = stored.filter((F.col("trip_date") >= bounds.getField("lo"))
                                & (F.col("trip_date") <= bounds.getField("hi")))
-    return fresh.join(stored, list(keys), "left_anti")
+    return dedupe_batch(batch.join(stored, list(keys), "left_anti").select(*batch.columns), keys)

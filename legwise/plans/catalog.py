@@ -23,7 +23,9 @@ from legwise.operators import flags as FL
 from legwise.operators import publish as P
 from legwise.operators import validate as V
 from legwise.schemas import COORD_COLUMNS, backfill_hotspot_hash, drop_column_if_present
-from legwise.session import ensure_session
+from legwise.plans.refresh import read_refreshed, run_refresh
+from legwise.session import ensure_session, scratch_path, written
+from legwise.sources import csv_legs as CSV
 from legwise.sources import files as SF
 from legwise.sources import fixtures as FX
 from legwise.sources import links as LK
@@ -263,9 +265,80 @@ def q_block_group_join(spark, sf_dir):
     return out.select("event_id", "Origin_BG", "Dest_BG")
 
 
+def q_block_group_shapes(spark, sf_dir):
+    """J1 / D-7: triangles, holes, hollow and slanted shapes that overlap: the
+    smallest id that contains a point, and how many do."""
+    ensure_session(spark)
+    cells, _ = written(SP.polygon_cells(FX.shape_polygons(spark, sf_dir), 0.005), "polygon-cells")
+    out = SP.assign_polygon(FX.shape_points(spark, sf_dir), cells, "lon", "lat", "bg_id", 0.005, count_out="n_containing")
+    return out.select("event_id", "bg_id", "n_containing")
+
+
+def q_leg_sequence_hot(spark, sf_dir):
+    """W1-W3 where one trip holds a third of all legs, through the split path."""
+    ensure_session(spark)
+    f = FL.flags(FX.hot_legs(spark, sf_dir), FX.AS_OF, FX.DAYS_BACK, tie_break=FX.TIE_BREAK, rows_per_task=HOT_ROWS)
+    return f.select("event_id", "user_trip_id", "trip_date", *SEQ_COLUMNS)
+
+
+def q_reject_split(spark, sf_dir):
+    """B2 / D-6: the route of every raw row, and why."""
+    ensure_session(spark)
+    routed = CL.route_clean(FX.reject_raw(spark, sf_dir), keep=("event_id",))
+    return routed.select("event_id", "route", "reject_reason", "trip_date")
+
+
+def q_csv_legs(spark, sf_dir):
+    """Files of four layouts and one broken file, written from the
+    raw rows, staged and read back: the rows that load (good records of every
+    file), and the records and files in quarantine."""
+    ensure_session(spark)
+    landing = scratch_path(spark, "landing")
+    FX.write_csv_landing(spark, sf_dir, landing)
+    files = [r["path"] for r in SF.matching_files(SF.list_files(spark, landing), "", ".txt").select("path").collect()]
+    staged = CSV.stage(spark, files, whole_files=False)
+    text = [F.col(c).alias(c) for c in FX.CSV_FIELDS[1:]]
+    good = staged.good.select(F.col("event_id").cast("long").alias("event_id"), *text, F.lit("loaded").alias("outcome"))
+    held = staged.quarantine.where("kind = 'record'").select(
+        F.from_csv("record", F.lit("event_id long")).getField("event_id").alias("event_id"),
+        *[F.lit(None).cast("string").alias(c) for c in FX.CSV_FIELDS[1:]], F.col("reason").alias("outcome"))
+    files = staged.quarantine.where("kind = 'file'").select(
+        F.lit(None).cast("long").alias("event_id"), *[F.lit(None).cast("string").alias(c) for c in FX.CSV_FIELDS[1:]],
+        F.col("reason").alias("outcome")).distinct()
+    return good.unionByName(held).unionByName(files)
+
+
+def q_refresh_written(spark, sf_dir):
+    """A whole refresh, written as one version and committed; what
+    readers then find in each table."""
+    ensure_session(spark)
+    base = scratch_path(spark, "refreshed")
+    run_refresh(spark, FX.legs(spark, sf_dir), base, FX.AS_OF, FX.DAYS_BACK, tie_break=FX.TIE_BREAK)
+    out = None
+    for name, measure in WRITTEN_MEASURES.items():
+        df = read_refreshed(spark, base, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                                   F.sum(measure).cast("long").alias("total"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+#: Rows of a trip from which the hot path splits it, in its query.
+HOT_ROWS = 256
+#: A count of each refreshed table that its query adds up.
+WRITTEN_MEASURES = {
+    "Flow_BG_BG_Daily": "leg_count", "Transfer_Hotspots_Daily": "transfer_events", "BG_Summary_Daily": "legs",
+    "Flow_BG_BG_Daily_Route": "leg_count", "Transfer_Hotspots_Daily_Route": "transfer_events",
+    "Transfer_Hotspots_Daily_RoutePair": "transfer_events", "Walk_AccessEgress_Daily": "walk_leg_count",
+    "ArcGIS_Flow_BG_BG_Daily_Route_Rolling31": "oid", "ArcGIS_Transfer_Hotspots_Daily_Route_Rolling31": "oid",
+    "ArcGIS_Walk_Egress_Daily_Rolling31": "oid"}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leg_base": q_leg_base,
     "leg_sequence": q_leg_sequence,
+    "leg_sequence_hot": q_leg_sequence_hot,
+    "reject_split": q_reject_split,
+    "csv_legs": q_csv_legs,
+    "refresh_written": q_refresh_written,
     "transfer_flags": q_transfer_flags,
     "region_filtered_flags": q_region_filtered_flags,
     "flow_daily": q_flow_daily,
@@ -296,4 +369,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_links": q_page_links,
     "leg_distances": q_leg_distances,
     "block_group_join": q_block_group_join,
+    "block_group_shapes": q_block_group_shapes,
 }

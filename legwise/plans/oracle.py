@@ -464,3 +464,66 @@ def clean_oracles() -> dict[str, str]:
 
 
 ORACLE_SQL.update(clean_oracles())
+
+
+# --- written and dirty input ---------------------------------------------------
+
+# The longest text of each column of the clean table.
+LONGEST = (("user_trip_id", 100), ("service_name", 200), ("route_short_name", 50), ("mode", 50),
+           ("start_stop_name", 200), ("end_stop_name", 200), ("source_file", 300), ("file_date_raw", 50),
+           ("Origin_BG", 12), ("Dest_BG", 12))
+WRITTEN = (("Flow_BG_BG_Daily", "flow_daily", "leg_count"),
+           ("Transfer_Hotspots_Daily", "transfer_hotspots", "transfer_events"),
+           ("BG_Summary_Daily", "bg_summary", "legs"),
+           ("Flow_BG_BG_Daily_Route", "flow_daily_route", "leg_count"),
+           ("Transfer_Hotspots_Daily_Route", "transfer_hotspots_route", "transfer_events"),
+           ("Transfer_Hotspots_Daily_RoutePair", "transfer_hotspots_routepair", "transfer_events"),
+           ("Walk_AccessEgress_Daily", "walk_access_egress", "walk_leg_count"),
+           ("ArcGIS_Flow_BG_BG_Daily_Route_Rolling31", "publish_flows", "oid"),
+           ("ArcGIS_Transfer_Hotspots_Daily_Route_Rolling31", "publish_hotspots", "oid"),
+           ("ArcGIS_Walk_Egress_Daily_Rolling31", "publish_walk_egress", "oid"))
+
+
+def dirty_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    hot = with_flags("SELECT event_id, user_trip_id, trip_date, leg_seq, prev_service_name, prev_route_short_name, "
+                     "prev_end_stop_name, next_service_name, next_route_short_name, next_start_stop_name FROM flags")
+    q["leg_sequence_hot"] = hot.replace(legs_cte(), f"plain_legs AS (\n{FX.legs_sql()}\n), legs AS (\n{FX.hot_legs_sql()}\n)")
+    arms = " ".join(f"WHEN length(rtrim({c})) > {n} THEN '{c} longer than {n}'" for c, n in LONGEST)
+    q["reject_split"] = f"""WITH {legs_cte()}, plain_raw AS (\n{FX.raw_sql()}\n), raw AS (\n{FX.reject_raw_sql()}\n),
+        d AS (SELECT *, CAST(TRY_CAST(file_date_raw AS TIMESTAMP) AS DATE) AS trip_date FROM raw),
+        r AS (SELECT event_id, trip_date, CASE WHEN trip_date IS NULL THEN 'no trip date'
+            WHEN user_trip_id IS NULL THEN 'null user_trip_id' {arms} END AS reject_reason FROM d)
+        SELECT event_id, CASE WHEN trip_date IS NULL THEN 'undated' WHEN reject_reason IS NOT NULL THEN 'rejected'
+          ELSE 'clean' END AS route, reject_reason, trip_date FROM r"""
+    fields = FX.CSV_FIELDS[1:]
+    loaded = ", ".join(f"CASE WHEN kind = 'short' THEN NULL ELSE nullif({c}, '') END AS {c}" if c in ("mode", "end_stop_name")
+                       else f"nullif({c}, '') AS {c}" for c in fields)
+    nothing = ", ".join(f"NULL AS {c}" for c in fields)
+    q["csv_legs"] = f"""WITH {legs_cte()}, raw AS (\n{FX.raw_sql()}\n), f AS (\n{FX.csv_rows_sql()}\n)
+        SELECT event_id, {loaded}, 'loaded' AS outcome FROM f WHERE kind <> 'extra'
+        UNION ALL SELECT event_id, {nothing}, 'more fields than the header' FROM f WHERE kind = 'extra'
+        UNION ALL SELECT NULL, {nothing},
+          'missing column(s) [''start_longitude'', ''start_latitude'', ''end_longitude'', ''end_latitude'']'"""
+    # Even-odd crossings of a ray to the right, over all polygons whose box holds the point; a point on
+    # an edge is outside.
+    q["block_group_shapes"] = f"""WITH polys AS ({FX.shapes_sql()}), pts AS ({FX.shape_points_sql()}),
+        r AS (SELECT bg_id, unnest(rings) AS ring FROM polys),
+        e AS (SELECT bg_id, unnest(list_zip(ring[1:len(ring) - 1], ring[2:])) AS s FROM r),
+        edges AS (SELECT bg_id, s[1].x AS x1, s[1].y AS y1, s[2].x AS x2, s[2].y AS y2 FROM e),
+        box AS (SELECT bg_id, min(least(x1, x2)) AS x0, max(greatest(x1, x2)) AS x9, min(least(y1, y2)) AS y0,
+                  max(greatest(y1, y2)) AS y9 FROM edges GROUP BY bg_id),
+        near AS (SELECT event_id, lon, lat, bg_id FROM pts JOIN box ON lon > x0 AND lon < x9 AND lat > y0 AND lat < y9),
+        hit AS (SELECT event_id, bg_id FROM near JOIN edges USING (bg_id) GROUP BY event_id, bg_id
+          HAVING sum(CASE WHEN (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1
+            AND NOT bool_or((x2 - x1) * (lat - y1) - (y2 - y1) * (lon - x1) = 0 AND lon BETWEEN least(x1, x2) AND greatest(x1, x2)
+                            AND lat BETWEEN least(y1, y2) AND greatest(y1, y2)))
+        SELECT event_id, min(bg_id) AS bg_id, CAST(count(bg_id) AS INTEGER) AS n_containing
+        FROM pts LEFT JOIN hit USING (event_id) GROUP BY event_id"""
+    q["refresh_written"] = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({measure}) AS BIGINT) AS total FROM ({ORACLE_SQL[key]})"
+        for name, key, measure in WRITTEN)
+    return q
+
+
+ORACLE_SQL.update(dirty_oracles())

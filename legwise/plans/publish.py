@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from legwise.config import PublishConfig
 from legwise.operators import publish as P
-from legwise.session import ensure_session, path_exists
+from legwise.plans.versions import VersionedTables
+from legwise.session import ensure_session
 
 log = logging.getLogger(__name__)
 
@@ -29,14 +30,15 @@ def features(table: DataFrame, kind: str, densify: int = 0) -> DataFrame:
     if kind == "point":
         return P.hotspot_points(table).withColumn("geojson", P.point_geojson("mean_lon", "mean_lat"))
     return (P.flow_lines(table, densify)
-            .withColumn("geojson", P.line_geojson("mean_start_lon", "mean_start_lat", "mean_end_lon", "mean_end_lat")))
+            .withColumn("geojson", P.line_geojson("mean_start_lon", "mean_start_lat", "mean_end_lon", "mean_end_lat",
+                                                  densify)))
 
 
 def as_geojson_lines(df: DataFrame) -> DataFrame:
     """One GeoJSON Feature per row (``value`` text)."""
     props = [c for c in df.columns if c not in ("wkt", "geojson", "srid")]
     return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), F.col("geojson"),
-                              F.lit(',"properties":'), F.to_json(F.struct(*props)), F.lit("}")).alias("value"))
+                              F.lit(',"properties":'), F.to_json(F.struct(*props), {"ignoreNullFields": "false"}), F.lit("}")).alias("value"))
 
 
 def write_features(df: DataFrame, path: str, fmt: str = "parquet", dry_run: bool = False) -> DataFrame:
@@ -54,11 +56,11 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", dry_run: bool
 
 def publish(spark: SparkSession, cfg: PublishConfig) -> dict[str, DataFrame]:
     ensure_session(spark)
-    built = {}
+    store, built = VersionedTables(spark, cfg.output_path), {}
+    version = store.current()  # all layers from one version
     for layer, (table, kind) in LAYERS.items():
-        src = f"{cfg.output_path.rstrip('/')}/{table}"
-        if not path_exists(spark, src):
-            raise FileNotFoundError(f"publish table not found: {src}")
-        feats = features(spark.read.parquet(src), kind, cfg.densify)
+        if not store.exists(table):
+            raise FileNotFoundError(f"publish table not found: {table} below {cfg.output_path}")
+        feats = features(spark.read.parquet(store.path(table, version)), kind, cfg.densify)
         built[layer] = write_features(feats, f"{cfg.features_path.rstrip('/')}/{layer}", cfg.fmt, cfg.dry_run)
     return built

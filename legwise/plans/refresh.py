@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from legwise.operators import aggregates as G
 from legwise.operators import publish as P
 from legwise.operators.flags import flags as build_flags
+from legwise.plans.versions import VersionedTables
 from legwise.schemas import TABLES
-from legwise.session import cleanup_scratch, ensure_session, scratch_path, tune_shuffle_partitions
+from legwise.session import ensure_session, scratch_path, scratch_scope, tune_shuffle_partitions
 
 AGGREGATE_TABLES = ("Flow_BG_BG_Daily", "Transfer_Hotspots_Daily", "BG_Summary_Daily",
                     "Flow_BG_BG_Daily_Route", "Transfer_Hotspots_Daily_Route",
                     "Transfer_Hotspots_Daily_RoutePair", "Walk_AccessEgress_Daily")
+ROUTEPAIR = "Transfer_Hotspots_Daily_RoutePair"
 PUBLISH_TABLES = ("ArcGIS_Flow_BG_BG_Daily_Route_Rolling31",
                   "ArcGIS_Transfer_Hotspots_Daily_Route_Rolling31",
                   "ArcGIS_Walk_Egress_Daily_Rolling31")
@@ -88,66 +90,51 @@ def refresh(spark: SparkSession, clean: DataFrame, as_of=None, days_back: int =
 
 
 def _write(df: DataFrame, path: str, partitioned: bool, fmt: str) -> None:
+    if partitioned:  # rows of a day meet before they are written
+        df = df.hint("rebalance", "trip_date")
     w = df.write.mode("overwrite").format(fmt)
-    if partitioned:
-        w = w.partitionBy("trip_date")
-    w.save(path)
-
-
-def _swap_in(spark: SparkSession, staged: dict[str, str], final: dict[str, str]) -> None:
-    """Move each staged table over its final path (rename, then drop the old
-    copy). Readers see either the old or the new version of each table."""
-    import uuid
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name, src in staged.items():
-        s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(final[name])
-        fs = d.getFileSystem(conf)
-        old = None
-        if fs.exists(d):
-            old = jvm.org.apache.hadoop.fs.Path(f"{final[name]}.old-{uuid.uuid4().hex[:8]}")
-            if not fs.rename(d, old):
-                raise OSError(f"could not move {final[name]} aside")
-        if not fs.rename(s, d):
-            if old is not None:
-                fs.rename(old, d)
-            raise OSError(f"could not move {src} to {final[name]}")
-        if old is not None:
-            fs.delete(old, True)
+    (w.partitionBy("trip_date") if partitioned else w).save(path)
 
 
 def run_refresh(spark: SparkSession, clean: DataFrame, base_path: str, as_of=None, days_back: int = 31,
                 region_prefix: str | None = None, tie_break: str | None = "row_hash",
                 materialize: str = "parquet", fmt: str = "parquet", tune_shuffle: bool = False) -> dict[str, str]:
     """B4 + B5 + T7: build the seven aggregate tables (partitioned by
-    ``trip_date``) and the publish tables (from the *written* aggregates)
-    under a staging folder, then swap all ten into ``base_path/<table>``. A
-    failure before the swap leaves every old table untouched. Returns
-    ``{table: path}``. With ``tune_shuffle`` the shuffle partition count is
-    sized from the window's input estimate first."""
-    import uuid
+    ``trip_date``) and the publish tables (from the *written* aggregates) as one
+    new version below ``base_path``, then commit it. A failure before the commit
+    leaves the old version as it is. Returns ``{table: path}``. With
+    ``tune_shuffle`` the shuffle partition count is sized from the window's input
+    estimate first."""
     if tune_shuffle:
         from legwise.operators.flags import base_filter
         tune_shuffle_partitions(spark, clean.filter(base_filter(as_of, days_back, region_prefix)))
-    base = base_path.rstrip("/")
-    stage = f"{base}/_staging-{uuid.uuid4().hex[:12]}"
-    result = refresh(spark, clean, as_of, days_back, region_prefix, tie_break, materialize,
-                     with_publish=False)
-    staged = {}
-    try:
-        for name in AGGREGATE_TABLES:
-            staged[name] = f"{stage}/{name}"
-            _write(result.tables[name], staged[name], True, fmt)
-    finally:
-        result.release()
-    stored = {name: spark.read.schema(TABLES[name]).format(fmt).load(p) for name, p in staged.items()}
-    for name, df in publish_tables(stored, as_of, days_back).items():
-        staged[name] = f"{stage}/{name}"
-        _write(df, staged[name], False, fmt)
-    final = {name: f"{base}/{name}" for name in staged}
-    _swap_in(spark, staged, final)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(stage)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    cleanup_scratch(spark)  # flags and numbered rows are no longer read
-    return final
+    store = VersionedTables(spark, base_path)
+    version = store.begin()
+    paths = {}
+    with scratch_scope(spark):  # flags and numbered rows
+        result = refresh(spark, clean, as_of, days_back, region_prefix, tie_break, materialize,
+                         with_publish=False)
+        try:
+            for name in AGGREGATE_TABLES:
+                paths[name] = store.path(name, version)
+                source = result.tables[name]
+                if name == ROUTEPAIR:  # a projection of the route table, which is written by now
+                    source = G.transfer_hotspots_routepair(_stored(spark, "Transfer_Hotspots_Daily_Route", paths, fmt))
+                _write(source, paths[name], True, fmt)
+        finally:
+            result.release()
+        stored = {name: _stored(spark, name, paths, fmt) for name in AGGREGATE_TABLES}
+        for name, df in publish_tables(stored, as_of, days_back).items():
+            paths[name] = store.path(name, version)
+            _write(df, paths[name], False, fmt)
+    store.commit(version, sorted(paths))
+    return paths
+
+
+def _stored(spark: SparkSession, name: str, paths: dict[str, str], fmt: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).format(fmt).load(paths[name])
+
+
+def read_refreshed(spark: SparkSession, base_path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A10: a table of the version that is committed below ``base_path``."""
+    return spark.read.schema(TABLES[name]).format(fmt).load(VersionedTables(spark, base_path).path(name))

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from legwise.operators import validate as V
-from legwise.schemas import read_table
+from legwise.plans.refresh import read_refreshed
 
 
 def validate_refresh(spark: SparkSession, output_path: str, top_n: int = 10) -> dict[str, DataFrame]:
-    base = output_path.rstrip("/")
-    flows = read_table(spark, f"{base}/ArcGIS_Flow_BG_BG_Daily_Route_Rolling31",
-                       "ArcGIS_Flow_BG_BG_Daily_Route_Rolling31")
-    hotspots = read_table(spark, f"{base}/ArcGIS_Transfer_Hotspots_Daily_Route_Rolling31",
-                          "ArcGIS_Transfer_Hotspots_Daily_Route_Rolling31")
-    walk = read_table(spark, f"{base}/ArcGIS_Walk_Egress_Daily_Rolling31", "ArcGIS_Walk_Egress_Daily_Rolling31")
+    flows, hotspots, walk = (read_refreshed(spark, output_path, t) for t in (
+        "ArcGIS_Flow_BG_BG_Daily_Route_Rolling31", "ArcGIS_Transfer_Hotspots_Daily_Route_Rolling31",
+        "ArcGIS_Walk_Egress_Daily_Rolling31"))
     return {"flows_date_range": V.date_range_count(flows),
             "hotspots_count": V.row_count(hotspots),
             "walk_egress_latest": V.latest_rows(walk, top_n)}

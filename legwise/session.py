@@ -4,6 +4,8 @@ checkpoint folder used to cut lineage."""
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -77,19 +79,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+#: Intermediate tables by owner: the outermost list belongs to the process, each
+#: open ``scratch_scope`` of a thread has its own.
 _SCRATCH: list[str] = []
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder for a written table;
-    remembered so that :func:`cleanup_scratch` can remove it."""
+    """A unique path under the shared checkpoint folder for a written table. The
+    innermost open scope owns it, else the process (:func:`cleanup_scratch`)."""
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    _SCRATCH.append(path)
+    scopes = _SCOPES.get()
+    (scopes[-1] if scopes else _SCRATCH).append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables written inside are deleted at the end, and only
+    those. What leaves the scope must have been written elsewhere."""
+    own: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), own))
+    try:
+        yield own
+    finally:
+        _SCOPES.reset(token)
+        drop_scratch(spark, own)
+
+
 def cleanup_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables written so far (call once every
     DataFrame reading them has been written out). Returns how many."""
@@ -105,6 +124,24 @@ def cleanup_scratch(spark: SparkSession) -> int:
     return n
 
 
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these intermediate tables, and no others."""
+    for path in list(paths):
+        for owned in (_SCRATCH, *_SCOPES.get()):
+            if path in owned:
+                owned.remove(path)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def written(df, name: str):
+    """Write ``df`` once below the shared checkpoint folder and read it back, so
+    that every later use sees the same rows. Returns (table, path)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on its (possibly remote) file system."""
     jvm = spark.sparkContext._jvm

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legwise.schemas import COORD_COLUMNS
-
 DATE_IN_NAME = r"(\d{4})-\d{2}-\d{2}"
 
 
@@ -46,7 +44,7 @@ def year_allowed(name, only_years) -> Column:
 def file_date_from_name(name, substring: str, suffix: str) -> Column:
     """Remove ``substring + '_'`` and the suffix, parse; null on failure."""
     s = F.replace(F.replace(_c(name), F.lit(substring + "_"), F.lit("")), F.lit(suffix), F.lit(""))
-    return F.try_to_timestamp(s).cast("timestamp_ntz")
+    return F.try_to_timestamp(F.when(~s.rlike(r"^\s*T?\d{1,2}:"), s)).cast("timestamp_ntz")  # a time alone is no date
 
 
 def list_files(spark: SparkSession, landing_path: str) -> DataFrame:
@@ -57,19 +55,20 @@ def list_files(spark: SparkSession, landing_path: str) -> DataFrame:
 
 def matching_files(listing: DataFrame, substring: str, suffix: str, only_years=None,
                    name_col: str = "name") -> DataFrame:
-    """A1 + A2 + U3: matching names, distinct, sorted."""
+    """A1 + A2 + U3: matching files, distinct. A listing with paths keeps files
+    of one name in several folders apart; one of names alone is distinct by name.
+    Who shows the list sorts it."""
+    key = "path" if "path" in listing.columns else name_col
     return (listing.filter(name_matches(name_col, substring, suffix) & year_allowed(name_col, only_years))
-            .dropDuplicates([name_col]).orderBy(name_col))
+            .dropDuplicates([key]))
 
 
-def loaded_files(spark: SparkSession, raw_path: str | None) -> DataFrame:
-    """A4: distinct non-null ``source_file`` of the raw table; empty when absent."""
-    schema = T.StructType([T.StructField("source_file", T.StringType())])
-    from legwise.session import path_exists
-    if raw_path is None or not path_exists(spark, raw_path):
-        return spark.createDataFrame([], schema)
-    raw = spark.read.schema("source_file string").parquet(raw_path)
-    return raw.select("source_file").filter(F.col("source_file").isNotNull()).distinct()
+def below_folder(path, folder: str) -> Column:
+    """A file's path below the landing folder, whatever scheme or spelling the
+    listing puts in front of it."""
+    tail = folder.rstrip("/").split("://", 1)[-1].removeprefix("file:").rsplit("*", 1)[-1].rstrip("/") + "/"
+    p = F.replace(_c(path), F.lit("file:///"), F.lit("/"))
+    return F.when(F.instr(p, tail) > 0, F.substring_index(p, tail, -1)).otherwise(p)
 
 
 def new_files(candidates: DataFrame, loaded: DataFrame, name_col: str = "name") -> DataFrame:
@@ -95,14 +94,6 @@ def read_leg_csv(spark: SparkSession, paths: list[str], header: tuple[str, ...]
     return df.select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
-def check_required_columns(spark: SparkSession, paths: list[str]) -> None:
-    """A file without a coordinate column stops the run."""
-    header = spark.read.option("header", "true").csv(paths).columns
-    missing = [c for c in COORD_COLUMNS if c not in header]
-    if missing:
-        raise KeyError(f"expected column(s) {missing} not found in {paths[:3]}")
-
-
 def file_metrics(df: DataFrame, name_col: str = "source_file") -> DataFrame:
     """rows per file (a file with no valid row is simply absent)."""
     return df.groupBy(name_col).agg(F.count(F.lit(1)).cast("int").alias("n_rows"))

@@ -7,7 +7,9 @@ rows. The row count of every fixture grows with the driver's ``events`` table.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed parameters of the fixtures: the events span 2024-01-01 .. 2024-01-30.
 AS_OF = "2024-02-01"
@@ -70,6 +72,44 @@ RAW_EXPRS = [
     "Origin_BG", "Dest_BG",
 ]
 
+# One trip that holds a third of all legs (a default user id on one day), with
+# many equal start times and missing ones.
+HOT_LEGS_EXPRS = [
+    "event_id",
+    "CASE WHEN event_id % 3 = 0 THEN '0' ELSE user_trip_id END AS user_trip_id",
+    "CASE WHEN event_id % 3 = 0 THEN CAST('2024-01-15' AS DATE) ELSE trip_date END AS trip_date",
+    "CASE WHEN event_id % 21 = 0 THEN NULL ELSE CAST(CAST(start_time_utc AS DATE) AS TIMESTAMP) END AS start_time_utc",
+    *[e for e in ("end_time_utc", "start_longitude", "start_latitude", "end_longitude", "end_latitude", "service_name",
+                  "route_short_name", "mode", "start_stop_name", "end_stop_name", "Origin_BG", "Dest_BG",
+                  "manhattan_distance_mi", "euclidean_distance_mi")],
+]
+
+# Raw rows of which some cannot be cleaned: no id, text beyond its limit.
+REJECT_EXPRS = [
+    "event_id",
+    "CASE WHEN event_id % 61 = 0 THEN NULL WHEN event_id % 73 = 0 THEN REPEAT('9', 101) ELSE user_trip_id END AS user_trip_id",
+    "start_time", "end_time", "start_longitude", "start_latitude", "end_longitude", "end_latitude",
+    "CASE WHEN event_id % 67 = 0 THEN REPEAT('S', 201) ELSE service_name END AS service_name",
+    "CASE WHEN event_id % 71 = 0 THEN REPEAT('R', 51) WHEN event_id % 79 = 0 THEN CONCAT(REPEAT('R', 50), '  ') "
+    "ELSE route_short_name END AS route_short_name",
+    "mode", "start_stop_name", "end_stop_name", "source_file", "file_date_raw",
+    "manhattan_distance_mi", "euclidean_distance_mi",
+    "CASE WHEN event_id % 83 = 0 THEN '4802900000012' ELSE Origin_BG END AS Origin_BG", "Dest_BG",
+]
+
+# Rows as they arrive in CSV files: quotes, commas and line breaks in the stop
+# names, a file's layout (``kind``), and records with a field too many.
+CSV_EXPRS = [
+    "event_id", "user_trip_id", "start_time", "end_time", "start_longitude", "start_latitude", "end_longitude",
+    "end_latitude", "service_name", "route_short_name", "mode",
+    "CASE WHEN event_id % 5 = 0 THEN CONCAT('Main \"St\", No ', CAST(event_id AS STRING)) "
+    "WHEN event_id % 7 = 0 THEN CONCAT('two', CHR(10), 'lines, ', CAST(event_id AS STRING)) "
+    "ELSE start_stop_name END AS start_stop_name",
+    "end_stop_name",
+    "CASE WHEN event_id % 101 = 0 THEN 'extra' WHEN event_id % 4 = 0 THEN 'short' WHEN event_id % 2 = 0 THEN 'turned' "
+    "ELSE 'plain' END AS kind",
+]
+
 # Points of the spatial-join fixture (unfiltered coordinate formula).
 GRID_POINT_EXPRS = [
     "event_id",
@@ -101,6 +141,53 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legs(spark, sf_dir).selectExpr(*RAW_EXPRS)
 
 
+def hot_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legs(spark, sf_dir).selectExpr(*HOT_LEGS_EXPRS)
+
+
+def reject_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw(spark, sf_dir).selectExpr(*REJECT_EXPRS)
+
+
+def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw(spark, sf_dir).selectExpr(*CSV_EXPRS)
+
+
+CSV_FIELDS = ("event_id", "user_trip_id", "start_time", "end_time", "start_longitude", "start_latitude",
+              "end_longitude", "end_latitude", "service_name", "route_short_name", "mode", "start_stop_name",
+              "end_stop_name")
+#: Columns of the files of each kind; ``short`` files lack columns, ``extra`` ones have records that are too long.
+CSV_LAYOUTS = {"plain": CSV_FIELDS, "turned": tuple(reversed(CSV_FIELDS)),
+               "short": tuple(c for c in CSV_FIELDS if c not in ("mode", "end_stop_name")), "extra": CSV_FIELDS}
+
+
+def write_csv_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The CSV rows as files of several layouts below ``folder``, and one file
+    that lacks a required column. Lines are built as text, so that the files do
+    not depend on a CSV writer; they are named ``*.txt``."""
+    rows = csv_rows(spark, sf_dir)
+
+    def field(c: str):
+        v = F.col(c).cast("string")
+        quoted = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(v.rlike('[",\\n]'), quoted).otherwise(v), F.lit(""))
+
+    def below_header(header: str):
+        def run(batches):
+            for i, batch in enumerate(batches):
+                lines = batch.column(0).to_pylist()
+                yield pa.RecordBatch.from_pydict({"value": lines if i else [header, *lines]})  # a file is one task's
+        return run
+
+    for kind, columns in CSV_LAYOUTS.items():
+        fields = [field(c) for c in columns] + ([F.lit("surplus")] if kind == "extra" else [])
+        lines = rows.where(F.col("kind") == kind).select(F.concat_ws(",", *fields).alias("value"))
+        lines.mapInArrow(below_header(",".join(columns)), "value string").write.mode("overwrite").text(f"{folder}/{kind}")
+    rows.select("event_id", "user_trip_id").limit(1) \
+        .select(F.concat_ws(",", "event_id", "user_trip_id").alias("value")) \
+        .mapInArrow(below_header("event_id,user_trip_id"), "value string").write.mode("overwrite").text(f"{folder}/broken")
+
+
 def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).selectExpr(*GRID_POINT_EXPRS)
 
@@ -118,6 +205,57 @@ def grid_polygons(spark: SparkSession) -> DataFrame:
     """)
 
 
+# Shapes of the spatial-join fixture, one for each supplier, so that they grow with
+# the data: a triangle, a square with a square hole, a slanted box, or an arrow
+# head; neighbours overlap. Their places come from the supplier's number.
+SHAPE_X = "(-98.7003 + 0.004 * ((s_suppkey * 37) % 97))"
+SHAPE_Y = "(29.2007 + 0.003 * ((s_suppkey * 53) % 89))"
+SHAPE_R = "(0.0071 + 0.0023 * (s_suppkey % 4))"
+SHAPES = {0: [[(-1, -1), (1, -0.7), (0.2, 1)]],
+          1: [[(-1, -1), (1, -1), (1, 1), (-1, 1)], [(-0.4, -0.4), (-0.4, 0.5), (0.5, 0.5), (0.5, -0.4)]],
+          2: [[(-1, 0.1), (0.1, -1), (1, -0.1), (-0.1, 1)]],
+          3: [[(-1, -1), (0, -0.3), (1, -1), (0.1, 1)]]}
+SHAPE_POINT_EXPRS = [
+    "event_id",
+    "CAST(-98.71 + 0.41 * ((event_id * 7919) % 10007) / 10007.0 AS DOUBLE) AS lon",
+    "CAST(29.19 + 0.29 * ((event_id * 104729) % 10009) / 10009.0 AS DOUBLE) AS lat",
+]
+
+
+def _shape_case(template: str, ring: str, array: str) -> str:
+    """The shapes as one expression: an array of rings of points."""
+    arms = []
+    for kind, rings in SHAPES.items():
+        texts = []
+        for r in rings:
+            places = [template.format(x=f"CAST({SHAPE_X} + {dx} * {SHAPE_R} AS DOUBLE)",
+                                      y=f"CAST({SHAPE_Y} + {dy} * {SHAPE_R} AS DOUBLE)") for dx, dy in [*r, r[0]]]
+            texts.append(ring.format(", ".join(places)))
+        arms.append(f"WHEN s_suppkey % 4 = {kind} THEN {array.format(', '.join(texts))}")
+    return "CASE " + " ".join(arms) + " END"
+
+
+def shape_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bg_id string, rings array<array<struct<x,y>>>``."""
+    rings = _shape_case("struct({x} AS x, {y} AS y)", "array({})", "array({})")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(
+        "concat('48', lpad(cast(s_suppkey as string), 10, '0')) AS bg_id", f"{rings} AS rings")
+
+
+def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).selectExpr(*SHAPE_POINT_EXPRS)
+
+
+def shapes_sql() -> str:
+    """The rings as DuckDB lists of points."""
+    rings = _shape_case("{{'x': {x}, 'y': {y}}}", "[{}]", "[{}]")
+    return f"SELECT concat('48', lpad(CAST(s_suppkey AS VARCHAR), 10, '0')) AS bg_id, {rings} AS rings FROM supplier"
+
+
+def shape_points_sql() -> str:
+    return "SELECT " + ",\n  ".join(SHAPE_POINT_EXPRS) + "\nFROM events"
+
+
 # --- DuckDB text of the same fixtures (used by the oracle SQL) -------------
 
 def legs_sql() -> str:
@@ -128,6 +266,18 @@ def raw_sql() -> str:
     return "SELECT " + ",\n  ".join(RAW_EXPRS) + "\nFROM legs"
 
 
+def hot_legs_sql() -> str:
+    return "SELECT " + ",\n  ".join(HOT_LEGS_EXPRS) + "\nFROM plain_legs"
+
+
+def reject_raw_sql() -> str:
+    return "SELECT " + ",\n  ".join(REJECT_EXPRS) + "\nFROM plain_raw"
+
+
+def csv_rows_sql() -> str:
+    return "SELECT " + ",\n  ".join(CSV_EXPRS) + "\nFROM raw"
+
+
 def grid_points_sql() -> str:
     return "SELECT " + ",\n  ".join(GRID_POINT_EXPRS) + "\nFROM events"
 

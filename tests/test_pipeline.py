@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from legwise.config import IngestConfig, PipelineConfig, PublishConfig, TransformConfig
 from legwise.plans.ingest import ingest
 from legwise.plans.pipeline import run_pipeline
+from legwise.plans.refresh import read_refreshed
 from legwise.plans.transform import compute_since, load_state, transform
 from legwise.sources import fixtures as FX
 from legwise.streaming.ingest_stream import start_ingest_stream
@@ -86,7 +87,7 @@ def test_ingest_transform_publish(spark, tmp):
     total = spark.read.parquet(tr.clean_path)
     assert total.count() == total.select("row_hash").distinct().count()
 
-    flows = spark.read.parquet(f"{tr.output_path}/ArcGIS_Flow_BG_BG_Daily_Route_Rolling31")
+    flows = read_refreshed(spark, tr.output_path, "ArcGIS_Flow_BG_BG_Daily_Route_Rolling31")
     assert flows.count() > 0
     assert flows.agg(F.min("oid"), F.max("oid")).first() == (1, flows.count())
 
