@@ -56,9 +56,10 @@ def _check_system(text: DataFrame) -> None:
     """One look at the text: the reference system it names, and whether features
     begin as they must."""
     name = F.regexp_extract("value", r'"crs"\s*:\s*\{.*?"name"\s*:\s*"([^"]*)"', 1)
-    odd = ~F.btrim("value").startswith(",") & ~F.col("value").rlike(r'^\s*\{') & (F.btrim("value") != "")
-    r = text.agg(F.max(F.when(name != "", name)).alias("system"), F.max(odd).alias("odd")).first()
+    # every part but the last must end where the next feature begins, right before its type
+    loose = F.sum((~F.col("value").rlike(r'\{\s*"type"\s*:\s*$')).cast("int"))
+    r = text.agg(F.max(F.when(name != "", name)).alias("system"), loose.alias("loose")).first()
     if r["system"] and not r["system"].rstrip().endswith(LON_LAT):
         raise ReferenceSystemError(f"coordinates are in {r['system']}; convert them to longitude and latitude first")
-    if r["odd"]:
+    if (r["loose"] or 0) > 1:
         raise ValueError('"type" must be the first member of every feature')

@@ -25,10 +25,14 @@ from legwise.sources.manifest import Manifest
 from legwise.sources.polygons import read_polygons
 
 
+#: The columns of a table of files.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
 def landing_stream(spark: SparkSession, cfg: IngestConfig, max_files_per_trigger: int | None = None) -> DataFrame:
     """New landing files: url, path below the folder, name, length. Contents are
     not read."""
-    r = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    r = (spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
          .option("pathGlobFilter", f"*{cfg.filename_substring}*{cfg.file_suffix}"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
