@@ -17,8 +17,7 @@ nothing; other columns are not read.
 
 from __future__ import annotations
 
-import zlib
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,13 +61,14 @@ def _pieces(path: str, capacity: int, end_id: int):
 
 def pieces(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, row_key, piece, start, length, ids_crc32), written once."""
+    """(doc_id, row_key, piece, start, length, ids), written once; ``ids`` holds
+    little-endian unsigned 32-bit integers."""
     keyed = df.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row_key"),
                       F.col(text_col).cast("string").alias("text"))
     id_type = keyed.schema["doc_id"].dataType.simpleString()
     return cut(keyed.mapInArrow(_pieces(vocabulary, capacity, end_id),
                                 f"doc_id {id_type}, row_key long, piece int, start long, length long, "
-                                "ids_crc32 long"), "packing-pieces")
+                                "ids binary"), "packing-pieces")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -109,7 +109,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     runs = spark.createDataFrame(plan(histogram, capacity) or [(0, 0, 0, 0, 0, 1)],
                                  "length long, lo long, hi long, bin long, at long, per_bin long")
     buckets = max(64, -(-sum(histogram.values()) // GROUP_ROWS))
-    dealt = found.withColumn("bucket", F.pmod(F.xxhash64("row_key", "piece"), F.lit(buckets)).cast("int"))
+    narrow = found.select("doc_id", "row_key", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    dealt = narrow.withColumn("bucket", F.pmod(F.xxhash64("row_key", "piece"), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -120,11 +121,31 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return (ranked.alias("p").join(F.broadcast(runs).alias("r"),
                                    (F.col("p.length") == F.col("r.length")) & (slot >= 0)
                                    & (F.col("rank") < F.col("hi")))
-            .select("doc_id", "piece", "start", F.col("p.length").alias("length"), "ids_crc32",
+            .select("doc_id", "row_key", "piece", "start", F.col("p.length").alias("length"), "ids_crc32",
                     (F.col("bin") + F.floor(slot / F.col("per_bin"))).alias("sequence_id"),
                     (F.col("at") + F.pmod(slot, F.col("per_bin")) * F.col("p.length")).alias("offset")))
 
 
 def best_fit_packing(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                      capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    return pack(pieces(df, vocabulary, id_col, text_col, capacity, end_id), capacity)
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
+    offset."""
+    return pack(pieces(df, vocabulary, id_col, text_col, capacity, end_id), capacity).drop("row_key")
+
+
+def sequences(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
+              capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """The packed sequences: sequence_id, ids (array of ints, ``capacity`` at
+    most) and doc_ids, the documents of its pieces in order. Ids meet their places
+    in one shuffle; a sequence is a group of at most ``capacity`` pieces."""
+    found = pieces(df, vocabulary, id_col, text_col, capacity, end_id)
+    placed = pack(found, capacity).select("row_key", "piece", "sequence_id", "offset")
+    parts = found.join(placed, ["row_key", "piece"]).groupBy("sequence_id").agg(
+        F.sort_array(F.collect_list(F.struct("offset", "ids", "doc_id"))).alias("parts"))
+
+    @F.arrow_udf("array<int>")
+    def joined(ids: pa.Array) -> pa.Array:
+        flat = [b"".join(x) for x in ids.to_pylist()]
+        at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in flat], dtype=np.int64)])
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(flat), np.int32)))
+    return parts.select("sequence_id", joined(F.col("parts.ids")).alias("ids"), F.col("parts.doc_id").alias("doc_ids"))

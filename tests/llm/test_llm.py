@@ -167,3 +167,23 @@ def test_pipeline_stages(spark, empty):
         assert after.columns == docs.columns and after.count() <= docs.count()
         docs = after
     assert (pipeline.STAGES[-1][1](spark, docs, "").count() == 0) == empty
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(None, "no id"), (901, None), (901, None), (902, "")], "doc_id long, text string")
+    docs = docs.unionByName(odd)
+    library = Tokenizer.from_file(BYTE_BPE)
+    want = sorted((r.doc_id or -1, tuple(library.encode(r.text or "", add_special_tokens=False).ids + [2])) for r in docs.collect())
+    rows = packing.sequences(docs, BYTE_BPE).collect()
+    assert all(0 < len(r.ids) <= packing.CAPACITY for r in rows)
+    packed = packing.best_fit_packing(docs, BYTE_BPE).collect()
+    by_sequence = {r.sequence_id: r.ids for r in rows}
+    assert set(by_sequence) == {p.sequence_id for p in packed}
+    ends = [i for r in rows for i in r.ids if i == 2]
+    assert len(ends) >= len(want) and sum(len(r.ids) for r in rows) == sum(len(ids) for _, ids in want)
+    import zlib
+    for p in packed:
+        ids = by_sequence[p.sequence_id][p.offset:p.offset + p.length]
+        assert zlib.crc32(np.array(ids, "<u4").tobytes()) == p.ids_crc32
+    assert packing.sequences(docs.limit(0), BYTE_BPE).count() == 0
