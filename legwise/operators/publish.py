@@ -52,18 +52,28 @@ def _not_null(*cols: str) -> Column:
     return cond
 
 
+def flow_rows(flow_route: DataFrame, as_of=None, days_back: int = 31) -> DataFrame:
+    """Rows of the flows table, before they are numbered."""
+    return flow_route.filter(T.in_window("trip_date", as_of, days_back)
+                             & _not_null("mean_start_lon", "mean_start_lat", "mean_end_lon", "mean_end_lat"))
+
+
+def hotspot_rows(route_hotspots: DataFrame, as_of=None, days_back: int = 31) -> DataFrame:
+    """Rows of the hotspots table, before they are numbered."""
+    return route_hotspots.filter(T.in_window("trip_date", as_of, days_back) & _not_null("mean_lon", "mean_lat"))
+
+
 def publish_flows(flow_route: DataFrame, as_of=None, days_back: int = 31,
                   materialize: bool = True) -> DataFrame:
     """ArcGIS flows table from ``Flow_BG_BG_Daily_Route``."""
-    rows = flow_route.filter(T.in_window("trip_date", as_of, days_back)
-                             & _not_null("mean_start_lon", "mean_start_lat", "mean_end_lon", "mean_end_lat"))
+    rows = flow_rows(flow_route, as_of, days_back)
     return _project(global_row_number(rows, FLOW_ORDER, materialize=materialize), PUBLISH_FLOW_COLUMNS)
 
 
 def publish_hotspots(route_hotspots: DataFrame, as_of=None, days_back: int = 31,
                      materialize: bool = True) -> DataFrame:
     """ArcGIS hotspots table from ``Transfer_Hotspots_Daily_Route``."""
-    rows = route_hotspots.filter(T.in_window("trip_date", as_of, days_back) & _not_null("mean_lon", "mean_lat"))
+    rows = hotspot_rows(route_hotspots, as_of, days_back)
     return _project(global_row_number(rows, HOTSPOT_ORDER, materialize=materialize), PUBLISH_HOTSPOT_COLUMNS)
 
 

@@ -162,11 +162,11 @@ def q_hotspot_hash_backfill(spark, sf_dir):
 
 
 def q_validate_flows(spark, sf_dir):
-    return V.date_range_count(_publish_flows(spark, sf_dir))
+    return V.date_range_count(P.flow_rows(G.flow_daily_route(_flags(spark, sf_dir)), FX.AS_OF, FX.DAYS_BACK))
 
 
 def q_validate_hotspots(spark, sf_dir):
-    return V.row_count(_publish_hotspots(spark, sf_dir))
+    return V.row_count(P.hotspot_rows(G.transfer_hotspots_route(_flags(spark, sf_dir)), FX.AS_OF, FX.DAYS_BACK))
 
 
 def q_validate_walk_top10(spark, sf_dir):

@@ -9,24 +9,26 @@ hashes are lower-case hex, as in ``catalog.presentable``.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
-from legwise.functions import labels as L
 from legwise.sources import fixtures as FX
 
 _AS_OF = dt.date.fromisoformat(FX.AS_OF)
 START = (_AS_OF - dt.timedelta(days=FX.DAYS_BACK)).isoformat()
 END = _AS_OF.isoformat()
-FIXED, DEMAND = f"'{L.FIXED_ROUTE_SERVICE}'", f"'{L.DEMAND_RESPONSE_SERVICE}'"
-PROVIDERS = ", ".join(f"'{p}'" for p in L.KNOWN_PROVIDERS)
-
-
-def _mode_arms() -> str:
-    groups: dict[str, list[str]] = {}
-    for mode, group in L.MODE_GROUPS:
-        groups.setdefault(group, []).append(mode)
-    return "\n         ".join(
-        f"WHEN lower(mode) IN ({', '.join(repr(m) for m in modes)}) THEN '{group}'"
-        for group, modes in groups.items())
+# --- fixed values, stated here again so that a fault in the engine's own shows ---
+FIXED, DEMAND = "'AGENCY_FIXED_ROUTE'", "'AGENCY_DEMAND_RESPONSE'"
+PROVIDERS = "'AGENCY_FIXED_ROUTE', 'AGENCY_DEMAND_RESPONSE', 'BIKESHARE', 'SCOOTER_VENDOR', 'RIDESHARE_VENDOR'"
+MODE_ARMS = """WHEN lower(mode) = 'walk' THEN 'WALK'
+         WHEN lower(mode) IN ('bike', 'bikeshare') THEN 'BIKE'
+         WHEN lower(mode) = 'scooter' THEN 'SCOOTER'
+         WHEN lower(mode) = 'rideshare' THEN 'RIDESHARE'
+         WHEN lower(mode) = 'transit' THEN 'OTHER_TRANSIT'"""
+# EPSG:32140: semi-major axis, inverse flattening, origin, standard parallels (degrees), false origin.
+AXIS, INVERSE_FLATTENING = 6378137.0, 298.257222101
+ORIGIN_LAT, ORIGIN_LON, PARALLEL_1, PARALLEL_2 = 27 + 50 / 60, -99.0, 30 + 17 / 60, 28 + 23 / 60
+FALSE_EASTING, FALSE_NORTHING = 600000.0, 4000000.0
+# ----------------------------------------------------------------------------------
 
 
 def nb(x: str) -> str:
@@ -70,7 +72,7 @@ def base_cte(prefix: str | None = None) -> str:
     Origin_BG, Dest_BG, manhattan_distance_mi, euclidean_distance_mi,
     CASE WHEN service_name = {FIXED} THEN 'FIXED_ROUTE'
          WHEN service_name = {DEMAND} THEN 'DEMAND_RESPONSE'
-         {_mode_arms()}
+         {MODE_ARMS}
          ELSE 'OTHER' END AS service_group,
     CASE WHEN service_name IN ({PROVIDERS})
          THEN service_name ELSE '(UNKNOWN)' END AS provider_name,
@@ -376,19 +378,29 @@ def with_raw(select: str, extra_ctes: tuple[str, ...] = ()) -> str:
 
 
 def _lambert_sql(lon: str, lat: str) -> tuple[str, str]:
-    from legwise.functions.geo import projection
-    p = projection(32140)
-    n, af, rf = p.constants()
+    """Lambert conformal conic with two standard parallels, from its textbook
+    formulas."""
+    f = 1 / INVERSE_FLATTENING
+    e = math.sqrt(2 * f - f * f)
+
+    def m(phi: float) -> float:
+        return math.cos(phi) / math.sqrt(1 - (e * math.sin(phi)) ** 2)
+
+    def small_t(phi: float) -> float:
+        return math.tan(math.pi / 4 - phi / 2) / ((1 - e * math.sin(phi)) / (1 + e * math.sin(phi))) ** (e / 2)
+    p0, p1, p2 = (math.radians(x) for x in (ORIGIN_LAT, PARALLEL_1, PARALLEL_2))
+    n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(small_t(p1)) - math.log(small_t(p2)))
+    af = AXIS * m(p1) / (n * small_t(p1) ** n)
+    rf = af * small_t(p0) ** n
 
     def d(v: float) -> str:
         return f"CAST('{v!r}' AS DOUBLE)"
     phi = f"radians({lat})"
-    es = f"({d(p.e)} * sin({phi}))"
-    t = f"(tan({d(3.141592653589793 / 4)} - {phi} / 2) / pow((1.0 - {es}) / (1.0 + {es}), {d(p.e / 2)}))"
+    es = f"({d(e)} * sin({phi}))"
+    t = f"(tan({d(math.pi / 4)} - {phi} / 2) / pow((1.0 - {es}) / (1.0 + {es}), {d(e / 2)}))"
     r = f"({d(af)} * pow({t}, {d(n)}))"
-    theta = f"({d(n)} * radians({lon} - {d(p.lon0)}))"
-    return (f"({d(p.false_easting)} + {r} * sin({theta}))",
-            f"({d(p.false_northing + rf)} - {r} * cos({theta}))")
+    theta = f"({d(n)} * radians({lon} - {d(ORIGIN_LON)}))"
+    return (f"({d(FALSE_EASTING)} + {r} * sin({theta}))", f"({d(FALSE_NORTHING + rf)} - {r} * cos({theta}))")
 
 
 def clean_oracles() -> dict[str, str]:
