@@ -37,7 +37,7 @@ def _pieces(path: str, capacity: int, end_id: int):
     def run(batches):
         encode = encoder(path).ids
         for batch in batches:
-            rows, piece, start, length, crc = [], [], [], [], []
+            rows, piece, start, length, cuts = [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 ids = encode(text.as_py() or "") + end
                 n = len(ids) // 4
@@ -49,13 +49,13 @@ def _pieces(path: str, capacity: int, end_id: int):
                     piece.append(k)
                     start.append(lo)
                     length.append(hi - lo)
-                    crc.append(zlib.crc32(ids[4 * lo:4 * hi]))
+                    cuts.append(ids[4 * lo:4 * hi])
                     lo, hi, k = hi, hi + capacity, k + 1
             keys = batch.select(["doc_id", "row_key"]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*keys.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                names=["doc_id", "row_key", "piece", "start", "length", "ids_crc32"])
+                 pa.array(length, pa.int64()), pa.array(cuts, pa.binary())],
+                names=["doc_id", "row_key", "piece", "start", "length", "ids"])
     return run
 
 
