@@ -60,7 +60,7 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("notices")
 
 
 def op9_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,3 +187,51 @@ def test_sequences_hold_the_ids(spark):
         ids = by_sequence[p.sequence_id][p.offset:p.offset + p.length]
         assert zlib.crc32(np.array(ids, "<u4").tobytes()) == p.ids_crc32
     assert packing.sequences(docs.limit(0), BYTE_BPE).count() == 0
+
+
+def test_license_notices_equal_brute_force(spark):
+    """Labels, score and spans against every window of words; two texts that hold
+    a notice's words in no order get no label."""
+    rng = random.Random(9)
+    notices = [t for t in license_scan.TEMPLATES if not t.base]
+    longest = max(len(t.words.split()) for t in notices)
+    rows = [(1, "we apache tribe sold a license for version 2 of the map , 0 left"),
+            (2, "under a tree the mit student lost a license"), (3, None), (4, ""), (5, "All rights reserved. CC-BY")]
+    for i in range(40):
+        t = rng.choice(notices)
+        words = t.words.split()
+        for _ in range(rng.choice([0, 0, 2, 5, 20])):
+            words[rng.randrange(len(words))] = "other"
+        filler = [f"w{rng.randrange(50)}" for _ in range(rng.randrange(0, 300))]
+        at = rng.randrange(len(filler) + 1)
+        rows.append((10 + i, " ".join(filler[:at] + words + filler[at:])))
+    df = spark.createDataFrame([(d, t, "", "", "") for d, t in rows], DOCS)
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    assert len(got) == len(rows) and license_scan.scan(df.limit(0)).count() == 0
+
+    def grams(w):
+        return [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    hits = 0
+    for d, text in rows:
+        w = words_of(text, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+        sure, possible, best = set(), set(), 0.0
+        for t in notices:
+            own, runs = set(grams(t.words.split())), grams(w)
+            share = max((len(own & set(runs[i:i + len(t.words.split()) - 2])) for i in range(len(runs))), default=0) / len(own)
+            wide = max((len(own & set(runs[i:i + 2 * longest])) for i in range(len(runs))), default=0) / len(own)
+            if share >= t.threshold:  # in a run as long as the notice: a block must meet it
+                sure.add(t.label)
+            if wide >= t.threshold:  # in a run as long as a block: one may
+                possible.add(t.label)
+        r = got[d]
+        labels = {x.label for x in r.notices}
+        assert sure <= labels <= possible and r.labels == ",".join(sorted(labels | set(filter(None, r.base_labels.split(",")))))
+        for x in r.notices:
+            hits += 1
+            own = {g for t in notices if t.label == x.label for g in grams(t.words.split())}
+            assert x.share >= 0.75 and tuple(w[x.first_word:x.first_word + 3]) in own
+            assert tuple(w[x.last_word - 2:x.last_word + 1]) in own and r.score >= x.share
+    assert got[1].labels == got[2].labels == "" and got[1].score == 0.0
+    assert got[5].labels == "cc-by,reserved" and got[5].score == 1.0
+    assert hits >= 25
+
