@@ -19,7 +19,7 @@ apart, x and y cannot link. Only what these rules leave open is compared pair by
 pair. The answer is the classes' components, which no skipped pair can change.
 
 Signatures: a set's shingles also set parities of SIGNATURE bits, those of a long
-set of WIDE bits as well. Two sets differ
+set of more bits as well. Two sets differ
 in at least as many shingles as their signatures do in bits, and linked sets
 differ in a seventh of their sizes' sum at most, so pairs of sets that differ more
 are out before any list of shingles is moved.
@@ -54,9 +54,9 @@ FREQUENT = 1 << 16
 SLICE = 1 << 19
 #: Rounds in which every set asks one pivot.
 PIVOT_ROUNDS = 3
-#: Bits of a signature, and of the wide one that sets of more than LONG shingles have as well.
-SIGNATURE, WIDE, LONG = 512, 2048, 600
-#: Rows up to which nodes and pairs are broadcast (24 bytes each).
+#: Bits of a signature; sets of more shingles than the first numbers have one of as many more bits.
+SIGNATURE, WIDE = 512, ((2400, 8192), (600, 2048))
+#: Pairs up to which their nodes are broadcast (at most 64 bytes a pair).
 BROADCAST_ROWS = 400_000
 #: Keys from here on are the frequent shingles, in order.
 FIRST_FREQUENT = 1 << 62
@@ -140,13 +140,18 @@ def signatures(keys: np.ndarray, bounds: np.ndarray, bits: int = SIGNATURE) -> n
     return out.view(np.int64)
 
 
-def _wide(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> pa.ListArray:
+def _wide(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> pa.Array:
     """Wide signatures of the long sets, null for the others."""
-    long = np.flatnonzero(n > LONG)
-    own = np.concatenate([keys[bounds[i]:bounds[i + 1]] for i in long]) if len(long) else keys[:0]
-    made = signatures(own, np.concatenate([[0], np.cumsum(n[long])]).astype(np.int64), WIDE)
-    cuts = np.concatenate([[0], np.cumsum((n > LONG) * (WIDE // 64))])
-    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(made), mask=pa.array(n <= LONG))
+    out, above = [None] * len(n), np.iinfo(np.int64).max
+    for least, bits in WIDE:
+        some = np.flatnonzero((n > least) & (n <= above))
+        above = least
+        if len(some):
+            own = np.concatenate([keys[bounds[i]:bounds[i + 1]] for i in some])
+            made = signatures(own, np.concatenate([[0], np.cumsum(n[some])]), bits).reshape(len(some), -1)
+            for i, row in zip(some, made):
+                out[i] = row
+    return pa.array(out, pa.list_(pa.int64()))
 
 
 def _sets(frequent: np.ndarray, whole: bool):
@@ -223,19 +228,14 @@ def _in_lists(entries: DataFrame) -> DataFrame:
 
 def _alike(x: str, y: str, n: str) -> Column:
     """Whether two sets, of ``n`` shingles together, may link by their
-    signatures; ``x`` and ``y`` begin the names of their columns."""
+    signatures; ``x`` and ``y`` begin the names of their columns. Wide signatures
+    are compared if they are of one width."""
     bits = [F.bit_count(F.col(f"{x}sig")[i].bitwiseXOR(F.col(f"{y}sig")[i])) for i in range(SIGNATURE // 64)]
     wide = F.aggregate(F.zip_with(f"{x}wide", f"{y}wide", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0),
                        lambda total, one: total + one)
     return (7 * sum(bits[1:], bits[0]) <= F.expr(n)) & F.coalesce(7 * wide <= F.expr(n), F.lit(True))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A written table of narrow rows, marked for broadcast where its counted
-    rows allow that."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with sizes and keys of both sets."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("keys").alias("ka"))
@@ -250,10 +250,12 @@ class _Sets:
     def __init__(self, texts: DataFrame, heads: DataFrame, frequent: np.ndarray):
         self.texts, self.heads, self.frequent = texts, heads, frequent
 
-    def of(self, nodes: DataFrame) -> DataFrame:
-        wanted = cut(self.heads.join(_small(nodes), "node", "left_semi").select(
-            F.col("rep").alias("r"), "node", F.col("digest").alias("d"), F.col("n").alias("m")), "shingle-wanted")
-        return (self.texts.join(_small(wanted), F.col("doc_id").eqNullSafe(F.col("r"))).select("text", "node", "d", "m")
+    def of(self, nodes: DataFrame, small: bool) -> DataFrame:
+        """The whole sets of ``nodes``, read from their texts."""
+        wanted = self.heads.join(_marked(nodes, small), "node", "left_semi").select(
+            F.col("rep").alias("r"), "node", F.col("digest").alias("d"), F.col("n").alias("m"))
+        return (self.texts.join(_marked(wanted, small), F.col("doc_id").eqNullSafe(F.col("r")))
+                .select("text", "node", "d", "m")
                 .mapInArrow(_sets(self.frequent, whole=True),
                             "node long, d long, m long, digest long, n long, keys array<long>")
                 .where("digest = d AND n = m").select("node", "n", "keys"))
@@ -262,29 +264,33 @@ class _Sets:
         """Pairs (a, b) with set sizes na, nb and the size o of the intersection.
         Pairs whose signatures or prefixes already rule out a link are left out: up
         to the last key both prefixes cover, the common shingles are known exactly.
-        Only what the pairs need of a set is moved."""
+        Only what the pairs need of a set is moved: their nodes are broadcast where
+        the counted pairs are few enough."""
         asked = cut(pairs, "shingle-asked")
+        small = asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
         one, two = (self.heads.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"{k}sig"),
-                                      F.col("wide").alias(f"{k}wide")).join(_small(_nodes(asked, k)), k, "left_semi")
+                                      F.col("wide").alias(f"{k}wide")).join(_marked(asked.select(k), small), k, "left_semi")
                     for k in ("a", "b"))
         alike = cut(asked.join(one, "a").join(two, "b").where(_alike("a", "b", "na + nb")).select("a", "b"), "shingle-alike")
-        near = self.heads.join(_small(_nodes(alike)), "node", "left_semi").select("node", "n", "keys")
+        near = self.heads.join(_marked(_nodes(alike), small), "node", "left_semi").select("node", "n", "keys")
         bound = (_sides(alike, near)
                  .withColumn("upto", F.least(F.element_at("ka", -1), F.element_at("kb", -1)))
                  .withColumn("most", F.size(F.array_intersect("ka", "kb")) + F.least(
                      F.col("na") - F.size(F.filter("ka", lambda k: k <= F.col("upto"))),
                      F.col("nb") - F.size(F.filter("kb", lambda k: k <= F.col("upto"))))))
         likely = cut(bound.where("7 * most >= 3 * (na + nb)").select("a", "b"), "shingle-likely")
-        sets = cut(self.of(_nodes(likely)), "shingle-sets")
+        sets = cut(self.of(_nodes(likely), small), "shingle-sets")
         return cut(_sides(likely, sets).select(
             "a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")), "shingle-checked")
 
 
-def _nodes(pairs: DataFrame, name: str | None = None) -> DataFrame:
-    """The distinct nodes of pairs, or those of one side under its name."""
-    if name is not None:
-        return cut(pairs.select(name).distinct(), "shingle-nodes")
-    return cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "shingle-nodes")
+def _marked(df: DataFrame, small: bool) -> DataFrame:
+    """A narrow table, for broadcast if its rows have been counted as few."""
+    return F.broadcast(df) if small else df
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
 
 def _linked(checked: DataFrame) -> DataFrame:
