@@ -134,7 +134,7 @@ def test_vector_links_of_repeated_rows(spark):
 def test_language_of_odd_tables(spark):
     shape = "doc_id long, text string, lang string, source string, `my col` int, row string, language string"
     rows = [(1, "the cat and the dog", "en", "a", 1, "r", "l"), (1, "the cat and the dog", "en", "a", 1, "r", "l"),
-            (2, "der hund und die katze", "de", None, 2, "r", None), (None, "word " * 200_000, "en", "b", None, None, None)]
+            (2, "der hund und die katze", "de", None, 2, "r", None), (None, "the cat saw a dog " * 60_000, "en", "b", None, None, None)]
     df = spark.createDataFrame(rows, shape)
     found = language_id.identify_documents(df).collect()
     assert len(found) == 4 and [set(r.row.asDict()) for r in found] == [set(df.columns)] * 4
@@ -194,7 +194,7 @@ def test_pages_by_hand(spark, pages_of_host):
 def test_what_repeats_outside_of_the_article_goes(spark):
     """An unnamed box that says the same on every page of a host, and the same
     box on a host of one page, which nothing tells from text."""
-    page = '<div class="x1">Welcome to our little site</div><div class="x2"><p>{0}</p></div>'
+    page = '<div class="box">Welcome to our little site</div><div class="text"><p>{0}</p></div>'
     rows = [(i, "https://a.example/", page.format(PROSE.format(i))) for i in range(12)]
     rows += [(50, "https://b.example/", page.format(PROSE.format(50)))]
     rows += [(60 + i, "https://c.example/", page.format(PROSE.format(0))) for i in range(5)]  # copies of one page
