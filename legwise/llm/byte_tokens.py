@@ -13,6 +13,8 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
+from legwise.llm.common import release
+
 #: The published pre-token pattern of this tokenizer family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -57,6 +59,8 @@ class Encoder(dict):
                         for t in spec["added_tokens"]}
         names = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self._special = re.compile(f"({names})") if names else None
+        del spec, ranks
+        release()  # what reading the file has taken
 
     def __missing__(self, piece: str) -> bytes:
         ids = self._packed(piece.encode())

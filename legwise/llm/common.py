@@ -3,6 +3,9 @@ lineage, deterministic row numbers and distributed connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: Spark keeps idle
+    Python workers, and what they hold counts against their executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

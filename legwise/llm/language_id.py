@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legwise.llm.common import cut, slices, text_bytes
+from legwise.llm.common import cut, release, slices, text_bytes
 
 BUCKETS = 1 << 14
 #: Labels from which fitting fails; a language takes 128 KB of each Python process.
@@ -98,6 +98,7 @@ def _count(languages: tuple[str, ...]):
                     np.add.at(total, cell, 1)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(some), "n": pa.array(total[some])})
+        release()
     return run
 
 
@@ -142,6 +143,7 @@ def _score(model: Model):
             out *= (np.minimum(1.0, EVIDENCE / np.maximum(count, 1)))[:, None]
             done.append(pa.StructArray.from_arrays([_lists(out, count == 0), _lists(_normalised(out[:, :-1]), count == 0)],
                                                    names=["ll", "p"]))
+        release()
         return pa.concat_arrays(done) if done else pa.array([], SCORES)
     return F.arrow_udf(run, "struct<ll array<double>, p array<double>>")
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from legwise.llm.byte_tokens import encoder
-from legwise.llm.common import cut
+from legwise.llm.common import cut, release
 
 CAPACITY = 1024
 END_ID = 2
@@ -56,6 +56,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                 [*keys.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(cuts, pa.binary())],
                 names=["doc_id", "row_key", "piece", "start", "length", "ids"])
+        release()
     return run
 
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legwise.llm.common import (components, cut, lower, mix, powers, shuffle_width, slices, text_bytes,
+from legwise.llm.common import (components, cut, lower, mix, powers, release, shuffle_width, slices, text_bytes,
                                 word_hashes)
 
 WIDTH = 5
@@ -100,6 +100,7 @@ def _frequent(limit: int):
                     sums -= np.partition(sums, len(sums) - limit - 1)[len(sums) - limit - 1]
                 keys, counts = both[sums > 0], sums[sums > 0]
         yield pa.RecordBatch.from_pydict({"h": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
+        release()
     return run
 
 
@@ -182,6 +183,7 @@ def _sets(frequent: np.ndarray, whole: bool):
                     cuts = bounds
                 columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys)))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "keys"])
+        release()
     return run
 
 
@@ -214,6 +216,8 @@ def _meeting(batches):
             held = held.slice(whole)
     if held is not None and held.num_rows:
         yield from _met(held).to_batches()
+    held = None
+    release()
 
 
 def _in_lists(entries: DataFrame) -> DataFrame:
