@@ -13,7 +13,7 @@ BRUTE_FORCE = {
     "op2_language_id": ("test_llm", "test_language_held_out_and_rejects"),
     "op3_bpe": ("test_codecs_and_pages", "test_word_bpe_equals_library"),
     "op4_ngram_join": ("test_more_operators", "test_join_of_a_table_equals_brute_force"),
-    "op5_token_counts": ("test_llm", "test_recounts_equal_full_counts"),
+    "op5_token_counts": ("test_edits", "test_a_table_of_edits_equals_counting_anew"),
     "op6_packing": ("test_codecs_and_pages", "test_packing_pieces_equal_library"),
     "op7_html_text": ("test_more_operators", "test_pages_by_hand"),
     "op8_license_scan": ("test_llm", "test_license_places_equal_brute_force"),
