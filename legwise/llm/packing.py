@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from legwise.llm.byte_tokens import encoder
-from legwise.llm.common import cut, release
+from legwise.llm.common import cut, release, slices, text_bytes
 
 CAPACITY = 1024
 END_ID = 2
+#: Text bytes whose pieces are held at a time (a longer text stands alone).
+SLICE = 1 << 20
 #: Rows aimed at in one (length, bucket) group of the rank window.
 GROUP_ROWS = 50_000
 
@@ -37,25 +39,27 @@ def _pieces(path: str, capacity: int, end_id: int):
     def run(batches):
         encode = encoder(path).ids
         for batch in batches:
-            rows, piece, start, length, cuts = [], [], [], [], []
-            for i, text in enumerate(batch.column("text")):
-                ids = encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                lo, hi, k = 0, n % capacity or capacity, 0
-                if n <= capacity:
-                    hi = n
-                while lo < n:
-                    rows.append(i)
-                    piece.append(k)
-                    start.append(lo)
-                    length.append(hi - lo)
-                    cuts.append(ids[4 * lo:4 * hi])
-                    lo, hi, k = hi, hi + capacity, k + 1
-            keys = batch.select(["doc_id", "row_key"]).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*keys.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(cuts, pa.binary())],
-                names=["doc_id", "row_key", "piece", "start", "length", "ids"])
+            texts = batch.column("text")
+            for first, last in slices(text_bytes(texts)[1], SLICE):
+                rows, piece, start, length, cuts = [], [], [], [], []
+                for i in range(first, last):
+                    ids = encode(texts[i].as_py() or "") + end
+                    n = len(ids) // 4
+                    lo, hi, k = 0, n % capacity or capacity, 0
+                    if n <= capacity:
+                        hi = n
+                    while lo < n:
+                        rows.append(i)
+                        piece.append(k)
+                        start.append(lo)
+                        length.append(hi - lo)
+                        cuts.append(ids[4 * lo:4 * hi])
+                        lo, hi, k = hi, hi + capacity, k + 1
+                keys = batch.select(["doc_id", "row_key"]).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*keys.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                     pa.array(length, pa.int64()), pa.array(cuts, pa.binary())],
+                    names=["doc_id", "row_key", "piece", "start", "length", "ids"])
         release()
     return run
 
