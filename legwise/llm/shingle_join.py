@@ -269,13 +269,14 @@ class _Sets:
         Pairs whose signatures or prefixes already rule out a link are left out: up
         to the last key both prefixes cover, the common shingles are known exactly.
         Only what the pairs need of a set is moved: their nodes are broadcast where
-        the counted pairs are few enough."""
+        the counted pairs are few enough, those asked and those that signatures leave."""
         asked = cut(pairs, "shingle-asked")
-        small = asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        small = _few(asked)
         one, two = (self.heads.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"{k}sig"),
                                       F.col("wide").alias(f"{k}wide")).join(_marked(asked.select(k), small), k, "left_semi")
                     for k in ("a", "b"))
         alike = cut(asked.join(one, "a").join(two, "b").where(_alike("a", "b", "na + nb")).select("a", "b"), "shingle-alike")
+        small = small or _few(alike)
         near = self.heads.join(_marked(_nodes(alike), small), "node", "left_semi").select("node", "n", "keys")
         bound = (_sides(alike, near)
                  .withColumn("upto", F.least(F.element_at("ka", -1), F.element_at("kb", -1)))
@@ -288,6 +289,10 @@ class _Sets:
             "a", "b", "na", "nb", F.size(F.array_intersect("ka", "kb")).cast("long").alias("o")), "shingle-checked")
 
 
+def _few(pairs: DataFrame) -> bool:
+    return pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def _marked(df: DataFrame, small: bool) -> DataFrame:
     """A narrow table, for broadcast if its rows have been counted as few."""
     return F.broadcast(df) if small else df
@@ -306,12 +311,25 @@ def _meet(n1: str, i1: str, n2: str, i2: str):
     return F.expr(f"3 * {n2} <= 4 * {n1} - 7 * {i1} AND 3 * {n1} <= 4 * {n2} - 7 * {i2}")
 
 
-def _with_component(entries: DataFrame, links: DataFrame | None) -> DataFrame:
+def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, root) with further links (a, b). Only the roots that
+    links join anew take part, so that no link goes through the rounds twice."""
+    if comps is None:
+        return components(links, "shingle-components")
+    one, two = (comps.select(F.col("node").alias(k), F.col("root").alias(f"r{k}")) for k in ("a", "b"))
+    anew = links.join(one, "a", "left").join(two, "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
+    tops = components(anew, "shingle-components")
+    moved = comps.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root"))
+    return cut(moved.unionByName(tops.join(comps, "node", "left_anti")), "shingle-components")
+
+
+def _with_component(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Entries of lists that still hold several components, with the list's
     component of most entries (``big``)."""
-    if links is None:
+    if comps is None:
         return entries.withColumn("comp", F.col("node")).withColumn("big", F.lit(None).cast("long"))
-    comps = components(links, "shingle-components")
     known = entries.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     known = cut(known, "shingle-lists")
     big = (known.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -324,43 +342,44 @@ def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def set_links(lists: DataFrame, sets: _Sets) -> DataFrame:
-    """Links (a, b) of nodes that connect exactly what all links connect.
+def set_components(lists: DataFrame, sets: _Sets) -> DataFrame:
+    """Components (node, root) of all links between nodes.
     lists: (h, node, n, i)."""
-    links = checked = None
-    for _ in range(PIVOT_ROUNDS):
-        open_lists = _with_component(lists, links)
-        front = F.expr("7 * i <= n AND (big IS NULL OR comp <> big)")
-        pivot = (open_lists.groupBy("h").agg(F.min(F.when(front, F.struct(
-            F.xxhash64("node").alias("r"), F.col("node").alias("p"), F.col("n").alias("pn"),
+    comps = checked = None
+    for turn in range(PIVOT_ROUNDS):
+        open_lists = _with_component(lists, comps)
+        # A new pivot each round: of a list's component of most entries, which its other sets ask, or of the others.
+        later = F.coalesce(F.col("comp") == F.col("big"), F.lit(False)) != F.lit(turn % 2 == 1)
+        pivot = (open_lists.groupBy("h").agg(F.min(F.when(F.expr("7 * i <= n"), F.struct(
+            later.alias("l"), F.xxhash64("node", F.lit(turn)).alias("r"), F.col("node").alias("p"), F.col("n").alias("pn"),
             F.col("i").alias("pi"), F.col("comp").alias("pc")))).alias("pivot"))
             .where("pivot IS NOT NULL").select("h", "pivot.p", "pivot.pn", "pivot.pi", "pivot.pc"))
         met = (open_lists.join(pivot, "h").where("comp <> pc").where(_meet("n", "i", "pn", "pi"))
                .groupBy("node", "p").agg(F.count(F.lit(1)).alias("c")))
+        if checked is not None:  # an answer that is known is not asked for again
+            known = checked.select("a", "b").unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            met = met.join(known.select(F.col("a").alias("node"), F.col("b").alias("p")), ["node", "p"], "left_anti")
         asked = (met.groupBy("node").agg(F.max(F.struct("c", F.xxhash64("p").alias("r"), "p")).alias("top"))
                  .select("node", "top.p").select(*_pair("node", "p")).distinct())
-        if checked is not None:
-            asked = asked.join(checked, ["a", "b"], "left_anti")
         found = sets.verify(asked)
         checked = found if checked is None else checked.unionByName(found)
-        links = _linked(checked)
+        comps = _merged(comps, _linked(found))
 
-    # What is left: pairs of different components, unless signatures or a pivot's answers rule them out.
+    # What is left: pairs of different components, unless a pivot's answers rule them out. A set meets another in
+    # many lists, so signatures move with the distinct pairs (in verify), not with the entries.
     gap = F.expr("1 - o / (na + nb - o)")
     both = checked.unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b"),
                                               F.col("nb").alias("na"), F.col("na").alias("nb"), "o"))
     # The closest pivot that a set has been compared with tells most about it.
     near = (both.groupBy("a").agg(F.min(F.struct(gap.alias("d"), F.col("b").alias("q"))).alias("top"))
             .select(F.col("a").alias("node"), "top.d", "top.q"))
-    open_lists = cut(_with_component(lists, links).join(near, "node", "left")
-                     .join(sets.heads.select("node", "sig", "wide"), "node"), "shingle-open")
+    open_lists = cut(_with_component(lists, comps).join(near, "node", "left"), "shingle-open")
     x, y = open_lists.where("comp <> big").alias("x"), open_lists.alias("y")
     rest = (x.join(y, (F.col("x.h") == F.col("y.h")) & F.expr(
         "x.comp <> y.comp AND (y.comp = y.big OR x.node < y.node)"
-        " AND NOT coalesce(x.q = y.q AND abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i")
-        & _alike("x.", "y.", "x.n + y.n"))
+        " AND NOT coalesce(x.q = y.q AND abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i"))
         .select(*_pair("x.node", "y.node")).distinct().join(checked, ["a", "b"], "left_anti"))
-    return links.unionByName(_linked(sets.verify(rest)))
+    return _merged(comps, _linked(sets.verify(rest)))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -381,7 +400,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if rows.groupBy("doc_id", "digest", "n").count().where("count > 1").limit(1).count():
         texts = texts.dropDuplicates()  # repeated rows
     sets = _Sets(texts, heads, hot)
-    comps = components(set_links(lists, sets), "shingle-components")
+    comps = set_components(lists, sets)
     home = cut(heads.select("digest", "n", "node", "rep").join(comps, "node", "left")
                .select("digest", "n", F.coalesce("root", "rep").alias("component_id")), "shingle-home")
     return (rows.select("doc_id", "digest", "n").join(home, ["digest", "n"], "left")

@@ -3,7 +3,7 @@
 import public_tokenizers
 import pyarrow as pa
 
-from legwise.llm import packing
+from legwise.llm import packing, shingle_join
 
 
 def test_pieces_are_given_in_small_batches():
@@ -15,3 +15,17 @@ def test_pieces_are_given_in_small_batches():
     assert sorted({d for b in out for d in b.column("doc_id").to_pylist()}) == list(range(14))
     for b in out:
         assert [len(x) // 4 for x in b.column("ids").to_pylist()] == b.column("length").to_pylist()
+
+
+def test_links_go_through_the_rounds_once(spark, monkeypatch):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join("other" if i == 2 * k else w for i, w in enumerate(words))) for k in range(40)]
+    given, whole = [], shingle_join.components
+
+    def counted(edges, *args):
+        given.append(edges.count())
+        return whole(edges, *args)
+    monkeypatch.setattr(shingle_join, "components", counted)
+    got = shingle_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 40
+    assert sum(given) < 2 * len(rows)
