@@ -18,25 +18,36 @@ def _substr(s: Column, pos: Column, length: Column) -> Column:
     return F.call_function("substring", s, pos, length)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once for all its uses."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def shortest_scientific(x: Column) -> Column:
     """``d.ddde+xx`` with the fewest digits (15 to 17) that give back ``x``."""
-    shown = [F.format_string(f"%.{n - 1}e", x) for n in (15, 16, 17)]
-    return (F.when(shown[0].try_cast("double") == x, shown[0])
-            .when(shown[1].try_cast("double") == x, shown[1]).otherwise(shown[2]))
+    def shown(n: int) -> Column:
+        return F.format_string(f"%.{n - 1}e", x)
+
+    def first_of(s: Column, *rest: int) -> Column:
+        # a lambda argument, so that a text is printed once for its test and its use
+        return _bound(s, lambda v: F.when(v.try_cast("double") == x, v).otherwise(
+            first_of(shown(rest[0]), *rest[1:]) if len(rest) > 1 else shown(rest[0])))
+    return first_of(shown(15), 16, 17)
 
 
 def py_number_text(x) -> Column:
     """Text of a double as Python ``repr`` prints it; null stays null."""
     x = (F.col(x) if isinstance(x, str) else x).cast("double")
-    # one lambda argument, so that the search is not repeated for each of its uses
-    return F.element_at(F.transform(F.array(F.struct(x.alias("x"), shortest_scientific(x).alias("s"))),
-                                    lambda v: _python_form(v["x"], v["s"])), 1)
+    # lambda arguments, so that the search and its parts are not repeated for each of their uses
+    return _bound(F.struct(x.alias("x"), shortest_scientific(x).alias("s")), lambda v: _bound(
+        F.struct(v["x"].alias("x"), v["s"].alias("s"),
+                 F.rtrim(F.translate(F.substring_index(v["s"], "e", 1), "-.", ""), F.lit("0")).alias("digits"),
+                 F.substring_index(v["s"], "e", -1).try_cast("int").alias("e")),
+        lambda p: _python_form(p["x"], p["s"], p["digits"], p["e"])))
 
 
-def _python_form(x: Column, s: Column) -> Column:
+def _python_form(x: Column, s: Column, digits: Column, e: Column) -> Column:
     sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.when(x < 0, F.lit("-")).otherwise(F.lit("")))
-    digits = F.rtrim(F.translate(F.substring_index(s, "e", 1), "-.", ""), F.lit("0"))
-    e = F.substring_index(s, "e", -1).try_cast("int")
     n, one = F.length(digits), F.lit(1)
     below_one = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
     from_one = F.concat(F.rpad(_substr(digits, one, e + 1), e + 1, "0"), F.lit("."),
