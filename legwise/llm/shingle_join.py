@@ -52,8 +52,8 @@ WIDTH = 5
 FREQUENT = 1 << 16
 #: Text bytes worked on at a time (a longer text stands alone).
 SLICE = 1 << 19
-#: Rounds in which every set asks one pivot.
-PIVOT_ROUNDS = 3
+#: Rounds in which every set asks one pivot, and about how many sets of each list it asks in the round after them.
+PIVOT_ROUNDS, SOME = 2, 64
 #: Bits of a signature; sets of more shingles than the first numbers have one of as many more bits.
 SIGNATURE, WIDE = 512, ((2400, 8192), (600, 2048))
 #: Pairs up to which their nodes are broadcast (at most 64 bytes a pair).
@@ -327,14 +327,15 @@ def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def _with_component(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Entries of lists that still hold several components, with the list's
-    component of most entries (``big``)."""
+    component of most entries (``big``) and its number of entries."""
     if comps is None:
         return entries.withColumn("comp", F.col("node")).withColumn("big", F.lit(None).cast("long"))
     known = entries.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     known = cut(known, "shingle-lists")
     big = (known.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
-           .groupBy("h").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("kinds"))
-           .where("kinds > 1").select("h", F.col("top.comp").alias("big")))
+           .groupBy("h").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("entries"),
+                             F.count(F.lit(1)).alias("kinds"))
+           .where("kinds > 1").select("h", F.col("top.comp").alias("big"), "entries"))
     return known.join(big, "h")
 
 
@@ -365,8 +366,18 @@ def set_components(lists: DataFrame, sets: _Sets) -> DataFrame:
         checked = found if checked is None else checked.unionByName(found)
         comps = _merged(comps, _linked(found))
 
-    # What is left: pairs of different components, unless a pivot's answers rule them out. A set meets another in
-    # many lists, so signatures move with the distinct pairs (in verify), not with the entries.
+    # Few sets of a large group may link to its pivots: those still outside first ask some of each list, so that what
+    # joins then does not meet the whole group.
+    found = sets.verify(_open_pairs(lists, comps, checked, SOME))
+    checked = checked.unionByName(found)
+    comps = _merged(comps, _linked(found))
+    return _merged(comps, _linked(sets.verify(_open_pairs(lists, comps, checked))))
+
+
+def _open_pairs(lists: DataFrame, comps: DataFrame, checked: DataFrame, some: int | None = None) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a list and have not been checked, unless a pivot's
+    answers rule them out; with ``some``, only those with about so many sets of each list. A set meets another in
+    many lists, so signatures move with the distinct pairs (in verify), not with the entries."""
     gap = F.expr("1 - o / (na + nb - o)")
     both = checked.unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b"),
                                               F.col("nb").alias("na"), F.col("na").alias("nb"), "o"))
@@ -375,11 +386,12 @@ def set_components(lists: DataFrame, sets: _Sets) -> DataFrame:
             .select(F.col("a").alias("node"), "top.d", "top.q"))
     open_lists = cut(_with_component(lists, comps).join(near, "node", "left"), "shingle-open")
     x, y = open_lists.where("comp <> big").alias("x"), open_lists.alias("y")
-    rest = (x.join(y, (F.col("x.h") == F.col("y.h")) & F.expr(
+    if some is not None:  # the same sets of every list, as far as lists are alike
+        y = open_lists.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) * F.col("entries") < some * (1 << 30)).alias("y")
+    return (x.join(y, (F.col("x.h") == F.col("y.h")) & F.expr(
         "x.comp <> y.comp AND (y.comp = y.big OR x.node < y.node)"
         " AND NOT coalesce(x.q = y.q AND abs(x.d - y.d) > 0.250001, false)") & _meet("x.n", "x.i", "y.n", "y.i"))
         .select(*_pair("x.node", "y.node")).distinct().join(checked, ["a", "b"], "left_anti"))
-    return _merged(comps, _linked(sets.verify(rest)))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

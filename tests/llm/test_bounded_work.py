@@ -29,3 +29,18 @@ def test_links_go_through_the_rounds_once(spark, monkeypatch):
     got = shingle_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {0} and len(got) == 40
     assert sum(given) < 2 * len(rows)
+
+
+def test_a_large_group_of_few_links_is_not_asked_in_all_pairs(spark):
+    """Every eighth pair of one list links, so pivots leave most sets outside."""
+    count, asked = 400, []
+
+    class Answers:
+        def verify(self, pairs):
+            rows = [(r.a, r.b, 100, 100, 87 if hash((r.a, r.b)) % 8 == 0 else 84) for r in pairs.collect()]
+            asked.append(len(rows))
+            return spark.createDataFrame(rows, "a long, b long, na long, nb long, o long")
+    lists = spark.createDataFrame([(1, k, 100, 0) for k in range(count)], "h long, node long, n long, i int")
+    got = shingle_join.set_components(lists, Answers()).collect()
+    assert {r.root for r in got} == {0} and len(got) == count
+    assert sum(asked) < 100 * count, asked
