@@ -23,6 +23,11 @@ Plan:
    inside (``within``). The first (smallest-id) containing polygon wins,
    which settles overlapping polygons deterministically (D-7).
 
+Where both points and polygons are many, ``split_cells`` cuts a crowded cell into 4,
+16, ... parts, so that a part holds few points. A polygon that lies wholly around a
+part is not listed there but counted, with the smallest id: once for the largest
+square of parts it covers. So a point meets only polygons whose outline passes near it.
+
 Per point the work is proportional to the edges near its cell row, not to
 the polygon size. The cell table is broadcast only when its measured edge
 count is under a bound; otherwise both sides are shuffled on the cell key and
@@ -31,6 +36,8 @@ AQE's skew handling splits hot cells (dense downtown points).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +45,8 @@ from legwise.session import written
 
 DEFAULT_CELL = 0.01
 DEFAULT_BROADCAST_EDGES = 2_000_000
+#: Points and shapes that a split cell should still hold, the deepest split (4 ** 8 parts), and grid places worked on at a time.
+POINTS_KEPT, SHAPES_KEPT, DEEPEST, PLACES = 16, 4, 8, 1 << 19
 
 
 def _rings(polygons: DataFrame) -> DataFrame:
@@ -53,12 +62,12 @@ def _cell(v: Column, cell: float) -> Column:
 
 def _ring_edges(p: DataFrame) -> DataFrame:
     """``bg_id, x1, y1, x2, y2`` of every ring edge."""
-    ring = p.select("bg_id", F.explode("rings").alias("r")).where(F.size("r") > 1)
-    return ring.select("bg_id", F.explode(F.transform(
+    ring = p.select("bg_id", "whole", F.explode("rings").alias("r")).where(F.size("r") > 1)
+    return ring.select("bg_id", "whole", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("r") - 1),
         lambda i: F.struct(F.element_at("r", i)["x"].alias("x1"), F.element_at("r", i)["y"].alias("y1"),
                            F.element_at("r", i + 1)["x"].alias("x2"), F.element_at("r", i + 1)["y"].alias("y2"))))
-                       .alias("e")).select("bg_id", "e.*")
+                       .alias("e")).select("bg_id", "whole", "e.*")
 
 
 def _banded_edges(edges: DataFrame, cell: float) -> DataFrame:
@@ -80,10 +89,9 @@ def _banded_edges(edges: DataFrame, cell: float) -> DataFrame:
         .withColumn("bx1", F.least(F.col("c1") + 1, _cell(high, cell))).drop("c0", "c1")
 
 
-def polygon_cells(polygons: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
-    """``cx, cy, cands array<struct<bg_id, minx, miny, maxx, maxy, base, edges>>``;
-    ``base`` is the parity of the always-crossed edges, ``edges`` the rest
-    (``x1, y1, x2, y2``) that a ray from this cell may cross or touch."""
+def _cell_entries(polygons: DataFrame, cell: float) -> DataFrame:
+    """One row per cell, polygon and box: ``cx, cy, bg_id, base, edges, minx, miny, maxx, maxy, whole``;
+    ``whole``: all its rings here are closed and have all their coordinates."""
     p = _rings(polygons)
     pts = F.flatten(F.col("rings"))
     boxes = p.select("bg_id",
@@ -91,19 +99,159 @@ def polygon_cells(polygons: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
                      F.array_max(F.transform(pts, lambda q: q["x"])).alias("maxx"),
                      F.array_min(F.transform(pts, lambda q: q["y"])).alias("miny"),
                      F.array_max(F.transform(pts, lambda q: q["y"])).alias("maxy"))
-    banded = _banded_edges(_ring_edges(p), cell)
+    closed = F.forall("rings", lambda r: (F.size(r) < 2) | (F.element_at(r, 1) == F.element_at(r, -1)))
+    given = F.forall(pts, lambda q: q["x"].isNotNull() & q["y"].isNotNull() & ~F.isnan(q["x"]) & ~F.isnan(q["y"]))
+    banded = _banded_edges(_ring_edges(p.withColumn("whole", F.coalesce(closed & given, F.lit(False)))),
+                           cell)
     cells = (banded.groupBy("bg_id", "cy").agg(F.min("bx0").alias("from_x"), F.max("bx1").alias("to_x"))
              .withColumn("cx", F.explode(F.sequence("from_x", "to_x"))).drop("from_x", "to_x"))
     # per (cell, polygon): edges that reach the cell or lie right of it, in its band
     pairs = cells.join(banded, ["bg_id", "cy"]).filter(F.col("bx1") >= F.col("cx"))
     always = (F.col("bx0") > F.col("cx")) & (F.col("ey0") < F.col("cy")) & (F.col("ey1") > F.col("cy"))
-    per_poly = (pairs.groupBy("cx", "cy", "bg_id")
-                .agg((F.sum(always.cast("int")) % 2).cast("int").alias("base"),
-                     F.filter(F.collect_list(F.when(~always, F.struct("x1", "y1", "x2", "y2"))),
-                              lambda e: e.isNotNull()).alias("edges"))
-                .where("base = 1 OR size(edges) > 0").join(boxes, "bg_id"))
-    cand = F.struct("bg_id", "minx", "miny", "maxx", "maxy", "base", "edges")
-    return per_poly.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
+    return (pairs.groupBy("cx", "cy", "bg_id")
+            .agg((F.sum(always.cast("int")) % 2).cast("int").alias("base"),
+                 F.filter(F.collect_list(F.when(~always, F.struct("x1", "y1", "x2", "y2"))),
+                          lambda e: e.isNotNull()).alias("edges"), F.bool_and("whole").alias("whole"))
+            .where("base = 1 OR size(edges) > 0").join(boxes, "bg_id"))
+
+
+CANDIDATE = ("bg_id", "minx", "miny", "maxx", "maxy", "base", "edges")
+
+
+def polygon_cells(polygons: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
+    """``cx, cy, cands array<struct<bg_id, minx, miny, maxx, maxy, base, edges>>``;
+    ``base`` is the parity of the always-crossed edges, ``edges`` the rest
+    (``x1, y1, x2, y2``) that a ray from this cell may cross or touch."""
+    return _cell_entries(polygons, cell).groupBy("cx", "cy").agg(
+        F.array_sort(F.collect_list(F.struct(*CANDIDATE))).alias("cands"))
+
+
+def _add(shape: tuple, *at: np.ndarray) -> np.ndarray:
+    return np.bincount(np.ravel_multi_index(at, shape), minlength=int(np.prod(shape))).reshape(shape)
+
+
+def _parts(rows: pa.RecordBatch, k: int, cell: float):
+    """The parts (4 ** k for a cell) of the entries ``rows``: those an entry is listed in, and the squares it covers."""
+    n, m, s = 1 << k, len(rows), cell / (1 << k)
+    cx, cy, base, whole = (rows[c].to_numpy(zero_copy_only=False) for c in ("cx", "cy", "base", "whole"))
+    edges = rows["edges"]
+    own = np.repeat(np.arange(m), edges.value_lengths().to_numpy())
+    flat = edges.flatten()
+    ends = np.array([flat.field(c).to_numpy(zero_copy_only=False) for c in range(4)]).reshape(4, -1)[:, whole[own]]
+    own = own[whole[own]]
+    x1, y1, x2, y2 = ends
+
+    def at_cell(v):
+        return np.floor(v / s).astype(np.int64)
+    ey0, ey1 = at_cell(np.minimum(y1, y2)), at_cell(np.maximum(y1, y2))
+    r0, r1 = np.maximum(ey0, cy[own] * n), np.minimum(ey1, cy[own] * n + n - 1)
+    reps = np.maximum(r1 - r0 + 1, 0)
+    i = np.repeat(np.arange(len(own)), reps)
+    band = np.arange(len(i)) - np.repeat(np.cumsum(reps) - reps, reps) + r0[i]
+    own, x1, y1, x2, y2, ey0, ey1 = (v[i] for v in (own, x1, y1, x2, y2, ey0, ey1))
+    low, high, level = np.minimum(x1, x2), np.maximum(x1, x2), y1 == y2
+    slope = (x2 - x1) / np.where(level, 1, y2 - y1)
+    ya, yb = np.maximum(band * s, np.minimum(y1, y2)), np.minimum((band + 1) * s, np.maximum(y1, y2))
+    xa, xb = np.where(level, x1, x1 + slope * (ya - y1)), np.where(level, x2, x1 + slope * (yb - y1))
+    # as in _banded_edges: widened by a part, which settles rounding
+    bx0 = np.maximum(at_cell(np.clip(np.minimum(xa, xb), low, high)) - 1, at_cell(low)) - cx[own] * n
+    bx1 = np.minimum(at_cell(np.clip(np.maximum(xa, xb), low, high)) + 1, at_cell(high)) - cx[own] * n
+    a, b, y = np.clip(bx0, 0, n), np.clip(bx1, -1, n - 1), band - cy[own] * n
+    spans, reach = (ey0 < band) & (ey1 > band), a <= b
+    grid = (m, n, n + 1)
+    touched = np.cumsum(_add(grid, own[reach], y[reach], a[reach]) - _add(grid, own[reach], y[reach], b[reach] + 1), axis=2)[..., :n] > 0
+
+    def right(of: np.ndarray) -> np.ndarray:
+        """How many of these edges lie right of each part."""
+        return np.cumsum(_add(grid, own[of], y[of], a[of])[..., ::-1], axis=2)[..., ::-1][..., 1:]
+    middle = (band + 0.5) * s
+    inside = (base[:, None, None] + right((y1 > middle) != (y2 > middle))) % 2 == 1
+    place = np.arange(n)
+    box = [np.nan_to_num(rows[c].to_numpy(zero_copy_only=False).astype(float), nan=0.0) for c in ("minx", "maxx", "miny", "maxy")]
+    fits = ~np.logical_or.reduce([np.asarray(rows[c].is_null()) for c in ("minx", "maxx", "miny", "maxy")])
+    px, py = cx[:, None] * n + place, cy[:, None] * n + place
+    in_x = (px > at_cell(box[0])[:, None]) & (px < at_cell(box[1])[:, None])
+    in_y = (py > at_cell(box[2])[:, None]) & (py < at_cell(box[3])[:, None])
+    within = (in_y[:, :, None] & in_x[:, None, :]) & (fits & whole)[:, None, None]
+    covered = ~touched & inside & within
+    listed = (touched | (inside & ~within)) & whole[:, None, None]
+
+    # edges of the listed parts: those that reach the part or lie right of it, but for the always-crossed ones
+    width = b + 1
+    j = np.repeat(np.arange(len(own)), width)
+    col = np.arange(len(j)) - np.repeat(np.cumsum(width) - width, width)
+    kept = listed[own[j], y[j], col] & ~(spans[j] & (col < a[j]))
+    j, col = j[kept], col[kept]
+    spot = (own[j] * n + y[j]) * n + col
+    order = np.argsort(spot, kind="stable")
+    where = np.flatnonzero(listed)
+    bounds = np.searchsorted(spot[order], np.append(where, m * n * n))
+    j = j[order]
+    made = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(
+        [pa.array(v[j]) for v in (x1, y1, x2, y2)], ["x1", "y1", "x2", "y2"]))
+    e, py_, px_ = np.unravel_index(where, (m, n, n))
+    parity = (base[e] + right(spans)[e, py_, px_]) % 2
+    yield _rows_of(rows, e, k, k, cx[e] * n + px_, cy[e] * n + py_, parity, made)
+
+    odd = np.repeat(np.flatnonzero(~whole), n * n)  # rings that are not closed: listed everywhere as they are
+    if len(odd):
+        spot = np.tile(np.arange(n * n), len(odd) // (n * n))
+        yield _rows_of(rows, odd, k, k, cx[odd] * n + spot % n, cy[odd] * n + spot // n, base[odd], edges.take(pa.array(odd)))
+
+    for depth in range(k + 1):
+        side, size = 1 << depth, n >> depth
+        full = covered.reshape(m, side, size, side, size).all(axis=(2, 4))
+        covered = covered & ~np.repeat(np.repeat(full, size, axis=1), size, axis=2)
+        e, qy, qx = np.nonzero(full)
+        if len(e):
+            yield _rows_of(rows, e, k, depth, cx[e] * side + qx, cy[e] * side + qy, base[e], pa.nulls(len(e), edges.type))
+
+
+def _rows_of(rows, e, level, depth, sx, sy, base, edges) -> pa.RecordBatch:
+    took = rows.select(["bg_id", "minx", "miny", "maxx", "maxy"]).take(pa.array(e))
+    edges = edges.cast(pa.list_(pa.struct([(c, pa.float64()) for c in ("x1", "y1", "x2", "y2")])))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(e), level), pa.int32()), pa.array(np.full(len(e), depth), pa.int32()),
+         pa.array(sx, pa.int64()), pa.array(sy, pa.int64()), *took.columns, pa.array(base, pa.int32()), edges],
+        names=["level", "depth", "sx", "sy", *CANDIDATE])
+
+
+def _split(cell: float):
+    def run(batches):
+        for batch in batches:
+            levels = batch["level"].to_numpy()
+            for k in np.unique(levels):
+                some = np.flatnonzero(levels == k)
+                step = max(1, PLACES >> (2 * int(k)))
+                for lo in range(0, len(some), step):
+                    yield from _parts(batch.take(pa.array(some[lo:lo + step])), int(k), cell)
+    return run
+
+
+def split_cells(polygons: DataFrame, points: DataFrame, lon: str, lat: str, cell: float = DEFAULT_CELL) -> DataFrame:
+    """The cell table for these points: ``level, sx, sy`` (a part of the side ``cell / 2 ** level``), ``cands`` as in
+    ``polygon_cells``, ``around`` (how many polygons cover the part, not in ``cands``) and ``first`` (the smallest id
+    of those). Cells without points are left out."""
+    entries, _ = written(_cell_entries(polygons, cell), "polygon-entries")
+    crowd = points.groupBy(_cell(F.col(lon), cell).alias("cx"), _cell(F.col(lat), cell).alias("cy")).agg(
+        F.count(F.lit(1)).alias("points"))
+    fine = F.least(F.floor(F.log2(F.greatest(F.col("points") / POINTS_KEPT, F.lit(1.0))) / 2),
+                   F.ceil(F.log2(F.greatest(F.col("shapes") / SHAPES_KEPT, F.lit(1.0)))), F.lit(DEEPEST))
+    levels = (entries.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("shapes")).join(crowd, ["cx", "cy"])
+              .select("cx", "cy", fine.cast("int").alias("level")))
+    schema = ("level int, depth int, sx long, sy long, bg_id string, minx double, miny double, maxx double, maxy double, "
+              "base int, edges array<struct<x1: double, y1: double, x2: double, y2: double>>")
+    parts, _ = written(entries.join(levels, ["cx", "cy"]).mapInArrow(_split(cell), schema), "polygon-parts")
+    side = F.expr("shiftleft(1L, level - depth)")
+    covers = (parts.where("edges IS NULL").groupBy("level", "depth", "sx", "sy")
+              .agg(F.count(F.lit(1)).alias("around"), F.min("bg_id").alias("first"))
+              .select("level", F.explode(F.sequence(F.col("sx") * side, F.col("sx") * side + side - 1)).alias("px"),
+                      F.col("sy") * side, side, "around", "first").toDF("level", "sx", "y0", "side", "around", "first")
+              .select("level", "sx", F.explode(F.expr("sequence(y0, y0 + side - 1)")).alias("sy"), "around", "first"))
+    listed = parts.where("edges IS NOT NULL").select("level", "sx", "sy", F.struct(*CANDIDATE).alias("cand"))
+    return (listed.unionByName(covers, allowMissingColumns=True).groupBy("level", "sx", "sy")
+            .agg(F.array_sort(F.collect_list("cand")).alias("cands"), F.coalesce(F.sum("around"), F.lit(0)).alias("around"),
+                 F.min("first").alias("first")))
 
 
 def _crosses(px: Column, py: Column, e: Column) -> Column:
@@ -150,8 +298,8 @@ def containing_id(px: Column, py: Column, cands: Column) -> Column:
 def cell_table_edges(cells: DataFrame) -> int:
     """Total candidate edges in the cell table (one small aggregate)."""
     v = cells.select(F.aggregate(F.col("cands"), F.lit(0).cast("long"),
-                                 lambda acc, c: acc + F.size(c["edges"]).cast("long") + 1).alias("v")) \
-        .agg(F.sum("v")).first()[0]
+                                 lambda acc, c: acc + F.size(c["edges"]).cast("long") + 1).alias("v"), F.lit(1).alias("one")) \
+        .agg(F.sum(F.col("v") + F.col("one"))).first()[0]
     return int(v or 0)
 
 
@@ -162,20 +310,34 @@ def assign_polygon(points: DataFrame, cells: DataFrame, lon: str, lat: str, out:
     overlap, D-7). ``broadcast``: None = decide by measured size, True/False =
     force."""
     p = points.withColumn("_cx", _cell(F.col(lon), cell)).withColumn("_cy", _cell(F.col(lat), cell))
-    table = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("cands").alias("_cands"))
+    keys, px, py = ["_cx", "_cy"], F.col(lon), F.col(lat)
     if broadcast is None:
         broadcast = cell_table_edges(cells) <= DEFAULT_BROADCAST_EDGES
-    if broadcast:
-        table = F.broadcast(table)
-    joined = p.join(table, ["_cx", "_cy"], "left")
-    given = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    if "around" in cells.columns:  # split cells: a point looks up its cell's level first
+        levels = cells.select(F.expr("shiftright(sx, level)").alias("_cx"), F.expr("shiftright(sy, level)").alias("_cy"),
+                              F.col("level").alias("_level")).distinct()
+        side = F.lit(float(cell)) / F.pow(F.lit(2.0), F.col("_level"))
+        p = (p.join(levels, keys, "left").withColumn("_level", F.coalesce("_level", F.lit(0)))
+             .withColumn("_cx", F.floor(px / side)).withColumn("_cy", F.floor(py / side)))
+        keys = ["_level", *keys]
+        table = cells.select(F.col("level").alias("_level"), F.col("sx").alias("_cx"), F.col("sy").alias("_cy"),
+                             F.col("cands").alias("_cands"), F.col("around").alias("_around"), F.col("first").alias("_first"))
+    else:
+        table = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("cands").alias("_cands"),
+                             F.lit(0).cast("long").alias("_around"), F.lit(None).cast("string").alias("_first"))
+    joined = p.join(F.broadcast(table) if broadcast else table, keys, "left")
+    given = px.isNotNull() & py.isNotNull()
+    around = given & ~F.isnan(px.cast("double")) & ~F.isnan(py.cast("double"))  # no number lies in no polygon
+    first = F.when(around, F.col("_first"))
     if count_out is None:
-        found = joined.withColumn(out, F.when(given, containing_id(F.col(lon), F.col(lat), F.col("_cands"))))
+        found = joined.withColumn(out, F.least(F.when(given, containing_id(px, py, F.col("_cands"))), first))
     else:
-        ids = F.transform(F.when(given, containing(F.col(lon), F.col(lat), F.col("_cands"))), lambda c: c["bg_id"])
+        ids = F.transform(F.when(given, containing(px, py, F.col("_cands"))), lambda c: c["bg_id"])
         found = (joined.withColumn("_ids", F.coalesce(ids, F.array().cast("array<string>")))
-                 .withColumn(out, F.try_element_at("_ids", F.lit(1))).withColumn(count_out, F.size("_ids")).drop("_ids"))
-    return found.drop("_cx", "_cy", "_cands")
+                 .withColumn(out, F.least(F.try_element_at("_ids", F.lit(1)), first))
+                 .withColumn(count_out, (F.size("_ids") + F.coalesce(F.when(around, F.col("_around")), F.lit(0))).cast("int"))
+                 .drop("_ids"))
+    return found.drop("_cx", "_cy", "_cands", "_around", "_first", "_level")
 
 
 def assign_origin_destination(legs: DataFrame, polygons: DataFrame, cell: float = DEFAULT_CELL,
