@@ -232,6 +232,7 @@ def split_cells(polygons: DataFrame, points: DataFrame, lon: str, lat: str, cell
     """The cell table for these points: ``level, sx, sy`` (a part of the side ``cell / 2 ** level``), ``cands`` as in
     ``polygon_cells``, ``around`` (how many polygons cover the part, not in ``cands``) and ``first`` (the smallest id
     of those). Cells without points are left out."""
+    polygons, _ = written(_rings(polygons), "polygon-rings")  # rings may be costly to make, and are used several times
     entries, _ = written(_cell_entries(polygons, cell), "polygon-entries")
     crowd = points.groupBy(_cell(F.col(lon), cell).alias("cx"), _cell(F.col(lat), cell).alias("cy")).agg(
         F.count(F.lit(1)).alias("points"))
