@@ -1,10 +1,11 @@
 """Operator 4: n-gram Jaccard join by set-relation skipping.
 
 Documents with equal shingle sets form one class first, so copies are reduced
-before anything else. The global order of shingles is "rare ones by hash, then
-the frequent ones by count"; the frequent ones are a bounded Misra-Gries summary
-of all shingles. An index list holds the sets whose prefix contains a shingle,
-with set size and position.
+before anything else. The global order of shingles is by level, then by hash. All
+shingles are counted in a fixed number of buckets; a bucket's level says how far
+its count is above what most buckets hold, so that shingles more frequent than
+chance come last, in steps of their frequency. An index list holds the sets whose
+prefix contains a shingle, with set size and position.
 
 Index-level skipping: an entry at position i of a set of n shingles can only
 meet partners of at most (4n - 7i) / 3 shingles. Entries with 7i <= n form the
@@ -26,7 +27,7 @@ are out before any list of shingles is moved.
 
 Skew: classes, pivots and list statistics are aggregations with a map-side
 part; joins on lists and pivots are split by AQE. Nothing is collected but the
-bounded list of frequent shingles.
+fixed number of buckets.
 
 Defined results: null or empty texts and texts without words have no shingles
 and are their own component; rows with one doc_id are one document, so they
@@ -48,18 +49,22 @@ from legwise.llm.common import (components, cut, lower, mix, powers, release, sh
                                 word_hashes)
 
 WIDTH = 5
-#: Frequent shingles put last in the global order.
-FREQUENT = 1 << 16
+#: Buckets in which shingles are counted, and how many of them one row moves.
+BUCKETS, CHUNK = 1 << 21, 1 << 15
+#: Levels of buckets; lists of those from HOT on are kept without a look.
+LEVELS, HOT = 32, 9
 #: Text bytes worked on at a time (a longer text stands alone).
 SLICE = 1 << 19
 #: Rounds in which every set asks one pivot, and about how many sets of each list it asks in the round after them.
 PIVOT_ROUNDS, SOME = 2, 64
+#: Meetings an entry of the lists, up to which the sets are compared without pivots.
+SPARSE = 4
 #: Bits of a signature; sets of more shingles than the first numbers have one of as many more bits.
 SIGNATURE, WIDE = 512, ((2400, 8192), (600, 2048))
 #: Pairs up to which their nodes are broadcast (at most 64 bytes a pair).
 BROADCAST_ROWS = 400_000
-#: Keys from here on are the frequent shingles, in order.
-FIRST_FREQUENT = 1 << 62
+#: Bits of a key below its level.
+KEY_BITS = 58
 #: Entries of a list this far apart are compared before the list is kept.
 NEAR = 8
 
@@ -86,42 +91,62 @@ def shingle_hashes(data: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tupl
     return np.concatenate(docs), mix(np.concatenate(hashes))
 
 
-def _frequent(limit: int):
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (h >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _wider(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // count}").astype(np.int64)
+
+
+def _counted(buckets: int, chunk: int):
+    """Shingles of a task by bucket, as rows of ``chunk`` buckets."""
     def run(batches):
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        counts = np.zeros(buckets, np.uint32)
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
             for lo, hi in slices(at, SLICE):
-                doc, h = shingle_hashes(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
-                new, n = np.unique(h, return_counts=True)
-                both, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
-                sums = np.bincount(where, np.concatenate([counts, n]), len(both)).astype(np.int64)
-                if len(both) > limit:  # merged Misra-Gries summaries
-                    sums -= np.partition(sums, len(sums) - limit - 1)[len(sums) - limit - 1]
-                keys, counts = both[sums > 0], sums[sums > 0]
-        yield pa.RecordBatch.from_pydict({"h": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
+                _, h = shingle_hashes(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
+                np.add.at(counts, _bucket(h, buckets), np.uint32(1))
+        parts = counts.reshape(-1, chunk)
+        some = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"part": pa.array(some, pa.int32()),
+                                          "counts": pa.array([_narrow(parts[i]) for i in some], pa.binary())})
         release()
     return run
 
 
-def frequent_shingles(texts: DataFrame, limit: int = FREQUENT) -> np.ndarray:
-    """At most ``limit`` shingle hashes, rarer ones first."""
-    found = (texts.mapInArrow(_frequent(limit), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-             .where("n > 1").orderBy(F.desc("n"), "h").limit(limit))
-    rows = found.toPandas()  # at most `limit` rows
-    return rows["h"].to_numpy(np.int64)[::-1].copy()
+def _summed(chunk: int):
+    def run(rows: pa.Table) -> pa.Table:
+        total = np.zeros(chunk, np.int64)
+        for data in rows["counts"]:
+            total += _wider(data.as_py(), chunk)
+        return pa.table({"part": rows["part"].slice(0, 1), "counts": pa.array([_narrow(total)], pa.binary())})
+    return run
+
+
+def bucket_levels(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """The level of every bucket of shingles: 0 up to what chance adds to the
+    usual count, then two for each doubling of what is above."""
+    chunk, schema = min(CHUNK, buckets), "part int, counts binary"
+    counts = np.zeros((buckets // chunk, chunk), np.int64)
+    for row in (texts.mapInArrow(_counted(buckets, chunk), schema).groupBy("part")
+                .applyInArrow(_summed(chunk), schema).collect()):  # a fixed number of rows
+        counts[row["part"]] = _wider(row["counts"], chunk)
+    usual = float(np.median(counts))
+    above = (counts.ravel() - usual) / (4 * usual ** 0.5 + 4)
+    return np.clip(1 + np.floor(2 * np.log2(np.maximum(above, 0.5))), 0, LEVELS - 1).astype(np.uint8) * (above > 1)
 
 
-def _ordered(data, at, frequent: np.ndarray):
+def _ordered(data, at, levels: np.ndarray):
     """Distinct shingle keys of each text in the global order: keys, bounds."""
     doc, h = shingle_hashes(data, at)
-    key = h >> np.uint64(2)
-    if len(frequent):
-        by_hash = np.argsort(frequent.view(np.uint64))
-        ordered = frequent.view(np.uint64)[by_hash]
-        place = np.minimum(np.searchsorted(ordered, h), len(ordered) - 1)
-        hot = ordered[place] == h
-        key[hot] = np.uint64(FIRST_FREQUENT) + by_hash[place[hot]].astype(np.uint64)
+    key = h & np.uint64((1 << KEY_BITS) - 1) | levels[_bucket(h, len(levels))].astype(np.uint64) << np.uint64(KEY_BITS)
     order = np.argsort(key)
     order = order[np.argsort(doc[order].astype(np.uint16 if len(at) < 1 << 16 else np.int64), kind="stable")]
     doc, key = doc[order], key[order]
@@ -155,7 +180,7 @@ def _wide(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> pa.Array:
     return pa.array(out, pa.list_(pa.int64()))
 
 
-def _sets(frequent: np.ndarray, whole: bool):
+def _sets(levels: np.ndarray, whole: bool):
     """One row per text: its other columns, set digest, size and keys: all of
     them, or the prefix alone and the signature of all."""
     def run(batches):
@@ -163,7 +188,7 @@ def _sets(frequent: np.ndarray, whole: bool):
             data, at = text_bytes(batch.column("text"))
             others = batch.drop_columns(["text"])
             for lo, hi in slices(at, SLICE):
-                keys, bounds = _ordered(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], frequent)
+                keys, bounds = _ordered(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], levels)
                 n = np.diff(bounds)
                 digest = [int.from_bytes(hashlib.blake2b(keys[a:b], digest_size=8).digest(), "little", signed=True)
                           for a, b in zip(bounds[:-1], bounds[1:])]
@@ -222,12 +247,12 @@ def _meeting(batches):
 
 def _in_lists(entries: DataFrame) -> DataFrame:
     """Entries of lists in which some entry can meet another one. Lists of
-    frequent shingles need no look, so they are not gathered;
-    the others are as short as the Misra-Gries bound says."""
+    the high levels need no look, so they are not gathered; the others are as
+    short as the counts of their buckets."""
     spark = entries.sparkSession
-    rare = (entries.where(F.col("h") < FIRST_FREQUENT).repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
+    rare = (entries.where(F.col("h") < HOT << KEY_BITS).repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
             .mapInArrow(_meeting, entries.schema))
-    return rare.unionByName(entries.where(F.col("h") >= FIRST_FREQUENT))
+    return rare.unionByName(entries.where(F.col("h") >= HOT << KEY_BITS))
 
 
 def _alike(x: str, y: str, n: str) -> Column:
@@ -251,8 +276,8 @@ class _Sets:
     """The sets of the classes: ``heads`` (node, n, keys of the prefix, digest,
     rep) is written, whole sets are read from the texts when asked for."""
 
-    def __init__(self, texts: DataFrame, heads: DataFrame, frequent: np.ndarray):
-        self.texts, self.heads, self.frequent = texts, heads, frequent
+    def __init__(self, texts: DataFrame, heads: DataFrame, levels: np.ndarray):
+        self.texts, self.heads, self.levels = texts, heads, levels
 
     def of(self, nodes: DataFrame, small: bool) -> DataFrame:
         """The whole sets of ``nodes``, read from their texts."""
@@ -260,7 +285,7 @@ class _Sets:
             F.col("rep").alias("r"), "node", F.col("digest").alias("d"), F.col("n").alias("m"))
         return (self.texts.join(_marked(wanted, small), F.col("doc_id").eqNullSafe(F.col("r")))
                 .select("text", "node", "d", "m")
-                .mapInArrow(_sets(self.frequent, whole=True),
+                .mapInArrow(_sets(self.levels, whole=True),
                             "node long, d long, m long, digest long, n long, keys array<long>")
                 .where("digest = d AND n = m").select("node", "n", "keys"))
 
@@ -316,6 +341,8 @@ def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
     links join anew take part, so that no link goes through the rounds twice."""
     if comps is None:
         return components(links, "shingle-components")
+    if links.isEmpty():
+        return comps
     one, two = (comps.select(F.col("node").alias(k), F.col("root").alias(f"r{k}")) for k in ("a", "b"))
     anew = links.join(one, "a", "left").join(two, "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
@@ -343,9 +370,21 @@ def _pair(x: str, y: str):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
+def _sparse(lists: DataFrame) -> bool:
+    """Whether the lists are so short that their entries meet few others. An
+    entry of the front block meets its list at most, and no others meet."""
+    size = lists.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.count(F.when(F.expr("7 * i <= n"), 1)).alias("front"))
+    total = size.agg(F.sum("c").alias("entries"), F.sum(F.expr("c * front")).alias("meetings")).first()
+    return (total["meetings"] or 0) <= SPARSE * (total["entries"] or 0)
+
+
 def set_components(lists: DataFrame, sets: _Sets) -> DataFrame:
     """Components (node, root) of all links between nodes.
     lists: (h, node, n, i)."""
+    if _sparse(lists):
+        x, y = lists.alias("x"), lists.alias("y")
+        pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & F.expr("x.node < y.node") & _meet("x.n", "x.i", "y.n", "y.i"))
+        return _merged(None, _linked(sets.verify(pairs.select(*_pair("x.node", "y.node")).distinct())))
     comps = checked = None
     for turn in range(PIVOT_ROUNDS):
         open_lists = _with_component(lists, comps)
@@ -395,11 +434,11 @@ def _open_pairs(lists: DataFrame, comps: DataFrame, checked: DataFrame, some: in
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       frequent: int = FREQUENT) -> DataFrame:
+                       buckets: int = BUCKETS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hot = frequent_shingles(texts.select("text"), frequent)
-    made = texts.mapInArrow(_sets(hot, whole=False), "doc_id long, digest long, n long, sig array<long>, wide array<long>, "
+    levels = bucket_levels(texts.select("text"), buckets)
+    made = texts.mapInArrow(_sets(levels, whole=False), "doc_id long, digest long, n long, sig array<long>, wide array<long>, "
                             "keys array<long>")
     rows = cut(made.select("doc_id", "digest", "n"), "shingle-rows")
     # Copies are reduced in each task before the prefixes move.
@@ -411,7 +450,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lists = cut(_in_lists(heads.select("node", "n", F.posexplode("keys").alias("i", "h"))), "shingle-lists")
     if rows.groupBy("doc_id", "digest", "n").count().where("count > 1").limit(1).count():
         texts = texts.dropDuplicates()  # repeated rows
-    sets = _Sets(texts, heads, hot)
+    sets = _Sets(texts, heads, levels)
     comps = set_components(lists, sets)
     home = cut(heads.select("digest", "n", "node", "rep").join(comps, "node", "left")
                .select("digest", "n", F.coalesce("root", "rep").alias("component_id")), "shingle-home")

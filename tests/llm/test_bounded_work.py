@@ -1,5 +1,6 @@
 """What an operator holds or moves at a time stays bounded."""
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
@@ -44,3 +45,39 @@ def test_a_large_group_of_few_links_is_not_asked_in_all_pairs(spark):
     got = shingle_join.set_components(lists, Answers()).collect()
     assert {r.root for r in got} == {0} and len(got) == count
     assert sum(asked) < 100 * count, asked
+
+
+def test_common_shingles_come_after_the_rare_ones(spark, monkeypatch):
+    """A shingle that is common, though not among the very frequent ones of a
+    large table, is no part of a prefix of rare ones, so that no list grows with it."""
+    seen = []
+    rows = []
+    for k in range(1500):
+        words = [f"o{k}-{i}" for i in range(600)]
+        for j, at in enumerate((100, 300, 500)):
+            words[at:at + 5] = [f"c{(k + j) % 150}-{i}" for i in range(5)]
+        rows.append((k, " ".join(words)))
+
+    def watched(lists, sets):
+        seen.append(lists.count())
+        return spark.createDataFrame([], "node long, root long")
+    monkeypatch.setattr(shingle_join, "set_components", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert shingle_join.jaccard_components(df).count() == len(rows)
+    assert seen == [0]
+
+
+def test_sparse_lists_are_compared_at_once(spark):
+    """Sets that meet few others need no rounds: every meeting pair is asked once."""
+    count, asked = 60, []
+
+    class Answers:
+        def verify(self, pairs):
+            found = sorted((r.a, r.b) for r in pairs.collect())
+            asked.append(found)
+            return spark.createDataFrame([(a, b, 100, 100, 90) for a, b in found], "a long, b long, na long, nb long, o long")
+    rows = [(h, h + j, 100, j) for h in range(count) for j in range(2)] + [(-1 - k, k, 100, 20) for k in range(count)]
+    lists = spark.createDataFrame(rows, "h long, node long, n long, i int")
+    got = shingle_join.set_components(lists, Answers()).collect()
+    assert asked == [[(k, k + 1) for k in range(count)]]
+    assert {r.node: r.root for r in got} == {k: 0 for k in range(count + 1)}
