@@ -55,7 +55,7 @@ def test_common_shingles_come_after_the_rare_ones(spark, monkeypatch):
     for k in range(1500):
         words = [f"o{k}-{i}" for i in range(600)]
         for j, at in enumerate((100, 300, 500)):
-            words[at:at + 5] = [f"c{(k + j) % 150}-{i}" for i in range(5)]
+            words[at:at + 5] = [f"c{(k + 250 * j) % 750}-{i}" for i in range(5)]
         rows.append((k, " ".join(words)))
 
     def watched(lists, sets):
