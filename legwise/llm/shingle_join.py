@@ -3,9 +3,10 @@
 Documents with equal shingle sets form one class first, so copies are reduced
 before anything else. The global order of shingles is by level, then by hash. All
 shingles are counted in a fixed number of buckets; a bucket's level says how far
-its count is above what most buckets hold, so that shingles more frequent than
-chance come last, in steps of their frequency. An index list holds the sets whose
-prefix contains a shingle, with set size and position.
+its count is below or above what most buckets hold, so that prefixes take the
+shingles of the emptiest buckets, which repeated ones seldom are in, and shingles
+more frequent than chance come last, in steps of their frequency. An index list
+holds the sets whose prefix contains a shingle, with set size and position.
 
 Index-level skipping: an entry at position i of a set of n shingles can only
 meet partners of at most (4n - 7i) / 3 shingles. Entries with 7i <= n form the
@@ -51,8 +52,10 @@ from legwise.llm.common import (components, cut, lower, mix, powers, release, sh
 WIDTH = 5
 #: Buckets in which shingles are counted, and how many of them one row moves.
 BUCKETS, CHUNK = 1 << 21, 1 << 15
-#: Levels of buckets; lists of those from HOT on are kept without a look.
-LEVELS, HOT = 32, 9
+#: Levels of buckets: first these steps of chance about the usual count. Lists of levels from HOT on are kept without
+#: a look.
+CHANCE = (-2, -1.5, -1, -0.5, 0, 0.5, 1, 1.5, 2, 3)
+LEVELS, HOT = 32, 19
 #: Text bytes worked on at a time (a longer text stands alone).
 SLICE = 1 << 19
 #: Rounds in which every set asks one pivot, and about how many sets of each list it asks in the round after them.
@@ -131,16 +134,21 @@ def _summed(chunk: int):
 
 
 def bucket_levels(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """The level of every bucket of shingles: 0 up to what chance adds to the
-    usual count, then two for each doubling of what is above."""
+    """The level of every bucket of shingles: by its standard deviations from the
+    usual count up to what chance adds to it, then two for each doubling of what
+    is above. A shingle that repeats lifts its own bucket, so that the level tells
+    it from rare ones long before it stands out from chance."""
     chunk, schema = min(CHUNK, buckets), "part int, counts binary"
     counts = np.zeros((buckets // chunk, chunk), np.int64)
     for row in (texts.mapInArrow(_counted(buckets, chunk), schema).groupBy("part")
                 .applyInArrow(_summed(chunk), schema).collect()):  # a fixed number of rows
         counts[row["part"]] = _wider(row["counts"], chunk)
     usual = float(np.median(counts))
-    above = (counts.ravel() - usual) / (4 * usual ** 0.5 + 4)
-    return np.clip(1 + np.floor(2 * np.log2(np.maximum(above, 0.5))), 0, LEVELS - 1).astype(np.uint8) * (above > 1)
+    over = counts.ravel() - usual
+    chance = np.searchsorted(CHANCE, over / max(usual, 1) ** 0.5, side="right")
+    above = over / (4 * usual ** 0.5 + 4)
+    steps = len(CHANCE) + 1 + np.floor(2 * np.log2(np.maximum(above, 1)))
+    return np.where(above > 1, np.minimum(steps, LEVELS - 1), chance).astype(np.uint8)
 
 
 def _ordered(data, at, levels: np.ndarray):

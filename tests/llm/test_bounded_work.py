@@ -67,6 +67,39 @@ def test_common_shingles_come_after_the_rare_ones(spark, monkeypatch):
     assert seen == [0]
 
 
+def test_shingles_repeated_less_than_chance_come_late(spark, monkeypatch):
+    """Thirty sets share a passage, in buckets of about 170 other shingles: too few to stand out from chance, but a
+    prefix has rarer ones to take, so that few of its sets meet."""
+    seen = []
+    rows = []
+    for k in range(300):
+        words = [f"o{k}-{i}" for i in range(600)]
+        words[200:260] = [f"c{k % 10}-{i}" for i in range(60)]
+        rows.append((k, " ".join(words)))
+
+    def watched(lists, sets):
+        seen.append(lists.count())
+        return spark.createDataFrame([], "node long, root long")
+    monkeypatch.setattr(shingle_join, "set_components", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert shingle_join.jaccard_components(df, buckets=1 << 10).count() == len(rows)
+    assert seen[0] < 0.03 * 56 * len(rows), seen
+
+
+def test_levels_follow_the_counts(spark):
+    """Fuller buckets have higher levels, and all levels fit the keys."""
+    rows = [(" ".join(f"w{j % 97 * (j % 3)}-{j * (j % 5)}" for j in range(5000)),), ("a b c d e " * 30000,)]
+    texts = spark.createDataFrame(rows, "text string")
+    levels = shingle_join.bucket_levels(texts, 64)
+    counts = np.zeros(64, np.int64)
+    for text, in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, h = shingle_join.shingle_hashes(data, np.array([0, len(data)]))
+        np.add.at(counts, shingle_join._bucket(h, 64), 1)
+    assert (np.diff(levels[np.argsort(counts)].astype(int)) >= 0).all()
+    assert levels.max() < shingle_join.LEVELS and levels.max() << shingle_join.KEY_BITS < 1 << 63 and len(set(levels)) > 5
+
+
 def test_sparse_lists_are_compared_at_once(spark):
     """Sets that meet few others need no rounds: every meeting pair is asked once."""
     count, asked = 60, []
